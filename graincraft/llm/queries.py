@@ -8,7 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import sentences, tokenize
+from . import lookalikes, sentences, tokenize
+
+#: Stands between the levels of a path where they are handled as one text; it can't stand in a level that is text.
+BETWEEN = "\x1f"
+
+
+def _readings(spark: SparkSession, directory: str) -> DataFrame:
+    """record_id, field and text of every field that problem 2 names, the levels of a path joined."""
+    rows = load(spark, directory, "classification_rows")
+    fields = rows.select("row_id", F.explode(F.array(F.struct(F.lit("path_levels").alias("field"), F.array_join("path_levels", BETWEEN).alias("text")), F.struct(F.lit("evidence_quote").alias("field"), F.col("evidence_quote").alias("text")))).alias("x"))
+    fields = fields.select(F.col("row_id").alias("record_id"), "x.field", "x.text")
+    return fields.union(load(spark, directory, "chunks").select(F.col("chunk_id").alias("record_id"), F.lit("text").alias("field"), "text"))
+
+
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    texts = _readings(spark, directory)
+    counts = lookalikes.vocabulary(texts)
+    forms = lookalikes.canonical(texts.where(lookalikes.suspicious(F.col("text"))), "text", counts, keep=("record_id", "field"))
+    return forms.where("text <> canonical").select("record_id", "field").distinct()
+
+
+def p2_canonical(spark: SparkSession, directory: str) -> DataFrame:
+    texts = _readings(spark, directory)
+    counts = lookalikes.vocabulary(texts)
+    changed = lookalikes.canonical(texts.where(lookalikes.suspicious(F.col("text"))), "text", counts, keep=("record_id", "field"))
+    plain = texts.where(~F.coalesce(lookalikes.suspicious(F.col("text")), F.lit(False)))
+    forms = plain.select("record_id", "field", F.col("text").alias("canonical")).union(changed.select("record_id", "field", "canonical"))
+    return forms.groupBy("record_id", "field").agg(F.any_value("canonical").alias("canonical"))
 
 
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
