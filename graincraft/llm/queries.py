@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import lookalikes, sentences, tokenize
+from . import formatting_copies, lookalikes, sentences, tokenize
 
 #: Stands between the levels of a path where they are handled as one text; it can't stand in a level that is text.
 BETWEEN = "\x1f"
@@ -38,6 +38,14 @@ def p2_canonical(spark: SparkSession, directory: str) -> DataFrame:
     return forms.groupBy("record_id", "field").agg(F.any_value("canonical").alias("canonical"))
 
 
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    return formatting_copies.copies(load(spark, directory, "classification_rows"))
+
+
+def p5_collapsed(spark: SparkSession, directory: str) -> DataFrame:
+    return formatting_copies.collapsed(load(spark, directory, "classification_rows"))
+
+
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
     return tokenize.encode_column(load(spark, directory, "documents"))
 
