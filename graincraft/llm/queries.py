@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import load
-from . import formatting_copies, lookalikes, sentences, tokenize
+from ..sources.tables import load, one_per_key
+from . import chunking, formatting_copies, lookalikes, mixing, sentences, tokenize
 
 #: Stands between the levels of a path where they are handled as one text; it can't stand in a level that is text.
 BETWEEN = "\x1f"
@@ -46,10 +46,30 @@ def p5_collapsed(spark: SparkSession, directory: str) -> DataFrame:
     return formatting_copies.collapsed(load(spark, directory, "classification_rows"))
 
 
+def p6_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    def cut(table: str, key: str, text: str, limit: int, overlap: int) -> DataFrame:
+        oversized = load(spark, directory, table).select(key, text).where(F.length(text) > limit)
+        return chunking.chunked(one_per_key(oversized, key), key, text, limit, overlap)
+
+    return cut("source_documents", "doc_id", "raw_text", 5000, 200).union(cut("chunks", "chunk_id", "text", 1200, 120))
+
+
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    return p6_pieces(spark, directory).select("item_id", "field").distinct()
+
+
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
     return tokenize.encode_column(load(spark, directory, "documents"))
 
 
+def p8_report(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.mixed(load(spark, directory, "documents"), load(spark, directory, "mix_targets"))[1]
+
+
+def p8_corpus(spark: SparkSession, directory: str) -> DataFrame:
+    return mixing.mixed(load(spark, directory, "documents"), load(spark, directory, "mix_targets"))[0]
+
+
 def p9_found(spark: SparkSession, directory: str) -> DataFrame:
     return sentences.sentence_spans(load(spark, directory, "documents"))
 
