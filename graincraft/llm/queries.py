@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load, one_per_key
-from . import chunking, formatting_copies, lookalikes, mixing, sentences, tokenize
+from . import chunking, formatting_copies, linkage, lookalikes, mixing, sentences, tokenize
 
 #: Stands between the levels of a path where they are handled as one text; it can't stand in a level that is text.
 BETWEEN = "\x1f"
@@ -38,6 +38,14 @@ def p2_canonical(spark: SparkSession, directory: str) -> DataFrame:
     return forms.groupBy("record_id", "field").agg(F.any_value("canonical").alias("canonical"))
 
 
+def p4_links(spark: SparkSession, directory: str) -> DataFrame:
+    return linkage.links(load(spark, directory, "classification_rows"), load(spark, directory, "rule_table_matches"))
+
+
+def p4_found(spark: SparkSession, directory: str) -> DataFrame:
+    return p4_links(spark, directory).select("row_id", "match_id")
+
+
 def p5_found(spark: SparkSession, directory: str) -> DataFrame:
     return formatting_copies.copies(load(spark, directory, "classification_rows"))
 
