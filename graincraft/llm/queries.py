@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load, one_per_key
-from . import chunking, formatting_copies, linkage, lookalikes, mixing, sentences, tokenize
+from . import chunking, formatting_copies, linkage, lookalikes, mixing, scan_noise, sentences, tokenize
 
 #: Stands between the levels of a path where they are handled as one text; it can't stand in a level that is text.
 BETWEEN = "\x1f"
@@ -22,6 +22,14 @@ def _readings(spark: SparkSession, directory: str) -> DataFrame:
     return fields.union(load(spark, directory, "chunks").select(F.col("chunk_id").alias("record_id"), F.lit("text").alias("field"), "text"))
 
 
+def p1_found(spark: SparkSession, directory: str) -> DataFrame:
+    return scan_noise.defects(load(spark, directory, "document_pages"))
+
+
+def p1_repaired(spark: SparkSession, directory: str) -> DataFrame:
+    return scan_noise.repaired(load(spark, directory, "document_pages"))
+
+
 def p2_found(spark: SparkSession, directory: str) -> DataFrame:
     texts = _readings(spark, directory)
     counts = lookalikes.vocabulary(texts)
