@@ -3,8 +3,8 @@
 Paths of either side are brought to one wording (numbering, marks and case dropped, look-alikes folded, a thesaurus for
 the other library's words) and parsed into domain, facet and tail, the latter against the domains and facets counted in
 the rows' table. Rows are grouped by category and records by wording before they meet, so copies cost one comparison.
-Candidates come from several passes: the whole tail, the domain with the tail's begin, the domain with its end, and the
-sorted characters of the tail. Each candidate pair is compared field by field on levels of agreement; the counts of the
+Candidates come from several passes: the whole tail; and, for wordings whose tail is no row's, the domain with the tail's
+begin, the domain with its end, and the sorted characters of the tail. Each candidate pair is compared field by field on levels of agreement; the counts of the
 agreement patterns (a small table) feed expectation-maximisation of the probabilities of each level among matches and
 non-matches, and the posterior of the pair's pattern is its confidence. A pair of which a level means something else is
 no match at any confidence. A record is given the category of highest posterior, and of that category's rows the one
@@ -243,13 +243,17 @@ def _records(df: DataFrame, domains: list[str], facets: list[str]) -> DataFrame:
 
 def _top(df: DataFrame, column: str) -> list[str]:
     counts = df.groupBy(column).count()
-    least = counts.agg((F.sum("count") * SHARE).alias("least"))
-    return [r[column] for r in counts.join(F.broadcast(least)).where("count > 1 and count >= least").orderBy(F.desc("count"), column).limit(LEXICON).collect()]
+    least = max(2.0, (counts.agg(F.sum("count")).first()[0] or 0) * SHARE)
+    return [r[column] for r in counts.where(F.col("count") >= least).orderBy(F.desc("count"), column).limit(LEXICON).collect()]
 
 
-def _keys(domain: str, tail: str) -> Column:
+def _slip_keys(domain: str, tail: str) -> Column:
+    """Keys that two tails one slip apart share: the domain with the begin, the domain with the end, the sorted characters."""
     d, t = F.coalesce(F.col(domain), F.lit("?")), F.col(tail)
-    return F.array(F.concat(F.lit("t|"), t), F.concat(F.lit("b|"), d, F.lit("|"), F.left(t, F.lit(5))), F.concat(F.lit("e|"), d, F.lit("|"), F.right(t, F.lit(6))), F.concat(F.lit("s|"), F.array_join(F.array_sort(F.split(t, "")), "")))
+    latin = t.rlike("[a-z]{8}")
+    begin = F.left(t, F.when(latin, 14).otherwise(5))
+    end = F.right(t, F.when(latin, 14).otherwise(6))
+    return F.array(F.concat(F.lit("b|"), d, F.lit("|"), begin), F.concat(F.lit("e|"), d, F.lit("|"), end), F.concat(F.lit("s|"), F.array_join(F.array_sort(F.split(t, "")), "")))
 
 
 def _fitted(patterns: list[tuple[tuple[int, ...], int]], fields: int) -> dict[tuple[int, ...], float]:
@@ -283,9 +287,14 @@ def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     domains, facets = _top(categories, "domain"), _top(categories, "facet")
     wordings = materialise(_records(records, domains, facets).dropDuplicates(["match_id"]), "p4records")
     signatures = wordings.select("r_domain", "r_facet", "r_tail").distinct()
-    left = signatures.withColumn("key", F.explode(F.array_distinct(_keys("r_domain", "r_tail"))))
-    right = categories.withColumn("key", F.explode(F.array_distinct(_keys("domain", "tail"))))
-    pairs = left.join(right, "key").select("r_domain", "r_facet", "r_tail", "domain", "facet", "tail", "first_row")
+    # first pass: the whole tail; the passes for slips are for wordings whose tail is no row's
+    own = ["r_domain", "r_facet", "r_tail"]
+    whole = signatures.join(categories, F.col("r_tail") == F.col("tail"))
+    rest = signatures.join(categories.select(F.col("tail").alias("r_tail")).distinct(), "r_tail", "left_anti")
+    left = rest.select(*own, F.explode(_slip_keys("r_domain", "r_tail")).alias("key"))
+    right = categories.withColumn("key", F.explode(_slip_keys("domain", "tail")))
+    columns = [*own, "domain", "facet", "tail"]
+    pairs = whole.select(*columns).union(left.join(right, "key").select(*columns))
     distance = F.levenshtein("tail", "r_tail", 2)
     swapped = (F.array_sort(F.split("tail", "")) == F.array_sort(F.split("r_tail", ""))) & (F.levenshtein("tail", "r_tail") == 2)
     slipped = (F.abs(F.length("tail") - F.length("r_tail")) == 1) & (distance == 1) | swapped
