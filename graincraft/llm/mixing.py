@@ -92,7 +92,7 @@ def mixed(documents: DataFrame, targets: DataFrame, ranks: str = DEFAULT_RANKS)
         repeats = F.when(F.col("source") == s, c.copies + (F.col("h") < c.below).cast("int")).otherwise(repeats)
     used = sizes.withColumn("repeats", repeats).where("repeats > 0").select("doc_id", "source", "n_tokens", "repeats")
     sums = used.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("repeats").cast("bigint").alias("uses"), F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"))
-    total = sums.agg(F.sum("tokens").alias("total"))
-    report = targets.where("source is not null").select("source", "target_share", "max_repeats").join(F.broadcast(sums), "source", "left").join(F.broadcast(total), how="left")
+    total = sums.agg(F.sum("tokens")).first()[0]
+    report = targets.where("source is not null").select("source", "target_share", "max_repeats").join(sums, "source", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return used, report.select("source", "target_share", "max_repeats", zero("documents"), zero("uses"), zero("tokens"), F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)).alias("actual_share"))
+    return used, report.select("source", "target_share", "max_repeats", zero("documents"), zero("uses"), zero("tokens"), F.coalesce(F.col("tokens") / F.lit(total or 1), F.lit(0.0)).alias("actual_share"))
