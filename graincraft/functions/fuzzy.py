@@ -6,15 +6,16 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def best_line_ratio(text: pd.Series, term: pd.Series) -> pd.Series:
     """The highest matching-block ratio of a term with a line of a text; null texts count as empty."""
     return pd.Series([max((SequenceMatcher(None, (w or "").lower(), x.lower()).ratio() for x in (t or "").splitlines() or [t or ""]), default=0.0) for t, w in zip(text, term)], dtype="float64")
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def holds_loosely(text: pd.Series, needle: pd.Series) -> pd.Series:
     """Whether a needle stands in a text without white space, or, up to 40 characters, as a subsequence within six times its length (80 at least)."""
 

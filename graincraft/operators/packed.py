@@ -2,7 +2,7 @@
 
 A dialect is the set of marks that separate, next to the quotation marks that protect. Every string is parsed in each
 dialect its own marks allow, and the cheapest parse counts: each value costs its code length, -log2 of its share among
-all values of the field (counted over the whole table), a value not seen elsewhere its characters one by one; each
+all values of the field (counted over the whole table, without the string's own places), a value not seen elsewhere its characters one by one; each
 separation and each kind of mark in use costs a little, and a separating mark left bare inside a value costs more, as
 its writer would have quoted it. Values with many figures are counted by their shape and pay for their figures.
 
@@ -33,8 +33,10 @@ UNIT = r"(?<![A-Za-z])(?:[mkμµun]?(?:g|L|l|mol|m|IU|U|cal|J|Pa)|mmol|次|例|
 STANDARD = r"[A-Z]{1,6}/[A-Z] ?\d|[A-Z]{2,6} \d"
 ITEM_CODE = r"(?:\d{1,3}\s*[.:：=＝）)\-．、]|0\d )"
 
-#: Bits: for a separation, for a kind of mark in use, for a bare mark in a value, for a value that must be spelled, for each of its characters.
-SEPARATION, KIND, BARE, SPELLED, CHARACTER, FIGURE = 2.0, 1.0, 6.0, 8.0, 6.0, 3.3
+#: Bits: for a separation, for a kind of mark in use, for a value that must be spelled, for each of its characters, for a figure of a shape.
+SEPARATION, KIND, SPELLED, CHARACTER, FIGURE = 2.0, 1.0, 8.0, 6.0, 3.3
+#: Bits for a bare mark in a value, by kind of field: in paths and references it would have been quoted, in lists there are remarks.
+BARE = {"list": 6.0, "references": 16.0, "path": 24.0}
 #: Strings with more kinds of marks than this are parsed in the dialects of none, one and all marks, and all but one.
 ALL_SUBSETS = 4
 
@@ -99,7 +101,12 @@ def unquoted(value: str) -> str:
         if v[0] == q:
             if inner.replace(q * 2, "").count(q) == 0:
                 return inner.replace(q * 2, q).strip(_TRIM)
-        elif inner.find(q) < 0 or inner.count(v[0]) == inner.count(q):
+        else:
+            depth = 1
+            for c in inner:
+                depth += (c == v[0]) - (c == q)
+                if depth == 0:
+                    return v
             return inner.strip(_TRIM)
     return v
 
@@ -162,7 +169,7 @@ def split_values(fields: DataFrame, kinds: dict[str, str]) -> DataFrame:
             out: dict[str, list] = {k: [] for k in ("field", "item", "times", "dialect", "values", "bits")}
             for f, s, t in zip(batch.column("field").to_pylist(), batch.column("item").to_pylist(), batch.column("times").to_pylist()):
                 for n, (values, cuts, used, bare) in enumerate(parses(s, kinds[f])):
-                    for k, v in zip(out, (f, s, t, n, values, SEPARATION * cuts + KIND * used + BARE * bare)):
+                    for k, v in zip(out, (f, s, t, n, values, SEPARATION * cuts + KIND * used + BARE[kinds[f]] * bare)):
                         out[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out["field"], pa.string()), pa.array(out["item"], pa.string()), pa.array(out["times"], pa.int64()), pa.array(out["dialect"], pa.int32()), pa.array(out["values"], pa.list_(pa.string())), pa.array(out["bits"], pa.float64())], names=list(out))
 
@@ -174,11 +181,13 @@ def split_values(fields: DataFrame, kinds: dict[str, str]) -> DataFrame:
     seen = strings.where(~marked).select("field", F.trim("item").alias("value"), "times").union(ends.select("field", F.explode(whole).alias("value"), "times"))
     counts = seen.groupBy("field", _symbol(F.col("value")).alias("symbol")).agg(F.sum("times").alias("c"))
     totals = counts.groupBy("field").agg(F.sum("c").alias("total"))
-    pieces = parsed.select("field", "item", "dialect", "bits", F.explode_outer("values").alias("value")).withColumn("symbol", _symbol(F.col("value")))
+    pieces = parsed.select("field", "item", "dialect", "bits", "times", F.size("values").alias("k"), F.explode_outer("values").alias("value")).withColumn("symbol", _symbol(F.col("value")))
     spelled = F.lit(SPELLED) + F.lit(CHARACTER) * F.length("value")
     shaped = F.col("symbol") != F.regexp_replace("value", rf"^\s*{ITEM_CODE}\s*", "")
-    coded = F.log2(F.col("total") / F.col("c")) + F.when(shaped, FIGURE * F.regexp_count("value", F.lit("[0-9]"))).otherwise(0.0)
-    length = F.when(F.col("value").isNull(), 0.0).when(F.col("c") > 1, F.least(coded, spelled)).otherwise(spelled)
+    # a string is no evidence for its own values: its places don't count for its parts, nor its first place for the whole
+    own = F.when(F.col("k") == 1, 1).otherwise(F.col("times") * F.when(shaped, F.col("k")).otherwise(1))
+    coded = F.log2(F.col("total") / F.greatest(F.col("c") - own, F.lit(1))) + F.when(shaped, FIGURE * F.regexp_count("value", F.lit("[0-9]"))).otherwise(0.0)
+    length = F.when(F.col("value").isNull(), 0.0).when(F.col("c") > own, F.least(coded, spelled)).otherwise(spelled)
     costs = pieces.join(counts, ["field", "symbol"], "left").join(F.broadcast(totals), "field").groupBy("field", "item", "dialect").agg((F.sum(length) + F.first("bits")).alias("cost"))
     best = costs.groupBy("field", "item").agg(F.min(F.struct("cost", "dialect")).alias("b")).select("field", "item", F.col("b.dialect").alias("dialect"))
     chosen_parse = parsed.join(best, ["field", "item", "dialect"], "left_semi").select("field", "item", "values")
