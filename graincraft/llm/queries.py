@@ -95,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p6_found": "SELECT DISTINCT doc_id AS item_id, 'raw_text' AS field FROM source_documents WHERE length(raw_text) > 5000 UNION ALL SELECT DISTINCT chunk_id, 'text' FROM chunks WHERE length(text) > 1200"}
