@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,9 +31,14 @@ def one_space(c: Column) -> Column:
 
 
 def lines(c: Column) -> Column:
-    """The lines of a text; a last empty line doesn't count."""
-    parts = F.split(F.regexp_replace(c, EOL, "\n"), "\n")
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    """The lines of a text; a last empty line doesn't count, and an empty text has none."""
+    ends = F.regexp_replace(F.regexp_replace(c, EOL, "\n"), r"\n\z", "")
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(ends, "\n"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once for a row, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def stable_id(prefix: str, *parts: Column, separator: str = "||") -> Column:
@@ -105,15 +112,19 @@ def visible_length(c: Column) -> Column:
 
 def chunk_signal(text: Column, method: Column) -> Column:
     """possible_noise, table_like, short_ocr, heading_only or normal."""
-    t = strip(F.coalesce(text, F.lit("")))
-    bare = compact(t)
-    useful = F.length(F.regexp_replace(bare, r"[^一-鿿\p{L}\p{N}]", ""))
-    rows = F.filter(F.transform(lines(t), strip), lambda x: x != "")
-    marked = F.size(F.filter(rows, lambda x: x.rlike(r"\t|\||\s{2,}")))
-    table = (F.size(rows) >= 2) & (marked >= F.greatest(F.lit(1), F.floor(F.size(rows) / 2)))
-    short = F.length(t) <= 40
-    heading = short & (t.rlike(r"^[0-9一二三四五六七八九十]+[.、．]?\s*\S+") | ~t.rlike("[。；;：:，,]"))
-    return F.when(t == "", "possible_noise").when(useful / F.length(bare) < 0.35, "possible_noise").when(table, "table_like").when((method == "ocr") & (F.length(t) <= 30), "short_ocr").when(heading, "heading_only").otherwise("normal")
+    def judged(x: Column) -> Column:
+        t, bare, rows, marked = x["t"], x["bare"], x["rows"], x["marked"]
+        useful = F.length(F.regexp_replace(bare, r"[^一-鿿\p{L}\p{N}]", ""))
+        table = (rows >= 2) & (marked >= F.greatest(F.lit(1), F.floor(rows / 2)))
+        heading = (F.length(t) <= 40) & (t.rlike(r"^[0-9一二三四五六七八九十]+[.、．]?\s*\S+") | ~t.rlike("[。；;：:，,]"))
+        return F.when(t == "", "possible_noise").when(useful / F.length(bare) < 0.35, "possible_noise").when(table, "table_like").when((method == "ocr") & (F.length(t) <= 30), "short_ocr").when(heading, "heading_only").otherwise("normal")
+
+    def measured(t: Column) -> Column:
+        full = lambda y: F.length(strip(y)) > 0
+        parts = F.filter(lines(t), full)
+        return let(parts, lambda r: F.struct(t.alias("t"), compact(t).alias("bare"), F.size(r).alias("rows"), F.size(F.filter(r, lambda y: strip(y).rlike(r"\t|\||\s{2,}"))).alias("marked")))
+
+    return let(let(strip(F.coalesce(text, F.lit(""))), measured), judged)
 
 
 # The patterns of structure lines, by kind, in order of priority.
@@ -129,22 +140,26 @@ STRUCTURE = [
 
 def structure_signal(line: Column) -> Column:
     """kind, title and confidence of the structure a line shows, or null."""
-    t = strip(line)
-    out = F.lit(None).cast("struct<kind:string,title:string,confidence:double>")
-    for kind, pattern, sure in reversed(STRUCTURE):
-        hit = t.rlike(pattern)
-        if kind == "not_appendix_body":
-            hit = hit & ~t.rlike(r"\s+[0-9]{1,3}(?:\s|$)")
-        title = one_space(t)
-        if kind == "appendix_heading":
-            title = F.concat(F.lit("附录 "), F.upper(F.translate(F.regexp_extract(t, r"(?iu)^附\s*录\s*([A-ZＡ-Ｚ])", 1), FULL_WIDTH, HALF_WIDTH)))
-        out = F.when(hit, F.struct(F.lit(kind).alias("kind"), title.alias("title"), F.lit(sure).alias("confidence"))).otherwise(out)
-    return out
+
+    def judged(t: Column) -> Column:
+        out = F.lit(None).cast("struct<kind:string,title:string,confidence:double>")
+        for kind, pattern, sure in reversed(STRUCTURE):
+            hit = t.rlike(pattern)
+            if kind == "not_appendix_body":
+                hit = hit & ~t.rlike(r"\s+[0-9]{1,3}(?:\s|$)")
+            title = F.regexp_replace(t, rf"{WS}+", " ")
+            if kind == "appendix_heading":
+                title = F.concat(F.lit("附录 "), F.upper(F.translate(F.regexp_extract(t, r"(?iu)^附\s*录\s*([A-ZＡ-Ｚ])", 1), FULL_WIDTH, HALF_WIDTH)))
+            out = F.when(hit, F.struct(F.lit(kind).alias("kind"), title.alias("title"), F.lit(sure).alias("confidence"))).otherwise(out)
+        return out
+
+    return let(strip(line), judged)
 
 
 def is_heading(line: Column) -> Column:
     t = strip(line)
-    return (structure_signal(line).isNotNull() & ~structure_signal(line)["kind"].isin("hierarchy_header", "not_appendix_body")) | t.rlike(r"^#{1,6}\s+\S") | t.rlike(r"^第[一二三四五六七八九十百0-9]+[章节篇部分]") | t.rlike(r"^[一二三四五六七八九十]+、\S") | t.rlike(r"^[0-9]+(?:\.[0-9]+)*[.、]?\s+\S.{0,40}$") & ~t.rlike("[。；;]$")
+    kind = structure_signal(line)["kind"]
+    return F.coalesce(~kind.isin("hierarchy_header", "not_appendix_body"), F.lit(False)) | t.rlike(r"^#{1,6}\s+\S") | t.rlike(r"^第[一二三四五六七八九十百0-9]+[章节篇部分]") | t.rlike(r"^[一二三四五六七八九十]+、\S") | t.rlike(r"^[0-9]+(?:\.[0-9]+)*[.、]?\s+\S.{0,40}$") & ~t.rlike("[。；;]$")
 
 
 def heading_title(line: Column) -> Column:
