@@ -129,7 +129,7 @@ def packs(rows: DataFrame, found: DataFrame, tops: dict[str, int] | None = None)
     rows: row_id, path_levels, data_range_examples and doc_id, one line for each document of a row.
     """
     tops = tops or {"table_row_unit": 5, "definition_unit": 2, "sibling_group_unit": 2, "negative_unit": 5}
-    t = with_path(rows).withColumn("leaf", X.compact(F.element_at("levels", -1)))
+    t = with_path(rows).withColumn("leaf", X.compact(F.try_element_at("levels", F.lit(-1))))
     t = t.withColumn("name", F.regexp_replace("leaf", r"^[0-9]{3,4}(?=[^0-9\-—－])", "")).withColumn("terms", F.array_distinct(F.transform(F.concat("levels", F.coalesce("data_range_examples", F.array().cast("array<string>"))), X.compact)))
     j = t.select("row_id", "doc_id", "leaf", "name", "terms").join(found.withColumn("bare", X.compact(F.col("text"))), "doc_id")
     weight = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv)), F.col("kind")), F.lit(0))

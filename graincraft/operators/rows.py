@@ -123,10 +123,10 @@ def cascade(current: DataFrame, library: DataFrame) -> DataFrame:
     """
     def keyed(df: DataFrame, name: str) -> DataFrame:
         levels = F.transform("levels", X.level_key)
-        return df.select(F.col("id").alias(name), levels.alias("k"), X.code_of(F.element_at("levels", -1)).alias("code"))
+        return df.select(F.col("id").alias(name), levels.alias("k"), X.code_of(F.try_element_at("levels", F.lit(-1))).alias("code"))
 
     def keys(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-        leaf = F.element_at("k", -1)
+        leaf = F.try_element_at("k", F.lit(-1))
         whole = df.select(name, F.array_join("k", "/").alias("key"))
         code = df.where("code <> ''").select(name, F.concat_ws("|", "code", leaf).alias("key"))
         ends = df.where("size(k) > 1").select(name, F.array_join(F.slice("k", -2, 2), "/").alias("key"), F.array_join("k", "/").alias("whole"))
@@ -214,7 +214,7 @@ def issues(df: DataFrame) -> DataFrame:
 
 def weak_descriptions(df: DataFrame) -> DataFrame:
     """row_id, flags and priority of the rows whose description says little."""
-    leaf = F.element_at("levels", -1)
+    leaf = F.try_element_at("levels", F.lit(-1))
     d = X.strip(F.coalesce("description", F.lit("")))
     insufficient = (d == "") | (d == X.INSUFFICIENT) | (F.coalesce("description_source", F.lit("")) == "insufficient")
     flags = F.when(insufficient, F.array(F.lit("insufficient"))).otherwise(F.filter(F.array(F.when(X.compact(d) == X.compact(leaf), "equals_leaf"), F.when(F.coalesce(F.array_contains("data_range_examples", d), F.lit(False)), "duplicates_example"), F.when((F.length(d) <= 4) & ~d.rlike("[。；;，,]"), "too_short")), lambda x: x.isNotNull()))

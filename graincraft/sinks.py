@@ -30,7 +30,7 @@ def markdown_lines(df: DataFrame, levels: str, columns: list[str], depth: int |
 
 def tree_lines(nodes: DataFrame) -> DataFrame:
     """path and line of a tree, to be read in the order of levels: two blanks for each level, name, grade."""
-    name = F.element_at(F.split("path", " / "), -1)
+    name = F.try_element_at(F.split("path", " / "), F.lit(-1))
     return nodes.select(F.split("path", " / ").alias("levels"), F.concat(F.repeat(F.lit("  "), F.col("level").cast("int") - 1), F.lit("- "), name, F.coalesce(F.concat(F.lit(" ["), "grade", F.lit("]")), F.lit(""))).alias("line"))
 
 
