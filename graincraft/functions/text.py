@@ -51,13 +51,16 @@ def preview(c: Column, most: int = 180) -> Column:
 
 def terms(c: Column) -> Column:
     """Distinct terms of two characters or more that are no stop terms, and the whole text if it is short."""
-    text = compact(F.coalesce(c, F.lit("")))
     stop = F.array(*map(F.lit, STOP_TERMS))
     good = lambda x: (F.length(x) >= 2) & ~F.array_contains(stop, x)
-    parts = F.filter(F.split(text, TERM_BREAKS), good)
-    whole = F.filter(F.array(text), lambda x: good(x) & (F.length(x) <= 12))
-    found = F.array_distinct(F.concat(parts, whole))
-    return F.when((text == "") | (text == INSUFFICIENT), F.array().cast("array<string>")).otherwise(found)
+    none = F.array().cast("array<string>")
+
+    def found(text: Column) -> Column:
+        parts = F.filter(F.split(text, TERM_BREAKS), good)
+        whole = F.when(F.length(text) <= 12, F.filter(F.array(text), good)).otherwise(none)
+        return F.when((text == "") | (text == INSUFFICIENT), none).otherwise(F.array_distinct(F.concat(parts, whole)))
+
+    return let(compact(F.coalesce(c, F.lit(""))), found)
 
 
 def clean_levels(c: Column) -> Column:

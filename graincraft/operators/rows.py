@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.tables import materialise
 
 SUPPORT = {"explicit": 3, "structural": 2, "weak": 1}
 SOURCES = {"quoted": 3, "summarized": 2, "insufficient": 1}
@@ -81,8 +82,8 @@ def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top:
     that half of the smaller set is shared at least (for least 0.5), so a pair shares one of the rarest terms of the smaller
     set, half of them and one more; only those are joined with the other side's terms, and hot terms never meet.
     """
-    a = current.select("current_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0")
-    b = library.select("reference_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0")
+    a = materialise(current.select("current_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0"), "links_a")
+    b = materialise(library.select("reference_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0"), "links_b")
     sa = a.select("terms").distinct().select(F.xxhash64("terms").alias("sa"), "terms")
     sb = b.select("terms").distinct().select(F.xxhash64("terms").alias("sb"), "terms")
     ta, tb = sa.select("sa", F.size("terms").alias("na"), F.explode("terms").alias("t")), sb.select("sb", F.size("terms").alias("nb"), F.explode("terms").alias("t"))
