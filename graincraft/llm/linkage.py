@@ -3,8 +3,9 @@
 Paths of either side are brought to one wording (numbering, marks and case dropped, look-alikes folded, a thesaurus for
 the other library's words) and parsed into domain, facet and tail, the latter against the domains and facets counted in
 the rows' table. Rows are grouped by category and records by wording before they meet, so copies cost one comparison.
-Candidates come from several passes: the whole tail; and, for wordings whose tail is no row's, the domain with the tail's
-begin, the domain with its end, and the sorted characters of the tail. Each candidate pair is compared field by field on levels of agreement; the counts of the
+Candidates come from several passes: the whole tail; and, for wordings without a row of the same tail, domain and facet,
+the tail against each tail with one character taken out, either way round, and the sorted characters of the tail, which
+together find every slip. Each candidate pair is compared field by field on levels of agreement; the counts of the
 agreement patterns (a small table) feed expectation-maximisation of the probabilities of each level among matches and
 non-matches, and the posterior of the pair's pattern is its confidence. A pair of which a level means something else is
 no match at any confidence. A record is given the category of highest posterior, and of that category's rows the one
@@ -247,13 +248,14 @@ def _top(df: DataFrame, column: str) -> list[str]:
     return [r[column] for r in counts.where(F.col("count") >= least).orderBy(F.desc("count"), column).limit(LEXICON).collect()]
 
 
-def _slip_keys(domain: str, tail: str) -> Column:
-    """Keys that two tails one slip apart share: the domain with the begin, the domain with the end, the sorted characters."""
-    d, t = F.coalesce(F.col(domain), F.lit("?")), F.col(tail)
-    latin = t.rlike("[a-z]{8}")
-    begin = F.left(t, F.when(latin, 14).otherwise(5))
-    end = F.right(t, F.when(latin, 14).otherwise(6))
-    return F.array(F.concat(F.lit("b|"), d, F.lit("|"), begin), F.concat(F.lit("e|"), d, F.lit("|"), end), F.concat(F.lit("s|"), F.array_join(F.array_sort(F.split(t, "")), "")))
+def _slip_keys(tail: str, own: str, other: str) -> Column:
+    """Keys that two tails one slip apart share: a tail as it is and the other with one character taken out, or the sorted characters.
+
+    own and other name the sides, so that two tails that both lack a character don't meet.
+    """
+    t = F.col(tail)
+    cut = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.xxhash64(F.lit(other), F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))))
+    return F.array_distinct(F.concat(F.array(F.xxhash64(F.lit(own), t), F.xxhash64(F.lit("s"), F.array_join(F.array_sort(F.split(t, "")), ""))), cut))
 
 
 def _fitted(patterns: list[tuple[tuple[int, ...], int]], fields: int) -> dict[tuple[int, ...], float]:
@@ -287,14 +289,16 @@ def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     domains, facets = _top(categories, "domain"), _top(categories, "facet")
     wordings = materialise(_records(records, domains, facets).dropDuplicates(["match_id"]), "p4records")
     signatures = wordings.select("r_domain", "r_facet", "r_tail").distinct()
-    # first pass: the whole tail; the passes for slips are for wordings whose tail is no row's
+    # first pass: the whole tail; the passes for slips are for wordings without a row of the same tail, domain and facet
     own = ["r_domain", "r_facet", "r_tail"]
-    whole = signatures.join(categories, F.col("r_tail") == F.col("tail"))
-    rest = signatures.join(categories.select(F.col("tail").alias("r_tail")).distinct(), "r_tail", "left_anti")
-    left = rest.select(*own, F.explode(_slip_keys("r_domain", "r_tail")).alias("key"))
-    right = categories.withColumn("key", F.explode(_slip_keys("domain", "tail")))
     columns = [*own, "domain", "facet", "tail"]
-    pairs = whole.select(*columns).union(left.join(right, "key").select(*columns))
+    whole = signatures.join(categories, F.col("r_tail") == F.col("tail")).select(*columns)
+    agrees = F.coalesce(F.col("r_domain") == F.col("domain"), F.lit(True)) & F.coalesce(F.col("r_facet") == F.col("facet"), F.lit(True))
+    rest = signatures.join(categories, (F.col("r_tail") == F.col("tail")) & agrees, "left_anti")
+    left = rest.select("r_tail").distinct().select("r_tail", F.explode(_slip_keys("r_tail", "record", "row")).alias("key"))
+    right = categories.select("tail").distinct().select("tail", F.explode(_slip_keys("tail", "row", "record")).alias("key"))
+    near = left.join(right, "key").where("r_tail <> tail").select("r_tail", "tail").distinct()
+    pairs = whole.union(rest.join(near, "r_tail").join(categories, "tail").select(*columns))
     distance = F.levenshtein("tail", "r_tail", 2)
     swapped = (F.array_sort(F.split("tail", "")) == F.array_sort(F.split("r_tail", ""))) & (F.levenshtein("tail", "r_tail") == 2)
     slipped = (F.abs(F.length("tail") - F.length("r_tail")) == 1) & (distance == 1) | swapped

@@ -37,3 +37,15 @@ def test_no_records(spark):
 
 def test_slip():
     assert L._slip("abcd", "abdc") and L._slip("abd", "abcd") and L._slip("abcd", "acd") and not L._slip("abcd", "abxy") and not L._slip("abcd", "axcd")
+
+
+def test_slips_amid_a_short_tail_that_another_domain_has(spark):
+    heads = [(d, f) for d in ("医疗服务", "公共卫生", "健康档案") for f in ("质量控制", "资源调度", "标准规范")]
+    names = [chr(0x5000 + 7 * i) + chr(0x5001 + 7 * i) + chr(0x5002 + 7 * i) for i in range(90)]
+    rows = [(f"r{i:02}", [heads[i % 9][0] + "资源", "".join(heads[i % 9]), n, "变更记录"], None) for i, n in enumerate(names)]
+    # the next domain has the same tails, the last ten without their third character
+    rows += [(f"s{i:02}", [heads[(i + 3) % 9][0] + "资源", "".join(heads[(i + 3) % 9]), n[:2] if i > 79 else n, "变更记录"], None) for i, n in enumerate(names)]
+    records = [(f"m{i:02}", ["".join(heads[i % 9]), n[:2] if i > 79 else n, "变更记录"], None, 0.9) for i, n in enumerate(names)]
+    recs = spark.createDataFrame(records, RECORDS)
+    out = {r.match_id: r.row_id for r in L.links(spark.createDataFrame(rows, ROWS), recs).collect()}
+    assert out == {r[0]: f"r{r[0][1:]}" for r in records}
