@@ -9,10 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _best(text: str, term: str) -> float:
+    best = 0.0
+    for x in map(str.lower, text.splitlines() or [text]):
+        if not (n := len(term) + len(x)):
+            return 1.0
+        # no ratio is above that of all the term's characters that stand in the line
+        if 2.0 * min(len(x), sum(c in x for c in term)) / n > best:
+            best = max(best, SequenceMatcher(None, term, x).ratio())
+    return best
+
+
 @F.pandas_udf(T.DoubleType())
 def best_line_ratio(text: pd.Series, term: pd.Series) -> pd.Series:
     """The highest matching-block ratio of a term with a line of a text; null texts count as empty."""
-    return pd.Series([max((SequenceMatcher(None, (w or "").lower(), x.lower()).ratio() for x in (t or "").splitlines() or [t or ""]), default=0.0) for t, w in zip(text, term)], dtype="float64")
+    return pd.Series([_best(t or "", (w or "").lower()) for t, w in zip(text, term)], dtype="float64")
 
 
 @F.pandas_udf(T.BooleanType())

@@ -105,7 +105,7 @@ def fuzzy_terms_in_chunks(spark: SparkSession, d: str) -> DataFrame:
     rows = R.with_path(R.one_per_row(load(spark, d, "classification_rows")))
     texts = one_per_key(load(spark, d, "chunks"), "chunk_id").select("chunk_id", "text")
     t = rows.select("row_id", F.try_element_at("levels", F.lit(-1)).alias("leaf"), F.explode(F.array_distinct(F.transform("evidence_refs", lambda r: r["chunk_id"]))).alias("chunk_id")).join(texts, "chunk_id")
-    return t.select("row_id", "chunk_id", fuzzy.holds_loosely("text", "leaf").alias("held"), F.round(fuzzy.best_line_ratio(F.left("text", F.lit(1_000_000)), "leaf"), 4).alias("ratio"))
+    return t.select("row_id", "chunk_id", fuzzy.holds_loosely("text", "leaf").alias("held"), F.round(fuzzy.best_line_ratio("text", "leaf"), 4).alias("ratio"))
 
 
 @query("SELECT event_id, event_id AS k, event_id % 2 = 0 AS ok FROM events")
