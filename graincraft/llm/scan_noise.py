@@ -14,6 +14,7 @@ furniture and are not read for misread characters; a line has each kind of defec
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -171,20 +172,29 @@ def furniture(lines: list[str], following: str, titles: list[str], styles: dict[
 class Model:
     """Words, compounds, triples and the weights of the character editor."""
 
-    def __init__(self, texts: list[str]) -> None:
-        self.words: Counter[str] = Counter()
-        self.compounds: set[str] = set()
-        self.triples: Counter[str] = Counter()
+    def __init__(self, texts: list[str], counts: dict[str, Counter[str]] | None = None, pages: int = 0) -> None:
+        """texts: the perceptron's examples. counts: of all pages, as counted() has them; without them the examples are all there is."""
+        counts = counts or self.counted(texts)
+        self.words = counts["word"]
+        self.compounds = set(counts["compound"])
+        self.triples = Counter({k: n for k, n in counts["triple"].items() if n > 1})
+        # the perceptron sees a triple's rate, as on as many pages as its examples, so that it doesn't change with the corpus
+        share = max(1, pages / max(1, len(texts)))
+        self.levels = {k: min(6, math.ceil(n / share).bit_length()) for k, n in self.triples.items()}
         self.weights: dict[str, float] = {}
+        self._train(texts)
+
+    @classmethod
+    def counted(cls, texts: list[str]) -> dict[str, Counter[str]]:
+        """How often the texts have each word, first part of a compound and triple."""
+        words, compounds, triples = Counter(), Counter(), Counter()
         for t in texts:
-            flat = self.flat(t)
             unbroken = re.sub(r"\S*[-¬\u00ad]\s*\n\s*\S*", " ", t)
-            self.words.update(w.casefold() for w in re.findall(r"(?<![\w-])[A-Za-zÀ-ɏ]{2,}(?![\w-])", unbroken))
-            self.compounds.update(w.casefold() for w in re.findall(r"(?<![\w-])([A-Za-z]+)-(?=[A-Za-z])", t))
-            padded = "\x02" + re.sub(r"\d", "0", flat) + "\x03"
-            self.triples.update(padded[i : i + 3] for i in range(len(padded) - 2))
-        self.triples = Counter({k: n for k, n in self.triples.items() if n > 1})
-        self._train(texts)
+            words.update(w.casefold() for w in re.findall(r"(?<![\w-])[A-Za-zÀ-ɏ]{2,}(?![\w-])", unbroken))
+            compounds.update(w.casefold() for w in re.findall(r"(?<![\w-])([A-Za-z]+)-(?=[A-Za-z])", t))
+            padded = "\x02" + re.sub(r"\d", "0", cls.flat(t)) + "\x03"
+            triples.update(padded[i : i + 3] for i in range(len(padded) - 2))
+        return {"word": words, "compound": compounds, "triple": triples}
 
     @staticmethod
     def flat(text: str) -> str:
@@ -203,7 +213,7 @@ class Model:
         cc, yy = ("0" if c.isdigit() else c), y
         gain = 0
         for n, (a, b) in enumerate(((before + cc, before + yy), (before[-1] + cc + after[0], before[-1] + yy + after[0]), (cc + after, yy + after))):
-            p, q = min(6, self.triples[a[:3]].bit_length()), min(6, self.triples[b[:3]].bit_length())
+            p, q = self.levels.get(a[:3], 0), self.levels.get(b[:3], 0)
             gain += q - p
             out += [f"t{n}{p}", f"u{n}{q}", f"v{n}{max(-3, min(3, q - p))}"]
         out.append(f"g{max(-8, min(12, gain))}")
@@ -382,15 +392,33 @@ def _document_facts(pages: DataFrame) -> DataFrame:
     return titles.join(facts, "doc_id", "full_outer")
 
 
+def _body(text: str) -> str:
+    lines = text.split("\n")
+    skip = {i for _, i in outer(lines) if page_number(lines[i]) or _WITH_NUMBER.search(lines[i]) or _STANDARD.match(lines[i].strip())}
+    return "\n".join(x for i, x in enumerate(lines) if i not in skip)
+
+
+def _counts(clean: DataFrame) -> DataFrame:
+    """kind, key and n of the words, compounds and triples of all clean pages; a triple met once is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = Model.counted([_body(t) for t in batch.column("text").to_pylist()])
+            for kind, c in counts.items():
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["kind", "key", "n"])
+
+    found = clean.select("text").mapInArrow(run, "kind string, key string, n bigint")
+    return found.groupBy("kind", "key").agg(F.sum("n").alias("n")).where("kind <> 'triple' or n > 1")
+
+
 def trained(pages: DataFrame) -> Model:
-    """The editor, trained on the clean pages of least hash: those from a text layer."""
-    clean = pages.where("source_method = 'pdf_text' and text is not null").select("doc_id", "page_number", "text").orderBy(F.xxhash64("doc_id", "page_number"), "doc_id", "page_number").limit(TRAINING_PAGES)
-    texts = []
-    for r in clean.collect():
-        lines = r["text"].split("\n")
-        skip = {i for _, i in outer(lines) if page_number(lines[i]) or _WITH_NUMBER.search(lines[i]) or _STANDARD.match(lines[i].strip())}
-        texts.append("\n".join(x for i, x in enumerate(lines) if i not in skip))
-    return Model(texts)
+    """The editor: words, compounds and triples of all clean pages, those from a text layer; its perceptron trained on those of least hash."""
+    clean = pages.where("source_method = 'pdf_text' and text is not null").select("doc_id", "page_number", "text")
+    counts: dict[str, Counter[str]] = {"word": Counter(), "compound": Counter(), "triple": Counter()}
+    for kind, key, n in _counts(clean).collect():
+        counts[kind][key] = n
+    sample = clean.orderBy(F.xxhash64("doc_id", "page_number"), "doc_id", "page_number").limit(TRAINING_PAGES)
+    return Model([_body(r["text"]) for r in sample.collect()], counts, clean.count())
 
 
 def _read(df: DataFrame, mode: str) -> DataFrame:

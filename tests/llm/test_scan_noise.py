@@ -69,3 +69,13 @@ def test_pages(spark):
     assert out == [(1, 1, "header"), (2, 1, "header"), (2, 9, "char"), (3, 1, "header"), (4, 1, "header"), (5, 1, "header"), (6, 1, "header")]
     fixed = {(r.doc_id, r.page_number): r.text for r in S.repaired(df).where("doc_id < 'h'").collect()}
     assert "保存期限" in fixed[("d", 2)] and "HX/T" not in fixed[("d", 2)] and fixed[("f", 1)] is None and fixed[("g", 1)] == "" and fixed[("e", None)] == BODY[0]
+
+
+def test_words_compounds_and_triples_are_of_all_pages(spark, monkeypatch):
+    monkeypatch.setattr(S, "TRAINING_PAGES", 2)
+    pages = [("d", i, "\n".join(["第一章", *BODY, f"well-{'abcdefghij'[i]}nown Word{'abcdefghij'[i]} 甲乙{chr(0x4E00 + i)}丙", *BODY, f"{'abcdefghij'[i]}x-ray"]), "pdf_text") for i in range(10)]
+    df = spark.createDataFrame(pages + pages[:1], "doc_id string, page_number int, text string, source_method string")
+    m = S.trained(S._pages(df))
+    assert all(m.words[f"word{c}"] == 1 and f"{c}x" in m.compounds for c in "abcdefghij") and m.words["admissions"] == 20
+    whole = S.Model.counted([S._body(t) for _, _, t, _ in pages])
+    assert m.words == whole["word"] and m.triples == {k: n for k, n in whole["triple"].items() if n > 1}
