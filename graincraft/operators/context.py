@@ -114,6 +114,35 @@ def units(documents: DataFrame, text: str = "raw_text") -> DataFrame:
     return documents.select("doc_id", text).mapInArrow(run, SCHEMA)
 
 
+# What ends a row of a table besides the next row's code.
+HEADERS = ("数据分类 数据分级", "类 项 目 数据范围及示例 数据加工程度 影响对象 影响程度 数据级别")
+CODE = re.compile(r"\d{3}\S+")
+TABLE = re.compile(r"表[A-Z]?\d")
+
+
+def line_units(documents: DataFrame, text: str = "raw_text", size: int = 3) -> DataFrame:
+    """doc_id, unit_id, line_start, line_end and text of each document's table rows and of its windows of size lines."""
+    schema = "doc_id string, unit_id string, line_start int, line_end int, text string"
+
+    def read(t: str) -> Iterator[tuple[str, int, int, str]]:
+        lines = t.splitlines()
+        bare = [x.strip() for x in lines]
+        ends = [bool(TABLE.match(x)) or x.startswith("附录") or x in HEADERS or bool(CODE.match(x)) for x in bare]
+        spans = [("table_row", i, next((k for k in range(i + 1, len(lines)) if ends[k]), len(lines))) for i, x in enumerate(bare) if CODE.match(x)]
+        spans += [("lines", i, min(i + size, len(lines))) for i in range(0, len(lines), size)]
+        for kind, i, k in spans:
+            if whole := "\n".join(x for x in lines[i:k] if x.strip()).strip():
+                yield f"txt_{kind}_{i + 1}_{k}", i + 1, k, whole
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(d, *u) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column(text).to_pylist()) for u in read(t or "")]
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([u[i] for u in found], k) for i, k in enumerate(kinds)], names=[x.split()[0] for x in schema.split(", ")])
+
+    return documents.select("doc_id", text).mapInArrow(run, schema)
+
+
 def windows(lines: DataFrame, key: str = "doc_id", size: int = 5) -> DataFrame:
     """Tumbling windows of size lines, blank ones left out of their text."""
     t = lines.where(X.strip(F.col("line")) != "").withColumn("window", F.floor((F.col("line_no") - 1) / size).cast("int"))

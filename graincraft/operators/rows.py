@@ -223,15 +223,21 @@ def weak_descriptions(df: DataFrame) -> DataFrame:
     return with_path(df).select("row_id", F.array_join(flags, "|").alias("flags"), priority.alias("priority")).where("flags <> ''")
 
 
-def contexts(rows: DataFrame, chunks: DataFrame, top: int = 3) -> DataFrame:
-    """row_id, chunk_id, line_no, score and rank: the lines of a row's own evidence chunks that hold most of its terms.
+def contexts(rows: DataFrame, chunks: DataFrame, documents: DataFrame, top: int = 5) -> DataFrame:
+    """row_id, doc_id, unit_id, line_start, score and rank: the units of the documents a row's evidence is from that hold most of its terms.
 
-    Rows meet the lines of the chunks they refer to, so work grows with references, not with rows by lines.
+    All table rows and windows of lines of such a document count. A row knows its documents by its references alone: one
+    without references to known chunks has no document and so no context.
     """
-    from .lines import explode_lines
-
-    units = explode_lines(chunks, "text", ("chunk_id",)).where("line <> ''")
-    wanted = with_path(rows).select("row_id", F.array_distinct(F.concat("levels", F.coalesce("data_range_examples", F.array().cast("array<string>")))).alias("terms"), F.explode(F.array_distinct(F.transform("evidence_refs", lambda r: r["chunk_id"]))).alias("chunk_id"))
-    score = F.aggregate("terms", F.lit(0), lambda acc, t: acc + F.when((t != "") & F.col("line").contains(t), F.when(F.length(t) >= 4, 5).otherwise(3)).otherwise(0))
-    scored = wanted.join(units, "chunk_id").select("row_id", "chunk_id", "line_no", score.alias("score")).where("score > 0")
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("row_id").orderBy(F.desc("score"), "chunk_id", "line_no"))).where(F.col("rank") <= top)
+    from .context import line_units
+
+    units = line_units(documents).withColumn("bare", X.compact(F.col("text")))
+    none = F.array().cast("array<string>")
+    told = F.concat("levels", F.coalesce("data_range_examples", none), F.array("processing_degree", "impact_object", "impact_degree", "recommended_grade"))
+    terms = F.array_distinct(F.filter(F.transform(told, X.strip), lambda x: x.isNotNull() & (x != "")))
+    wanted = with_path(rows).select("row_id", F.transform(terms, lambda x: F.named_struct(F.lit("t"), x, F.lit("b"), X.compact(x))).alias("terms"), F.explode(F.array_distinct(F.transform("evidence_refs", lambda r: r["chunk_id"]))).alias("chunk_id"))
+    wanted = wanted.join(chunks.select("chunk_id", "doc_id"), "chunk_id").drop("chunk_id").dropDuplicates(["row_id", "doc_id"])
+    score = F.aggregate("terms", F.lit(0), lambda acc, x: acc + F.when(F.col("text").contains(x["t"]), F.when(F.length(x["t"]) >= 4, 5).otherwise(3)).when((x["b"] != "") & F.col("bare").contains(x["b"]), 3).otherwise(0))
+    scored = wanted.join(units, "doc_id").select("row_id", "doc_id", "unit_id", "line_start", score.alias("score")).where("score > 0")
+    order = Window.partitionBy("row_id").orderBy(F.desc("score"), "line_start", F.desc(F.col("unit_id").startswith("txt_table_row")), "doc_id")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

@@ -177,7 +177,7 @@ def weak_descriptions_top(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def row_contexts(spark: SparkSession, d: str) -> DataFrame:
-    return R.contexts(_rows(spark, d), one_per_key(load(spark, d, "chunks"), "chunk_id"))
+    return R.contexts(_rows(spark, d), one_per_key(load(spark, d, "chunks"), "chunk_id"), one_per_key(load(spark, d, "source_documents"), "doc_id"))
 
 
 @query(
