@@ -1,14 +1,18 @@
 """Records of two tables that stand for the same category, matched without a common key, each match with a confidence.
 
-Paths of either side are brought to one wording (numbering, marks and case dropped, look-alikes folded, a thesaurus for
-the other library's words) and parsed into domain, facet and tail, the latter against the domains and facets counted in
-the rows' table. Rows are grouped by category and records by wording before they meet, so copies cost one comparison.
-Candidates come from several passes: the whole tail; and, for wordings without a row of the same tail, domain and facet,
-the tail against each tail with one character taken out, either way round, and the sorted characters of the tail, which
-together find every slip. Each candidate pair is compared field by field on levels of agreement; the counts of the
-agreement patterns (a small table) feed expectation-maximisation of the probabilities of each level among matches and
-non-matches, and the posterior of the pair's pattern is its confidence. A pair of which a level means something else is
-no match at any confidence. A record is given the category of highest posterior, and of that category's rows the one
+Paths of either side are brought to plain levels (numbering, marks and case dropped, look-alikes folded). A row's path gives
+domain, facet and tail; its domains and facets are the heads that the levels of records are joined to, as they are or one
+slip apart. The other library's words are learned, not stated: where a record and a row agree in all but one span of one
+level, the span and what stands for it are counted; a pair of wordings that comes again and again, and far more often than
+any other reading of the same span, becomes a rule, and the next round reads the records with the rules found so far. Spans
+in heads are learned from records whose tail is a row's, spans in tails from records whose heads are a row's.
+
+Candidates come from three passes over all records: the whole tail as any of its readings; a reading against each tail with
+one character taken out, either way round; and sorted characters. The last two find every slip. Each pair of a record and a
+category is compared on domain, facet, tail, terms and score, and the counts of the agreement patterns (a small table)
+feed expectation-maximisation of the levels' probabilities among matches; those among all other pairs are taken from the
+fields' frequencies, as nearly all pairs of the two tables are none. The posterior of the pair's pattern is its confidence,
+and decides alone. A record is given the category of highest posterior, and of that category's rows the one
 that shares most terms with it, then the one with the smallest row_id.
 
 Defined results: records and rows without a path, or with nothing but a domain, match nothing; null terms and scores are
@@ -31,29 +35,30 @@ from ..operators.packed import parses
 from ..sources.tables import materialise
 from . import lookalikes
 
-# The thesaurus, other wording on the left.
-DOMAINS = {"诊疗服务": "医疗服务", "远程协作": "远程协同", "居民档案": "健康档案", "信息化设施": "信息设施", "供血管理": "血液管理", "人事": "人力保障", "应急响应": "应急处置", "财会运营": "财务运营", "公卫业务": "公共卫生", "监管执法": "监督执法", "母婴健康": "妇幼健康", "仪器装备": "器械设备", "药物供给": "药品供应", "教研": "科研教学"}
-FACETS = {"范围及对象": "范围与对象", "资源调配": "资源调度", "单位与人员": "机构与人员", "合同协议": "协议合同", "事项办理": "业务办理", "风险监控": "风险监测", "绩效评价": "绩效考核", "存档保管": "归档保管", "规范标准": "标准规范", "质控": "质量控制"}
-UNITS = {"用血": "输血", "入户": "上门", "接种": "疫苗", "街道": "社区", "病房": "住院", "急救": "急诊", "看护": "护理", "工种": "职业", "术科": "手术", "线上": "远程", "化验": "检验", "小儿": "儿科", "国医": "中医", "牙科": "口腔", "校园": "学校", "村镇": "乡镇", "麻科": "麻醉", "组织学": "病理", "放射": "影像", "慢性病": "慢病", "视光": "眼科", "高龄": "老年", "分娩": "产科", "转院": "转诊", "复健": "康复", "icu": "重症", "dna": "基因", "门诊部": "门诊", "回访": "随访", "健康体检": "体检"}
-OBJECTS = {"ct片": "ct影像", "预订": "预约", "药方": "处方", "户籍": "人口", "resume履历": "resume档案", "嘱托单": "医嘱", "工作时长": "工时", "申诉": "投诉", "crm单": "crm工单", "肌力评估": "力学评估", "执照": "证照", "病案": "病历", "b型超声": "设备b超", "扫码": "二维码", "naive组": "naive队列", "a蛋白": "a胎蛋白", "his对接": "his接口", "存货": "库存", "班次": "排班", "样本": "标本", "耗用品": "耗材", "收费": "费用", "журнал册": "журнал登记", "カルテ单": "カルテ"}
-ACTIONS = {"核查": "审核", "汇集": "归集"}
-LEAVES = {"基础": "基本", "变动": "变更", "溯源": "追溯", "回执": "反馈", "设定": "配置", "合计": "汇总", "移交": "交接", "许可": "授权", "品控": "质控", "细目": "明细", "计量": "统计", "流水": "日志", "警示": "预警", "再核": "复核"}
-ENDS = {"资料": "信息", "台账": "记录"}
+# What may stand behind the name of a domain and of a class.
 DOMAIN_ENDS = ("资源", "类数据", "resources", "data")
 CLASS_ENDS = ("类", "class")
 
-#: Domains and facets that the parse of records knows, the commonest.
-LEXICON = 500
-#: Least share of all categories that a domain or facet of the lexicon has.
-SHARE = 0.002
 #: A pair is a match from this posterior on.
 THRESHOLD = 0.5
 ROUNDS = 30
+#: Probability that a match differs in domain or facet: a category differs if a level means something else, so only by misreading.
+MISREAD = 0.001
+#: Rounds of reading the records and learning wordings from what was read.
+READINGS = 3
+#: A head needs so many categories; a wording so large a share of its span's texts, and so many times one more than the next best reading has.
+LEAST_CATEGORIES, LEAST_SHARE, AHEAD = 2, 0.05, 2
+#: A wording of the other library is so much rarer among the rows' texts.
+OWN = 0.25
+#: Characters of a span that a wording may replace, with and without Han characters.
+SPAN, LATIN_SPAN = 6, 12
+#: A level with more places for rules than this is read with all of them at once.
+PLACES = 10
 
 _NUMBERS = re.compile(r"^[\s（(\[【]*\d{1,4}(?:\s*[.．、]\s*\d*)*\s*[)）\]】]?\s*[、.．:：]?\s*")
 _MARKS = re.compile(r"[\W_]+")
-_ASIDE = re.compile(r"（[^）]*）$|\([^)]*\)$")
 _HAN = re.compile(r"[一-鿿]")
+_ASIDE = re.compile(r"（[^）]*）$|\([^)]*\)$")
 
 
 def plain(text: str) -> str:
@@ -105,88 +110,6 @@ def row_parts(path: list[str] | None) -> tuple[str, str, str] | None:
     return domain, facet, tail
 
 
-class Wording:
-    """The parse of the other library's paths, with the domains and facets known from the rows."""
-
-    def __init__(self, domains: list[str], facets: list[str]) -> None:
-        self.domains, self.facets = domains, facets
-        self.pairs = {d + f: (d, f) for d in domains for f in facets}
-        self.known = set(domains)
-
-    def head(self, level: str) -> tuple[str | None, str | None, bool] | None:
-        """Domain, facet and whether it took a repair, if the level names them."""
-        t = level
-        for a, b in DOMAINS.items():
-            if t.startswith(a) and not t.startswith(b):
-                t = b + t[len(a) :]
-                break
-        for a, b in FACETS.items():
-            if t.endswith(a):
-                t = t[: -len(a)] + b
-                break
-        short = _without(t, DOMAIN_ENDS)
-        if short in self.known:
-            return short, None, False
-        if t in self.pairs:
-            return (*self.pairs[t], False)
-        for d in self.domains:
-            if len(d) > 3 and _slip(short, d) or any(_slip(t, d + e) for e in DOMAIN_ENDS) or any(_slip(level, a + e) for a, b in DOMAINS.items() if b == d for e in ("", *DOMAIN_ENDS)):
-                return d, None, True
-        for whole, (d, f) in self.pairs.items():
-            if _slip(t, whole):
-                return d, f, True
-        for a, b in DOMAINS.items():
-            for f in self.facets:
-                if b in self.known and (_slip(level, a + f) or any(_slip(level, a + x) for x, y in FACETS.items() if y == f)):
-                    return b, f, True
-        for d in self.domains:
-            for x, y in FACETS.items():
-                if y in self.facets and _slip(t, d + x):
-                    return d, y, True
-        return None
-
-    def tail(self, levels: list[str]) -> str:
-        t = "".join(_without(x, CLASS_ENDS) if len(levels) > 2 and i == 0 else x for i, x in enumerate(levels))
-        if not _HAN.search(t):
-            return t
-        for a, b in UNITS.items():
-            if t.startswith(a):
-                t = b + t[len(a) :]
-                break
-        for a, b in ENDS.items():
-            if t.endswith(a):
-                t = t[: -len(a)] + b
-        for a, b in LEAVES.items():
-            if t[-4:-2] == a:
-                t = t[:-4] + b + t[-2:]
-        for table in (OBJECTS, ACTIONS):
-            for a, b in table.items():
-                i = t.find(a, 1)
-                if i > 0 and b not in t:
-                    t = t[:i] + b + t[i + len(a) :]
-        return t
-
-    def parts(self, path: list[str] | None) -> tuple[str | None, str | None, str] | None:
-        """Domain and facet, None where the path leaves them out, and tail of a record's path."""
-        domain = facet = None
-        tail: list[str] = []
-        heads: list[int] = []
-        clean = [x for x in (plain(_NUMBERS.sub("", s)) for s in path or [] if s) if x]
-        for i, level in enumerate(clean):
-            found = self.head(level) if len(heads) < 2 else None
-            if found:
-                domain = domain or found[0]
-                facet = facet or found[1]
-                heads.append(i)
-            else:
-                tail.append(level)
-        if not tail:
-            return None
-        if heads and heads[-1] == len(clean) - 1 and len(clean) > 1:
-            tail.reverse()
-        return domain, facet, self.tail(tail)
-
-
 def _slip(a: str, b: str) -> bool:
     """Whether a is b with two neighbours exchanged, or with one character lost or gained."""
     if a == b or abs(len(a) - len(b)) > 1:
@@ -224,109 +147,336 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.select("row_id", "path_levels", "data_range_examples").mapInArrow(run, schema)
 
 
-def _records(df: DataFrame, domains: list[str], facets: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("match_id", "r_domain", "r_facet", "r_tail")] + [T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("score", T.DoubleType())])
+def _slip_keys(tail: str, own: str, other: str) -> Column:
+    """Keys that two tails one slip apart share: a tail as it is and the other with one character taken out, or the sorted characters.
+
+    own and other name the sides, so that two tails that both lack a character don't meet.
+    """
+    t = F.col(tail)
+    cut = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.xxhash64(F.lit(other), F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))))
+    return F.array_distinct(F.concat(F.array(F.xxhash64(F.lit(own), t), F.xxhash64(F.lit("s"), F.array_join(F.array_sort(F.split(t, "")), ""))), cut))
+
+
+def _levels(df: DataFrame) -> DataFrame:
+    """match_id, levels, terms and score of each record with a level."""
+    schema = T.StructType([T.StructField("match_id", T.StringType()), T.StructField("levels", T.ArrayType(T.StringType())), T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = Wording(domains, facets)
         for batch in batches:
-            keep, parts = [], []
+            keep, levels = [], []
             for i, p in enumerate(batch.column("reference_path").to_pylist()):
-                if (x := w.parts(p)) is not None:
+                if x := [y for y in (plain(_NUMBERS.sub("", s)) for s in p or [] if s) if y]:
                     keep.append(i)
-                    parts.append(x)
+                    levels.append(x)
             at = pa.array(keep, pa.int32())
-            cols = [pa.array([x[j] for x in parts], pa.string()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column("match_id").take(at), *cols, batch.column("shared_terms").take(at), batch.column("score").take(at)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("match_id").take(at), pa.array(levels, pa.list_(pa.string())), batch.column("shared_terms").take(at), batch.column("score").take(at)], names=schema.names)
 
     return df.select("match_id", "reference_path", "shared_terms", "score").mapInArrow(run, schema)
 
 
-def _top(df: DataFrame, column: str) -> list[str]:
-    counts = df.groupBy(column).count()
-    least = max(2.0, (counts.agg(F.sum("count")).first()[0] or 0) * SHARE)
-    return [r[column] for r in counts.where(F.col("count") >= least).orderBy(F.desc("count"), column).limit(LEXICON).collect()]
+class Rules:
+    """Wordings of the other library and what stands for them here."""
+
+    def __init__(self, pairs: dict[str, str]) -> None:
+        self.pairs = pairs
+        self.longest = max(map(len, pairs), default=0)
+
+    def readings(self, s: str) -> list[str]:
+        """The level as it is, and with every choice of its wordings replaced."""
+        places = [(i, k) for i in range(len(s)) for k in range(1, min(self.longest, len(s) - i) + 1) if s[i : i + k] in self.pairs]
+        if not places:
+            return [s]
+        if len(places) > PLACES:
+            return [s, self._all(s)]
+        out = {s}
+        chosen: list[tuple[tuple[int, int], ...]] = [()]
+        for p in places:
+            for c in list(chosen):
+                if not c or c[-1][0] + c[-1][1] <= p[0]:
+                    chosen.append((*c, p))
+        for c in chosen:
+            t, at = [], 0
+            for i, k in c:
+                t += [s[at:i], self.pairs[s[i : i + k]]]
+                at = i + k
+            out.add("".join([*t, s[at:]]))
+        return sorted(out, key=lambda x: (x != s, x))
+
+    def _all(self, s: str) -> str:
+        out, i = [], 0
+        while i < len(s):
+            k = next((k for k in range(min(self.longest, len(s) - i), 0, -1) if s[i : i + k] in self.pairs), 0)
+            out.append(self.pairs[s[i : i + k]] if k else s[i])
+            i += k or 1
+        return "".join(out)
+
+
+def _read(strings: DataFrame, rules: Rules, ends: tuple[str, ...] = ()) -> DataFrame:
+    """s and each reading of it, with and without the ends."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(s, r) for s in batch.column("s").to_pylist() for r in dict.fromkeys(z for x in rules.readings(s) for z in (x, _without(x, ends)))]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], names=["s", "reading"])
+
+    return strings.select("s").mapInArrow(run, "s string, reading string")
+
+
+def _swapped(a: str, b: str) -> Column:
+    return (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))) & (F.levenshtein(a, b, 2) == 2) & (F.length(a) == F.length(b))
+
+
+def _slipped(a: str, b: str) -> Column:
+    """Whether one text is the other with a character lost, gained, or exchanged with its neighbour."""
+    return (F.abs(F.length(a) - F.length(b)) == 1) & (F.levenshtein(a, b, 1) == 1) | F.coalesce(_swapped(a, b), F.lit(False))
+
+
+def _near(left: DataFrame, a: str, right: DataFrame, b: str) -> DataFrame:
+    """The pairs of different texts that are one slip apart."""
+    x = left.select(a).distinct().select(a, F.explode(_slip_keys(a, "record", "row")).alias("key"))
+    y = right.select(b).distinct().select(b, F.explode(_slip_keys(b, "row", "record")).alias("key"))
+    return x.join(y, "key").where(F.col(a) != F.col(b)).where(_slipped(a, b)).select(a, b).distinct()
+
+
+def _heads(categories: DataFrame) -> DataFrame:
+    """h, domain, facet (null for a domain alone) and n of the texts that name a domain, or a domain with a facet; of several meanings the commonest."""
+    counts = categories.groupBy("domain", "facet").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_CATEGORIES)
+    alone = counts.groupBy("domain").agg(F.sum("n").alias("n")).select(F.explode(F.array(F.col("domain"), *(F.concat("domain", F.lit(e)) for e in DOMAIN_ENDS))).alias("h"), "domain", F.lit(None).cast("string").alias("facet"), "n")
+    both = counts.select(F.concat("domain", "facet").alias("h"), "domain", "facet", "n")
+    return both.union(alone).groupBy("h").agg(F.max(F.struct("n", "domain", "facet")).alias("m")).select("h", "m.domain", "m.facet", "m.n")
+
+
+def _resolved(wordings: DataFrame, heads: DataFrame, rules: Rules) -> DataFrame:
+    """levels, r_domain, r_facet and r_tail of each wording, the levels that name heads joined to them as read, else one slip apart."""
+    strings = wordings.select(F.explode("levels").alias("s")).distinct()
+    read = _read(strings, rules, DOMAIN_ENDS)
+    known = read.join(heads, F.col("reading") == F.col("h")).groupBy("s").agg(F.max(F.struct((F.col("reading") == F.col("s")).alias("same"), "n", "domain", "facet")).alias("m")).select("s", "m.domain", "m.facet")
+    long = read.join(known, "s", "left_anti").where(F.length("reading") > 2)
+    targets = heads.where(F.length("h") > 3)
+    slips = long.join(_near(long, "reading", targets, "h"), "reading").join(heads, "h").groupBy("s").agg(F.max(F.struct("n", "domain", "facet")).alias("m")).select("s", "m.domain", "m.facet")
+    found = known.union(slips)
+    at = wordings.select("levels", F.posexplode("levels").alias("i", "s")).join(found, "s", "left")
+    order = F.array_sort(F.collect_list(F.struct("i", "s", F.coalesce("domain", F.lit("")).alias("d"), F.col("facet").alias("f"))))
+    t = at.groupBy("levels").agg(order.alias("x"))
+    # two levels at most name heads, the first two
+    index = F.transform(F.slice(F.filter("x", lambda e: e["d"] != ""), 1, 2), lambda e: e["i"])
+    t = t.withColumn("heads", index)
+    chosen = F.filter("x", lambda e: F.array_contains("heads", e["i"]))
+    tail = F.transform(F.filter("x", lambda e: ~F.array_contains("heads", e["i"])), lambda e: e["s"])
+    facets = F.filter(F.transform(chosen, lambda e: e["f"]), lambda f: f.isNotNull())
+    t = t.select("levels", F.get(F.transform(chosen, lambda e: e["d"]), F.lit(0)).alias("r_domain"), F.get(facets, F.lit(0)).alias("r_facet"), tail.alias("tail"), ((F.size("heads") > 0) & (F.array_max("heads") == F.size("x") - 1) & (F.size("x") > 1)).alias("turned"))
+    t = t.where("size(tail) > 0").withColumn("tail", F.when(F.col("turned"), F.reverse("tail")).otherwise(F.col("tail")))
+    first = F.when(F.size("tail") > 2, _bare(F.get("tail", F.lit(0)), CLASS_ENDS)).otherwise(F.get("tail", F.lit(0)))
+    return t.select("levels", "r_domain", "r_facet", F.concat(first, F.array_join(F.slice("tail", F.lit(2), F.size("tail")), "")).alias("r_tail"))
+
+
+def _spans(pairs: DataFrame) -> DataFrame:
+    """a, b and n: the spans in which the texts s and t of the pairs differ, as they are and with a character more on either side, and the number of different ids. pairs: id, s, t."""
+
+    def one(s: str, t: str) -> Iterator[tuple[str, str]]:
+        i = 0
+        while i < min(len(s), len(t)) and s[i] == t[i]:
+            i += 1
+        j = 0
+        while j < min(len(s), len(t)) - i and s[-1 - j] == t[-1 - j]:
+            j += 1
+        if i + j == 0 or s == t or _slip(s, t):
+            return
+        for x in (0, 1):
+            for y in (0, 1):
+                if x <= i and y <= j:
+                    a, b = s[i - x : len(s) - j + y], t[i - x : len(t) - j + y]
+                    if 2 <= len(a) <= (most := SPAN if _HAN.search(a + b) else LATIN_SPAN) and len(b) <= most:
+                        yield a, b
 
-def _slip_keys(tail: str, own: str, other: str) -> Column:
-    """Keys that two tails one slip apart share: a tail as it is and the other with one character taken out, or the sorted characters.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(i, a, b) for i, s, t in zip(*(batch.column(c).to_pylist() for c in ("id", "s", "t"))) for a, b in one(s, t)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.string()) for k in (1, 2))], names=["id", "a", "b"])
 
-    own and other name the sides, so that two tails that both lack a character don't meet.
+    return pairs.select("id", "s", "t").mapInArrow(run, "id bigint, a string, b string").distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _learned(pairs: DataFrame, unread: DataFrame, own: DataFrame) -> dict[str, str]:
+    """Wordings that are read one way far more often than any other, and that the rows don't use themselves.
+
+    pairs: id, s, t; unread: id and s of all texts that the rules don't cover yet; own: id and s of the rows' texts.
     """
-    t = F.col(tail)
-    cut = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.xxhash64(F.lit(other), F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))))
-    return F.array_distinct(F.concat(F.array(F.xxhash64(F.lit(own), t), F.xxhash64(F.lit("s"), F.array_join(F.array_sort(F.split(t, "")), ""))), cut))
+    spans = _spans(pairs).where(F.col("b") != "")
+    best = spans.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "b")), False), 1, 2).alias("x"))
+    ahead = best.where(F.col("x")[0]["n"] >= AHEAD * (1 + F.coalesce(F.get("x", F.lit(1))["n"], F.lit(0)))).select("a", F.col("x")[0]["b"].alias("b"), F.col("x")[0]["n"].alias("n"))
+    found = {r["a"]: (r["b"], r["n"]) for r in ahead.collect()}
+    if not found:
+        return {}
+    longest = max(map(len, found))
 
+    # texts without Han characters are no evidence on a wording that stands for Han characters
+    han = {a: bool(_HAN.search(b)) for a, (b, _) in found.items()}
 
-def _fitted(patterns: list[tuple[tuple[int, ...], int]], fields: int) -> dict[tuple[int, ...], float]:
-    """The posterior of a match for each agreement pattern, by expectation-maximisation."""
-    total = sum(n for _, n in patterns)
-    levels = [sorted({p[f] for p, _ in patterns}) for f in range(fields)]
-    m = [{v: (0.9 if v == 0 else 0.1 / max(1, len(ls) - 1)) for v in ls} for ls in levels]
-    u = [{v: (0.1 if v == 0 else 0.9 / max(1, len(ls) - 1)) for v in ls} for ls in levels]
-    prior = 0.2
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for w, s, h in zip(*(batch.column(c).to_pylist() for c in ("w", "s", "h"))):
+                out += [(w, h, a) for a in {s[i : i + k] for i in range(len(s)) for k in range(2, longest + 1)} if a in found and han[a] == h]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.string()))], names=["w", "h", "a"])
+
+    texts = unread.select("id", F.lit("unread").alias("w"), "s").distinct().union(own.select("id", F.lit("own").alias("w"), "s").distinct()).select("w", "s", F.col("s").rlike(_HAN.pattern).alias("h"))
+    n_of = {(r["w"], r["h"]): r["n"] for r in texts.groupBy("w", "h").agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = {(r["w"], r["a"]): r["n"] for r in texts.mapInArrow(run, "w string, h boolean, a string").groupBy("w", "a").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rate = lambda w, a: seen.get((w, a), 0) / n_of.get((w, han[a]), 1)
+    good = {a: b for a, (b, n) in found.items() if n >= LEAST_SHARE * seen.get(("unread", a), n) and rate("own", a) <= OWN * rate("unread", a)}
+    # a longer span that a shorter rule reads the same way says nothing new
+    return {a: b for a, b in good.items() if not any(a[i:j] in good and a[:i] + good[a[i:j]] + a[j:] == b for i in range(len(a)) for j in range(i + 2, len(a) + 1) if j - i < len(a))}
+
+
+def _bare(c: Column, ends: tuple[str, ...]) -> Column:
+    out = c
+    for e in ends:
+        out = F.when(c.endswith(e) & (F.length(c) > len(e)), F.left(c, F.length(c) - len(e))).otherwise(out)
+    return out
+
+
+def _splits() -> Column:
+    """The ways to take one or two levels from either end as heads: t, the rest as one text in the order of a row, and h."""
+    n = F.size("levels")
+    ways = []
+    for k in (1, 2):
+        ways.append(F.struct(F.array_join(F.slice("levels", F.lit(k + 1), F.greatest(n - k, F.lit(0))), "").alias("t"), F.slice("levels", 1, k).alias("h")))
+        ways.append(F.struct(F.array_join(F.reverse(F.slice("levels", F.lit(1), F.greatest(n - k, F.lit(0)))), "").alias("t"), F.slice("levels", F.greatest(n - k + 1, F.lit(1)), F.lit(k)).alias("h")))
+    return F.array(*ways)
+
+
+def _plain_term(x: Column) -> Column:
+    return F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", "")
+
+
+def _edges(c: str) -> Column:
+    return F.explode(F.array(F.concat(F.lit("<"), F.left(F.col(c), F.lit(2))), F.concat(F.lit(">"), F.right(F.col(c), F.lit(2)))))
+
+
+def _wordings(records: DataFrame, categories: DataFrame) -> tuple[DataFrame, Rules]:
+    """The wordings of the records, read with the rules learned from them."""
+    wordings = materialise(records.select("levels").distinct(), "p4levels")
+    heads = materialise(_heads(categories), "p4heads")
+    tails = categories.select("tail").distinct()
+    known: dict[str, str] = {}
+    for n in range(READINGS):
+        rules = Rules(known)
+        read = materialise(_resolved(wordings, heads, rules), "p4read")
+        if n == READINGS - 1:
+            break
+        # a record and a category only teach wordings if they share a term that neither text accounts for
+        # heads: the levels beside a tail that is a row's, against the heads of that tail's rows
+        beside = records.where("size(levels) > 1 and size(terms) > 0").select("terms", F.xxhash64("match_id").alias("id"), F.explode(_splits()).alias("x")).where("x.t <> ''").select("id", "terms", "x.t", "x.h").distinct()
+        anchored = _read(beside.select(F.col("t").alias("s")).distinct(), rules).join(tails, F.col("reading") == F.col("tail"), "left_semi")
+        met = beside.join(anchored, F.col("t") == F.col("s")).select("id", "terms", "reading", F.explode("h").alias("s")).join(heads, F.col("s") == F.col("h"), "left_anti")
+        met = met.withColumn("s", _bare(F.col("s"), DOMAIN_ENDS)).distinct()
+        pairs = met.join(categories, F.col("reading") == F.col("tail")).where(F.arrays_overlap("terms", "examples"))
+        pairs = pairs.select("id", "s", F.explode(F.array(F.when(F.length("s") <= F.length("domain") + 2, F.col("domain")), F.concat("domain", "facet"))).alias("t")).where("t is not null").distinct()
+        more = _learned(pairs, met, heads.select(F.xxhash64("h").alias("id"), F.col("h").alias("s")))
+        # tails: of records whose heads are a row's, against the tails of these heads that begin or end alike
+        own = (F.col("r_domain") == F.col("domain")) & (F.col("r_facet") == F.col("facet"))
+        unread = records.where("size(terms) > 0").join(read, "levels").where("r_domain is not null and r_facet is not null").join(categories, own & (F.col("r_tail") == F.col("tail")), "left_anti").select(F.xxhash64("match_id").alias("id"), "r_domain", "r_facet", F.col("r_tail").alias("s"), "terms")
+        a = unread.select("*", _edges("s").alias("edge"))
+        b = categories.select("domain", "facet", F.col("tail").alias("t"), "examples", _edges("tail").alias("e"))
+        told = F.exists("terms", lambda x: F.col("t").contains(_plain_term(x)) & ~F.col("s").contains(_plain_term(x)))
+        met = a.join(b, own & (F.col("edge") == F.col("e"))).where(F.arrays_overlap("terms", "examples") | told)
+        more |= _learned(met.select("id", "s", "t").distinct(), unread, tails.select(F.xxhash64("tail").alias("id"), F.col("tail").alias("s")))
+        known = known | {k: v for k, v in more.items() if k not in known}
+    return read, rules
+
+def _agreement(a: str, b: str) -> Column:
+    return F.when(F.col(b).isNull(), 1).when(F.col(a) == F.col(b), 0).otherwise(2)
+
+
+FIELDS = ["c_domain", "c_facet", "c_tail", "c_terms", "c_score"]
+
+
+def _shares(left: DataFrame, a: str, right: DataFrame, b: str) -> list[float]:
+    """Probabilities that two values picked at random agree, that left's is missing, and that they differ."""
+    x, y = left.groupBy(F.col(a).alias("v")).agg(F.count(F.lit(1)).alias("x")), right.groupBy(F.col(b).alias("v")).agg(F.count(F.lit(1)).alias("y"))
+    one = x.join(y, x["v"].eqNullSafe(y["v"]), "full_outer").agg(F.sum("x").alias("nx"), F.sum("y").alias("ny"), F.sum(F.when(x["v"].isNotNull(), F.col("x").cast("double") * F.col("y"))).alias("same"), F.sum(F.when(x["v"].isNull(), F.col("x"))).alias("none")).first()
+    same, none = (one["same"] or 0.0) / max(1.0, one["nx"] * float(one["ny"])), (one["none"] or 0) / max(1, one["nx"])
+    return [max(same, 1e-9), max(none, 1e-9), max(1 - same - none, 1e-9)]
+
+
+def _fitted(patterns: list[tuple[tuple[int, ...], int]], chance: list[dict[int, float]], pairs: float) -> dict[tuple[int, ...], float]:
+    """The posterior of a match for each agreement pattern, by expectation-maximisation of the levels among matches.
+
+    chance: the probability of each level among pairs that are no match; pairs: how many pairs the two tables have. Level 1
+    of a field that has a level 2 is a missing value, which says nothing: it is as likely among matches as among others.
+    Two paths that agree in every level are of one category, so among other pairs that too takes a misreading.
+    """
+    fields = range(len(chance))
+
+    def held(m: list[dict[int, float]]) -> list[dict[int, float]]:
+        for f in fields:
+            fixed = {1: chance[f][1]} if 2 in chance[f] else {}
+            if f < 2:
+                fixed[2] = MISREAD
+            free = sum(v for k, v in m[f].items() if k not in fixed)
+            m[f] = {k: fixed[k] if k in fixed else v / free * (1 - sum(fixed.values())) for k, v in m[f].items()}
+        return m
+
+    m = held([{v: (0.9 if v == 0 else 0.1 / max(1, len(c) - 1)) for v in c} for c in chance])
+    prior = 1 / math.sqrt(max(4.0, pairs)) / 10
     post: dict[tuple[int, ...], float] = {}
     for _ in range(ROUNDS):
         for p, _n in patterns:
-            a = math.log(prior) + sum(math.log(m[f][p[f]]) for f in range(fields))
-            b = math.log(1 - prior) + sum(math.log(u[f][p[f]]) for f in range(fields))
-            post[p] = 1 / (1 + math.exp(min(700, b - a)))
+            a = math.log(prior) + sum(math.log(m[f][p[f]]) for f in fields)
+            b = math.log(1 - prior) + sum(math.log(chance[f][p[f]]) for f in fields) + (math.log(MISREAD) if p[:3] == (0, 0, 0) else 0)
+            post[p] = 1 / (1 + math.exp(max(-700, min(700, b - a))))
         w = sum(post[p] * n for p, n in patterns)
-        prior = min(0.99, max(1e-4, w / total))
-        for f in range(fields):
-            k = len(levels[f])
-            m[f] = {v: (sum(post[p] * n for p, n in patterns if p[f] == v) + 0.5) / (w + 0.5 * k) for v in levels[f]}
-            u[f] = {v: (sum((1 - post[p]) * n for p, n in patterns if p[f] == v) + 0.5) / (total - w + 0.5 * k) for v in levels[f]}
+        prior = min(0.5, max(1e-12, w / pairs))
+        m = held([{v: (sum(post[p] * n for p, n in patterns if p[f] == v) + 0.1) / (w + 0.1 * len(chance[f])) for v in chance[f]} for f in fields])
     return post
 
 
 def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     """row_id, match_id and confidence of each record that stands for a row's category."""
     parsed = materialise(_rows(rows), "p4rows")
-    terms = F.array_sort(F.array_distinct(F.coalesce("examples", F.array().cast("array<string>"))))
-    # one line for each category with its first row; copies of a category add nothing to the comparison
-    categories = parsed.groupBy("domain", "facet", "tail").agg(F.min("row_id").alias("first_row"))
-    domains, facets = _top(categories, "domain"), _top(categories, "facet")
-    wordings = materialise(_records(records, domains, facets).dropDuplicates(["match_id"]), "p4records")
-    signatures = wordings.select("r_domain", "r_facet", "r_tail").distinct()
-    # first pass: the whole tail; the passes for slips are for wordings without a row of the same tail, domain and facet
-    own = ["r_domain", "r_facet", "r_tail"]
-    columns = [*own, "domain", "facet", "tail"]
-    whole = signatures.join(categories, F.col("r_tail") == F.col("tail")).select(*columns)
-    agrees = F.coalesce(F.col("r_domain") == F.col("domain"), F.lit(True)) & F.coalesce(F.col("r_facet") == F.col("facet"), F.lit(True))
-    rest = signatures.join(categories, (F.col("r_tail") == F.col("tail")) & agrees, "left_anti")
-    left = rest.select("r_tail").distinct().select("r_tail", F.explode(_slip_keys("r_tail", "record", "row")).alias("key"))
-    right = categories.select("tail").distinct().select("tail", F.explode(_slip_keys("tail", "row", "record")).alias("key"))
-    near = left.join(right, "key").where("r_tail <> tail").select("r_tail", "tail").distinct()
-    pairs = whole.union(rest.join(near, "r_tail").join(categories, "tail").select(*columns))
-    distance = F.levenshtein("tail", "r_tail", 2)
-    swapped = (F.array_sort(F.split("tail", "")) == F.array_sort(F.split("r_tail", ""))) & (F.levenshtein("tail", "r_tail") == 2)
-    slipped = (F.abs(F.length("tail") - F.length("r_tail")) == 1) & (distance == 1) | swapped
-
-    def agreement(a: str, b: str) -> Column:
-        return F.when(F.col(b).isNull(), 1).when(F.col(a) == F.col(b), 0).otherwise(2)
-
-    compared = pairs.withColumns({"c_domain": agreement("domain", "r_domain"), "c_facet": agreement("facet", "r_facet"), "c_tail": F.when(F.col("tail") == F.col("r_tail"), 0).when(slipped, 1).otherwise(2)}).distinct()
+    none = F.array().cast("array<string>")
+    # one line for each category; copies of a category add nothing to the comparison
+    categories = materialise(parsed.groupBy("domain", "facet", "tail").agg(F.array_distinct(F.flatten(F.collect_set(F.coalesce("examples", none)))).alias("examples")), "p4categories")
+    known = materialise(_levels(records).dropDuplicates(["match_id"]), "p4records")
+    read, rules = _wordings(known, categories)
+    signatures = read.select("r_tail").distinct()
+    readings = _read(signatures.select(F.col("r_tail").alias("s")), rules)
+    tails = categories.select("tail").distinct()
+    whole = readings.join(tails, F.col("reading") == F.col("tail")).select(F.col("s").alias("r_tail"), "tail", F.lit(0).alias("c_tail"))
+    slips = readings.join(_near(readings, "reading", tails, "tail"), "reading").select(F.col("s").alias("r_tail"), "tail", F.lit(1).alias("c_tail"))
+    near = materialise(whole.union(slips).groupBy("r_tail", "tail").agg(F.min("c_tail").alias("c_tail")), "p4near")
+    wanted = known.join(read, "levels").select("match_id", "terms", "score", "r_domain", "r_facet", "r_tail")
+    plain_terms = F.transform(F.coalesce("terms", none), _plain_term)
+    met = wanted.join(near, "r_tail").join(categories, "tail")
+    # terms that the tail holds agree because the tail does; the others are held against the examples
+    others = F.filter(F.coalesce("terms", none), lambda x: ~F.col("tail").contains(_plain_term(x)))
+    shared = F.size(F.array_intersect(others, "examples"))
+    c_terms = F.when(F.size(others) == 0, 1).when(shared == F.size(F.array_distinct(others)), 0).when(shared > 0, 2).otherwise(3)
+    c_score = F.when(F.col("score").isNull(), 1).when(F.col("score") >= 0.6, 0).when(F.col("score") >= 0.3, 2).otherwise(3)
+    compared = met.select("match_id", "domain", "facet", "tail", _agreement("domain", "r_domain").alias("c_domain"), _agreement("facet", "r_facet").alias("c_facet"), "c_tail", c_terms.alias("c_terms"), c_score.alias("c_score"), plain_terms.alias("plain_terms"), "terms")
     compared = materialise(compared, "p4pairs")
-    columns = ["c_domain", "c_facet", "c_tail"]
-    patterns = [(tuple(r[c] for c in columns), r["count"]) for r in compared.groupBy(*columns).count().collect()]
+    patterns = [(tuple(r[c] for c in FIELDS), r["count"]) for r in compared.groupBy(*FIELDS).count().collect()]
     if not patterns:
         return rows.sparkSession.createDataFrame([], "row_id string, match_id string, confidence double")
-    post = _fitted(patterns, len(columns))
-    code = lambda p: p[0] * 9 + p[1] * 3 + p[2]
-    posterior = F.element_at(F.create_map(*(F.lit(x) for p, v in post.items() for x in (code(p), v))), F.col("c_domain") * 9 + F.col("c_facet") * 3 + F.col("c_tail"))
-    same = (F.col("c_domain") < 2) & (F.col("c_facet") < 2) & (F.col("c_tail") < 2)
-    exact = compared.where(same).withColumn("confidence", posterior).where(F.col("confidence") >= THRESHOLD)
-    # the records' terms choose among the categories and rows that remain
-    some = wordings.select("match_id", "r_domain", "r_facet", "r_tail", "terms")
-    null_safe = F.lit(True)
-    for c in ("r_domain", "r_facet", "r_tail"):
-        null_safe = null_safe & some[c].eqNullSafe(exact[c])
-    candidates = some.join(exact, null_safe).select("match_id", "terms", "domain", "facet", "tail", "c_tail", "confidence")
-    sets = parsed.withColumn("examples", terms).groupBy("domain", "facet", "tail", "examples").agg(F.min("row_id").alias("row_id"))
-    chosen = candidates.join(sets, ["domain", "facet", "tail"])
-    plain_terms = F.transform(F.coalesce("terms", F.array().cast("array<string>")), lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", ""))
-    hits = F.size(F.array_intersect("terms", "examples")) + F.size(F.filter(plain_terms, lambda x: F.col("tail").contains(x)))
-    hits = F.when(F.col("terms").isNull(), 0).otherwise(hits)
-    best = chosen.withColumn("hits", hits).groupBy("match_id").agg(F.min(F.struct("c_tail", (-F.col("hits")).alias("misses"), (-F.col("confidence")).alias("doubt"), "row_id")).alias("b"))
+    n_rows, n_records = float(categories.count()), float(max(1, wanted.count()))
+    met_tails = {r["c_tail"]: r["n"] for r in near.join(signatures.join(wanted.groupBy("r_tail").agg(F.count(F.lit(1)).alias("x")), "r_tail"), "r_tail").join(categories.groupBy("tail").agg(F.count(F.lit(1)).alias("y")), "tail").groupBy("c_tail").agg(F.sum(F.col("x") * F.col("y")).alias("n")).collect()}
+    pairs = n_rows * n_records
+    tail_chance = {k: max(1e-12, met_tails.get(k, 0) / pairs) for k in (0, 1)}
+    level = lambda x, of: dict(zip(of, x))
+    strangers = [(p, n) for p, n in patterns if p[0] == 2] or patterns
+    total = sum(n for _, n in strangers)
+    terms_chance = {v: (sum(n for p, n in strangers if p[3] == v) + 0.5) / (total + 2) for v in (0, 1, 2, 3)}
+    scores = {r["c"]: r["n"] for r in wanted.groupBy(c_score.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    score_chance = {v: (scores.get(v, 0) + 0.5) / (n_records + 2) for v in (0, 1, 2, 3)}
+    chance = [level(_shares(wanted, "r_domain", categories, "domain"), (0, 1, 2)), level(_shares(wanted, "r_facet", categories, "facet"), (0, 1, 2)), tail_chance, terms_chance, score_chance]
+    post = _fitted(patterns, chance, pairs)
+    code = sum((F.col(c) * 4**i for i, c in enumerate(FIELDS)), F.lit(0))
+    posterior = F.element_at(F.create_map(*(F.lit(x) for p, v in post.items() for x in (sum(k * 4**i for i, k in enumerate(p)), v))), code)
+    sure = compared.withColumn("confidence", posterior).where(F.col("confidence") >= THRESHOLD)
+    # the records' terms choose among the rows of the categories that remain
+    sets = parsed.withColumn("examples", F.array_sort(F.array_distinct(F.coalesce("examples", none)))).groupBy("domain", "facet", "tail", "examples").agg(F.min("row_id").alias("row_id"))
+    hits = F.when(F.col("terms").isNull(), 0).otherwise(F.size(F.array_intersect("terms", "examples")) + F.size(F.filter("plain_terms", lambda x: F.col("tail").contains(x))))
+    chosen = sure.join(sets, ["domain", "facet", "tail"]).withColumn("hits", hits)
+    best = chosen.groupBy("match_id").agg(F.min(F.struct((-F.col("confidence")).alias("doubt"), (-F.col("hits")).alias("misses"), "row_id")).alias("b"))
     return best.select(F.col("b.row_id").alias("row_id"), "match_id", (-F.col("b.doubt")).alias("confidence"))

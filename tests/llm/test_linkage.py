@@ -10,11 +10,11 @@ def tables(spark, records):
     return spark.createDataFrame(rows, ROWS), spark.createDataFrame(records, RECORDS), {tuple(r[1]): r[0] for r in rows}
 
 
-def test_other_wording_order_numbers_and_slips(spark):
+def test_order_numbers_and_slips(spark):
     fill = [(f"f{i}", [d + "资源", d + f, u + o, e], None, 0.5) for i, (d, f, u, o, e) in enumerate(PATHS)]
     records = fill + [
-        ("a", ["7.1 诊疗服务类数据", "7.2 诊疗服务资源调配", "7.3 国医药方", "7.4 变动资料"], ["中医"], None),
-        ("b", ["基础信息", "小儿病案汇集", "公卫业务规范标准", "公卫业务"], None, 0.9),
+        ("a", ["7.1 医疗服务类数据", "7.2 医疗服务资源调度", "7.3 中医处方", "7.4 变更信息"], ["中医"], None),
+        ("b", ["基本信息", "儿科病历归集", "公共卫生标准规范", "公共卫生"], None, 0.9),
         ("c", ["健康档案质量控制", "口腔病归历集", "变更记录"], [], 40.0),
         ("d", ["健康档案质量控制", "口腔病历", "变更记录"], [], 0.9),
         ("e", None, None, None),
@@ -49,3 +49,21 @@ def test_slips_amid_a_short_tail_that_another_domain_has(spark):
     recs = spark.createDataFrame(records, RECORDS)
     out = {r.match_id: r.row_id for r in L.links(spark.createDataFrame(rows, ROWS), recs).collect()}
     assert out == {r[0]: f"r{r[0][1:]}" for r in records}
+
+
+def test_other_wordings_are_learned_from_the_records(spark):
+    plain = [(f"r{i:03}", [d + "资源", d + f, u + o, e], [f"例{i}", "患者日期"]) for i, (d, f, u, o, e) in enumerate(PATHS)]
+    heads = [(f"h{i:03}", [p[0].replace("医疗服务", "诊疗服务"), p[1].replace("医疗", "诊疗"), *p[2:]], x[:1], 0.8) for i, (_, p, x) in enumerate(plain)]
+    tails = [(f"t{i:03}", [*p[:2], p[2].replace("病历", "病案"), p[3].replace("变更", "变动")] if i % 2 else [*p[:2], p[2].replace("病历", "病案"), p[3]], x[:1], 0.8) for i, (_, p, x) in enumerate(plain)]
+    both = [("b", ["诊疗服务资源", "诊疗服务质量控制", "口腔病案归集", "基本信息"], None, 0.8), ("n", ["诊疗服务资源", "诊疗服务质量控制", "口腔影像归集", "基本信息"], None, 0.8)]
+    out = {r.match_id: (r.row_id, r.confidence) for r in L.links(spark.createDataFrame(plain, ROWS), spark.createDataFrame(heads + tails + both, RECORDS)).collect()}
+    of = {tuple(p): r for r, p, _ in plain}
+    assert all(out[k][0] == "r" + k[1:] for k in out if k[0] in "ht") and len(out) == 2 * len(plain) + 1
+    assert out["b"][0] == of[("医疗服务资源", "医疗服务质量控制", "口腔病历归集", "基本信息")]
+
+
+def test_agreement_never_lowers_the_posterior():
+    chance = [{0: 0.05, 1: 0.01, 2: 0.94}, {0: 0.05, 1: 0.1, 2: 0.85}, {0: 1e-4, 1: 1e-5}]
+    patterns = [((0, 0, 0), 500), ((0, 1, 0), 60), ((2, 0, 0), 300), ((2, 2, 0), 9000), ((0, 2, 0), 400), ((0, 0, 1), 30), ((2, 2, 1), 100)]
+    post = L._fitted(patterns, chance, 1e8)
+    assert post[0, 0, 0] >= post[0, 1, 0] >= post[0, 2, 0] >= post[2, 2, 0] and post[0, 0, 0] > 0.9 and post[2, 0, 0] < 0.1 and post[0, 2, 0] < 0.1
