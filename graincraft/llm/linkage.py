@@ -2,10 +2,11 @@
 
 Paths of either side are brought to plain levels (numbering, marks and case dropped, look-alikes folded). A row's path gives
 domain, facet and tail; its domains and facets are the heads that the levels of records are joined to, as they are or one
-slip apart. The other library's words are learned, not stated: where a record and a row agree in all but one span of one
-level, the span and what stands for it are counted; a pair of wordings that comes again and again, and far more often than
-any other reading of the same span, becomes a rule, and the next round reads the records with the rules found so far. Spans
-in heads are learned from records whose tail is a row's, spans in tails from records whose heads are a row's.
+slip apart. The other library's words are learned, not stated. A record's terms are in the rows' words: a term that its text lacks is
+counted with each span of the text, and a span whose records have the term far more often than others becomes a wording of
+it. Heads are learned from records whose tail, read with these wordings, is a row's: where a level and a head of that tail's
+rows agree in all but one span, the span and what stands for it are counted, and a pair that comes again and again, and far
+more often than any other reading of the span, becomes a wording too.
 
 Candidates come from three passes over all records: the whole tail as any of its readings; a reading against each tail with
 one character taken out, either way round; and sorted characters. The last two find every slip. Each pair of a record and a
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,10 +46,10 @@ THRESHOLD = 0.5
 ROUNDS = 30
 #: Probability that a match differs in domain or facet: a category differs if a level means something else, so only by misreading.
 MISREAD = 0.001
-#: Rounds of reading the records and learning wordings from what was read.
-READINGS = 3
 #: A head needs so many categories; a wording so large a share of its span's texts, and so many times one more than the next best reading has.
 LEAST_CATEGORIES, LEAST_SHARE, AHEAD = 2, 0.05, 2
+#: A span stands for a term it lacks if so large a share of the records with the span have the term, and if so many by chance are less likely than one such pair among all that meet.
+TOLD = 0.12
 #: A wording of the other library is so much rarer among the rows' texts.
 OWN = 0.25
 #: Characters of a span that a wording may replace, with and without Han characters.
@@ -58,6 +60,7 @@ PLACES = 10
 _NUMBERS = re.compile(r"^[\s（(\[【]*\d{1,4}(?:\s*[.．、]\s*\d*)*\s*[)）\]】]?\s*[、.．:：]?\s*")
 _MARKS = re.compile(r"[\W_]+")
 _HAN = re.compile(r"[一-鿿]")
+_LETTERS = re.compile(r"[^\W\d_一-鿿]{3}")
 _ASIDE = re.compile(r"（[^）]*）$|\([^)]*\)$")
 
 
@@ -158,8 +161,8 @@ def _slip_keys(tail: str, own: str, other: str) -> Column:
 
 
 def _levels(df: DataFrame) -> DataFrame:
-    """match_id, levels, terms and score of each record with a level."""
-    schema = T.StructType([T.StructField("match_id", T.StringType()), T.StructField("levels", T.ArrayType(T.StringType())), T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("score", T.DoubleType())])
+    """match_id, levels, terms, as they are and plain, and score of each record with a level."""
+    schema = T.StructType([T.StructField("match_id", T.StringType()), T.StructField("levels", T.ArrayType(T.StringType())), T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("plain_terms", T.ArrayType(T.StringType())), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +172,9 @@ def _levels(df: DataFrame) -> DataFrame:
                     keep.append(i)
                     levels.append(x)
             at = pa.array(keep, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("match_id").take(at), pa.array(levels, pa.list_(pa.string())), batch.column("shared_terms").take(at), batch.column("score").take(at)], names=schema.names)
+            terms = batch.column("shared_terms").take(at)
+            plains = [[plain(x) for x in ts or [] if x] for ts in terms.to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("match_id").take(at), pa.array(levels, pa.list_(pa.string())), terms, pa.array(plains, pa.list_(pa.string())), batch.column("score").take(at)], names=schema.names)
 
     return df.select("match_id", "reference_path", "shared_terms", "score").mapInArrow(run, schema)
 
@@ -298,35 +303,18 @@ def _spans(pairs: DataFrame) -> DataFrame:
 
 
 def _learned(pairs: DataFrame, unread: DataFrame, own: DataFrame) -> dict[str, str]:
-    """Wordings that are read one way far more often than any other, and that the rows don't use themselves.
-
-    pairs: id, s, t; unread: id and s of all texts that the rules don't cover yet; own: id and s of the rows' texts.
-    """
+    """Wordings that are read one way far more often than any other. pairs: id, s, t; unread: id and s of all texts that the rules don't cover yet; own: s of the rows' texts."""
     spans = _spans(pairs).where(F.col("b") != "")
     best = spans.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "b")), False), 1, 2).alias("x"))
     ahead = best.where(F.col("x")[0]["n"] >= AHEAD * (1 + F.coalesce(F.get("x", F.lit(1))["n"], F.lit(0)))).select("a", F.col("x")[0]["b"].alias("b"), F.col("x")[0]["n"].alias("n"))
     found = {r["a"]: (r["b"], r["n"]) for r in ahead.collect()}
-    if not found:
+    good = _foreign({a: b for a, (b, _) in found.items()}, unread.select("s"), own)
+    if not good:
         return {}
-    longest = max(map(len, found))
-
-    # texts without Han characters are no evidence on a wording that stands for Han characters
-    han = {a: bool(_HAN.search(b)) for a, (b, _) in found.items()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for w, s, h in zip(*(batch.column(c).to_pylist() for c in ("w", "s", "h"))):
-                out += [(w, h, a) for a in {s[i : i + k] for i in range(len(s)) for k in range(2, longest + 1)} if a in found and han[a] == h]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.string()))], names=["w", "h", "a"])
-
-    texts = unread.select("id", F.lit("unread").alias("w"), "s").distinct().union(own.select("id", F.lit("own").alias("w"), "s").distinct()).select("w", "s", F.col("s").rlike(_HAN.pattern).alias("h"))
-    n_of = {(r["w"], r["h"]): r["n"] for r in texts.groupBy("w", "h").agg(F.count(F.lit(1)).alias("n")).collect()}
-    seen = {(r["w"], r["a"]): r["n"] for r in texts.mapInArrow(run, "w string, h boolean, a string").groupBy("w", "a").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rate = lambda w, a: seen.get((w, a), 0) / n_of.get((w, han[a]), 1)
-    good = {a: b for a, (b, n) in found.items() if n >= LEAST_SHARE * seen.get(("unread", a), n) and rate("own", a) <= OWN * rate("unread", a)}
-    # a longer span that a shorter rule reads the same way says nothing new
-    return {a: b for a, b in good.items() if not any(a[i:j] in good and a[:i] + good[a[i:j]] + a[j:] == b for i in range(len(a)) for j in range(i + 2, len(a) + 1) if j - i < len(a))}
+    texts = unread.select("s").groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    holding = texts.select(F.explode(F.filter(F.array(*map(F.lit, sorted(good))), lambda a: F.col("s").contains(a))).alias("a"), "n").groupBy("a").agg(F.sum("n").alias("n"))
+    seen = {r["a"]: r["n"] for r in holding.collect()}
+    return {a: b for a, b in good.items() if found[a][1] >= LEAST_SHARE * seen.get(a, 0)}
 
 
 def _bare(c: Column, ends: tuple[str, ...]) -> Column:
@@ -350,40 +338,108 @@ def _plain_term(x: Column) -> Column:
     return F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", "")
 
 
-def _edges(c: str) -> Column:
-    return F.explode(F.array(F.concat(F.lit("<"), F.left(F.col(c), F.lit(2))), F.concat(F.lit(">"), F.right(F.col(c), F.lit(2)))))
+def _reduced(a: str, b: str) -> set[tuple[str, str]]:
+    """Two wordings without what they share at their ends; where that leaves one character, with its neighbour on either side."""
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    need = max(0, 2 - (len(a) - i - j))
+    cuts = [(i - x, j - (need - x)) for x in range(need + 1)]
+    return {(a[x : len(a) - y], b[x : len(b) - y]) for x, y in cuts if x >= 0 and y >= 0}
+
+
+def _taught(records: DataFrame, parsed: DataFrame, tails: DataFrame) -> dict[str, str]:
+    """Wordings of the terms that the records' texts lack. Terms that are examples of rows say nothing on a path."""
+    examples = parsed.select(F.explode("examples").alias("x")).select(_plain_term(F.col("x")).alias("w")).distinct()
+    told = records.where("size(terms) > 0").withColumn("text", F.array_join("levels", "\x1f"))
+    lacking = told.select("match_id", "text", F.explode(F.array_distinct("plain_terms")).alias("w")).where((F.length("w") > 1) & ~F.col("text").contains(F.col("w")))
+    lacking = lacking.join(examples, "w", "left_anti").groupBy("match_id").agg(F.collect_set("w").alias("ws"))
+    texts = told.select("match_id", "text").join(lacking, "match_id", "left").select("text", F.coalesce("ws", F.array().cast("array<string>")).alias("ws"))
+
+    def spans(text: str) -> set[str]:
+        out = {x[i : i + k] for x in text.split("\x1f") for k in range(2, SPAN + 1) for i in range(len(x) - k + 1)}
+        if _HAN.search(text):  # words of letters amid Han characters are longer
+            out |= {a for x in text.split("\x1f") for k in range(SPAN + 1, LATIN_SPAN + 1) for i in range(len(x) - k + 1) if _LETTERS.search(a := x[i : i + k])}
+        return out
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n: Counter[tuple[str, str]] = Counter()
+            for text, ws in zip(batch.column("text").to_pylist(), batch.column("ws").to_pylist()):
+                n[("", "")] += 1
+                n.update((("", w) for w in ws))
+                found = spans(text)
+                n.update((a, "") for a in found)
+                n.update((a, w) for w in ws for a in found)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["a", "w", "n"])
+
+    counts = materialise(texts.mapInArrow(run, "a string, w string, n bigint").groupBy("a", "w").agg(F.sum("n").alias("n")).where("n > 1 or a = ''"), "p4spans")
+    total = counts.where("a = '' and w = ''").agg(F.sum("n")).first()[0] or 0
+    if not total:
+        return {}
+    pairs = counts.where("a <> '' and w <> ''").join(counts.where("w = '' and a <> ''").select("a", F.col("n").alias("na")), "a").join(counts.where("a = '' and w <> ''").select("w", F.col("n").alias("nw")), "w")
+    chance = F.col("na") * F.col("nw") / F.lit(total)
+    # the likelihood ratio of the count against chance has to beat the number of pairs there are
+    surprise = F.col("n") * F.log(F.col("n") / chance) - (F.col("n") - chance)
+    good = pairs.where((F.col("n") >= TOLD * F.col("na")) & (F.col("n") > chance) & (surprise >= math.log(max(2, pairs.count()))))
+    by: dict[str, list[tuple[int, str]]] = {}
+    for r in good.select("a", "w", "n", "na").collect():
+        by.setdefault(r["w"], []).append((r["n"] * (r["n"] / r["na"]) ** 2 * (1.5 if r["a"][0] == r["w"][0] else 1) * (1.5 if r["a"][-1] == r["w"][-1] else 1), r["a"], r["n"]))
+    votes: dict[str, Counter[str]] = {}
+    for w, found in by.items():
+        kept: list[str] = []
+        for _, a, n in sorted(found, key=lambda x: (-x[0], -len(x[1]), x[1])):
+            if not any(a in k or k in a for k in kept):
+                kept.append(a)
+                for x, y in _reduced(a, w):
+                    votes.setdefault(x, Counter())[y] += n
+    chosen = {a: v.most_common(1)[0] for a, v in votes.items()}
+    return _foreign({a: b for a, (b, n) in chosen.items() if n >= 0.5 * sum(votes[a].values()) and b}, texts.select(F.explode(F.split("text", "\x1f")).alias("s")), tails.select(F.col("tail").alias("s")))
+
+
+def _foreign(rules: dict[str, str], texts: DataFrame, own: DataFrame) -> dict[str, str]:
+    """The rules whose wording is far rarer among the rows' texts than among the records'. Texts without Han characters are no evidence on a wording that stands for Han characters."""
+    if not rules:
+        return {}
+    han = {a: bool(_HAN.search(b)) for a, b in rules.items()}
+    longest = max(map(len, rules))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n: Counter[tuple[str, bool, str]] = Counter()
+            for w, s in zip(batch.column("w").to_pylist(), batch.column("s").to_pylist()):
+                h = bool(_HAN.search(s))
+                n[(w, h, "")] += 1
+                n.update((w, h, a) for a in {s[i : i + k] for i in range(len(s)) for k in range(2, longest + 1)} if han.get(a) == h)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in n], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.string()))] + [pa.array(list(n.values()), pa.int64())], names=["w", "h", "a", "n"])
+
+    both = texts.select(F.lit("record").alias("w"), "s").union(own.select(F.lit("row").alias("w"), "s"))
+    seen = {(r["w"], r["h"], r["a"]): r["n"] for r in both.mapInArrow(run, "w string, h boolean, a string, n bigint").groupBy("w", "h", "a").agg(F.sum("n").alias("n")).collect()}
+    rate = lambda w, a: seen.get((w, han[a], a), 0) / max(1, seen.get((w, han[a], ""), 0))
+    good = {a: b for a, b in rules.items() if rate("row", a) <= OWN * rate("record", a)}
+    # a longer span that a shorter rule reads the same way says nothing new
+    return {a: b for a, b in good.items() if not any(a[i:j] in good and a[:i] + good[a[i:j]] + a[j:] == b for i in range(len(a)) for j in range(i + 2, len(a) + 1) if j - i < len(a))}
 
-def _wordings(records: DataFrame, categories: DataFrame) -> tuple[DataFrame, Rules]:
+
+def _wordings(records: DataFrame, parsed: DataFrame, categories: DataFrame) -> tuple[DataFrame, Rules]:
     """The wordings of the records, read with the rules learned from them."""
-    wordings = materialise(records.select("levels").distinct(), "p4levels")
     heads = materialise(_heads(categories), "p4heads")
     tails = categories.select("tail").distinct()
-    known: dict[str, str] = {}
-    for n in range(READINGS):
-        rules = Rules(known)
-        read = materialise(_resolved(wordings, heads, rules), "p4read")
-        if n == READINGS - 1:
-            break
-        # a record and a category only teach wordings if they share a term that neither text accounts for
-        # heads: the levels beside a tail that is a row's, against the heads of that tail's rows
-        beside = records.where("size(levels) > 1 and size(terms) > 0").select("terms", F.xxhash64("match_id").alias("id"), F.explode(_splits()).alias("x")).where("x.t <> ''").select("id", "terms", "x.t", "x.h").distinct()
-        anchored = _read(beside.select(F.col("t").alias("s")).distinct(), rules).join(tails, F.col("reading") == F.col("tail"), "left_semi")
-        met = beside.join(anchored, F.col("t") == F.col("s")).select("id", "terms", "reading", F.explode("h").alias("s")).join(heads, F.col("s") == F.col("h"), "left_anti")
-        met = met.withColumn("s", _bare(F.col("s"), DOMAIN_ENDS)).distinct()
-        pairs = met.join(categories, F.col("reading") == F.col("tail")).where(F.arrays_overlap("terms", "examples"))
-        pairs = pairs.select("id", "s", F.explode(F.array(F.when(F.length("s") <= F.length("domain") + 2, F.col("domain")), F.concat("domain", "facet"))).alias("t")).where("t is not null").distinct()
-        more = _learned(pairs, met, heads.select(F.xxhash64("h").alias("id"), F.col("h").alias("s")))
-        # tails: of records whose heads are a row's, against the tails of these heads that begin or end alike
-        own = (F.col("r_domain") == F.col("domain")) & (F.col("r_facet") == F.col("facet"))
-        unread = records.where("size(terms) > 0").join(read, "levels").where("r_domain is not null and r_facet is not null").join(categories, own & (F.col("r_tail") == F.col("tail")), "left_anti").select(F.xxhash64("match_id").alias("id"), "r_domain", "r_facet", F.col("r_tail").alias("s"), "terms")
-        a = unread.select("*", _edges("s").alias("edge"))
-        b = categories.select("domain", "facet", F.col("tail").alias("t"), "examples", _edges("tail").alias("e"))
-        told = F.exists("terms", lambda x: F.col("t").contains(_plain_term(x)) & ~F.col("s").contains(_plain_term(x)))
-        met = a.join(b, own & (F.col("edge") == F.col("e"))).where(F.arrays_overlap("terms", "examples") | told)
-        more |= _learned(met.select("id", "s", "t").distinct(), unread, tails.select(F.xxhash64("tail").alias("id"), F.col("tail").alias("s")))
-        known = known | {k: v for k, v in more.items() if k not in known}
-    return read, rules
+    known = _taught(records, parsed, tails)
+    rules = Rules(known)
+    # the levels beside a tail that is a row's, against the heads of that tail's rows; a record and a row only teach if they share a term
+    beside = records.where("size(levels) > 1 and size(terms) > 0").select("terms", F.xxhash64("match_id").alias("id"), F.explode(_splits()).alias("x")).where("x.t <> ''").select("id", "terms", "x.t", F.explode("x.h").alias("h_"))
+    strange = beside.join(heads, F.col("h_") == F.col("h"), "left_anti").withColumn("s", _bare(F.col("h_"), DOMAIN_ENDS)).select("id", "terms", "t", "s").distinct()
+    anchored = _read(strange.select(F.col("t").alias("s")).distinct(), rules).join(tails, F.col("reading") == F.col("tail"), "left_semi").withColumnRenamed("s", "t")
+    met = materialise(strange.join(anchored, "t").join(categories, F.col("reading") == F.col("tail")).select("id", "s", "domain", "facet", F.arrays_overlap("terms", "examples").alias("shared")), "p4beside")
+    pairs = met.where("shared").select("id", "s", F.explode(F.array(F.when(F.length("s") <= F.length("domain") + 2, F.col("domain")), F.concat("domain", "facet"))).alias("t")).where("t is not null").distinct()
+    more = _learned(pairs, met.select("id", "s").distinct(), heads.select(F.col("h").alias("s")))
+    rules = Rules(more | known)
+    return materialise(_resolved(records.select("levels").distinct(), heads, rules), "p4read"), rules
+
 
 def _agreement(a: str, b: str) -> Column:
     return F.when(F.col(b).isNull(), 1).when(F.col(a) == F.col(b), 0).otherwise(2)
@@ -439,22 +495,21 @@ def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     # one line for each category; copies of a category add nothing to the comparison
     categories = materialise(parsed.groupBy("domain", "facet", "tail").agg(F.array_distinct(F.flatten(F.collect_set(F.coalesce("examples", none)))).alias("examples")), "p4categories")
     known = materialise(_levels(records).dropDuplicates(["match_id"]), "p4records")
-    read, rules = _wordings(known, categories)
+    read, rules = _wordings(known, parsed, categories)
     signatures = read.select("r_tail").distinct()
     readings = _read(signatures.select(F.col("r_tail").alias("s")), rules)
     tails = categories.select("tail").distinct()
     whole = readings.join(tails, F.col("reading") == F.col("tail")).select(F.col("s").alias("r_tail"), "tail", F.lit(0).alias("c_tail"))
     slips = readings.join(_near(readings, "reading", tails, "tail"), "reading").select(F.col("s").alias("r_tail"), "tail", F.lit(1).alias("c_tail"))
     near = materialise(whole.union(slips).groupBy("r_tail", "tail").agg(F.min("c_tail").alias("c_tail")), "p4near")
-    wanted = known.join(read, "levels").select("match_id", "terms", "score", "r_domain", "r_facet", "r_tail")
-    plain_terms = F.transform(F.coalesce("terms", none), _plain_term)
+    wanted = known.join(read, "levels").select("match_id", "terms", "plain_terms", "score", "r_domain", "r_facet", "r_tail")
     met = wanted.join(near, "r_tail").join(categories, "tail")
     # terms that the tail holds agree because the tail does; the others are held against the examples
     others = F.filter(F.coalesce("terms", none), lambda x: ~F.col("tail").contains(_plain_term(x)))
     shared = F.size(F.array_intersect(others, "examples"))
     c_terms = F.when(F.size(others) == 0, 1).when(shared == F.size(F.array_distinct(others)), 0).when(shared > 0, 2).otherwise(3)
     c_score = F.when(F.col("score").isNull(), 1).when(F.col("score") >= 0.6, 0).when(F.col("score") >= 0.3, 2).otherwise(3)
-    compared = met.select("match_id", "domain", "facet", "tail", _agreement("domain", "r_domain").alias("c_domain"), _agreement("facet", "r_facet").alias("c_facet"), "c_tail", c_terms.alias("c_terms"), c_score.alias("c_score"), plain_terms.alias("plain_terms"), "terms")
+    compared = met.select("match_id", "domain", "facet", "tail", _agreement("domain", "r_domain").alias("c_domain"), _agreement("facet", "r_facet").alias("c_facet"), "c_tail", c_terms.alias("c_terms"), c_score.alias("c_score"), "plain_terms", "terms")
     compared = materialise(compared, "p4pairs")
     patterns = [(tuple(r[c] for c in FIELDS), r["count"]) for r in compared.groupBy(*FIELDS).count().collect()]
     if not patterns:

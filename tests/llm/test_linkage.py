@@ -11,7 +11,8 @@ def tables(spark, records):
 
 
 def test_order_numbers_and_slips(spark):
-    fill = [(f"f{i}", [d + "资源", d + f, u + o, e], None, 0.5) for i, (d, f, u, o, e) in enumerate(PATHS)]
+    swapped = lambda x: x[1] + x[0] + x[2:]
+    fill = [(f"f{i}", [d + "资源", d + f, swapped(u + o) if i % 5 == 0 else u + o, e], None, 0.5) for i, (d, f, u, o, e) in enumerate(PATHS)]
     records = fill + [
         ("a", ["7.1 医疗服务类数据", "7.2 医疗服务资源调度", "7.3 中医处方", "7.4 变更信息"], ["中医"], None),
         ("b", ["基本信息", "儿科病历归集", "公共卫生标准规范", "公共卫生"], None, 0.9),
@@ -54,7 +55,8 @@ def test_slips_amid_a_short_tail_that_another_domain_has(spark):
 def test_other_wordings_are_learned_from_the_records(spark):
     plain = [(f"r{i:03}", [d + "资源", d + f, u + o, e], [f"例{i}", "患者日期"]) for i, (d, f, u, o, e) in enumerate(PATHS)]
     heads = [(f"h{i:03}", [p[0].replace("医疗服务", "诊疗服务"), p[1].replace("医疗", "诊疗"), *p[2:]], x[:1], 0.8) for i, (_, p, x) in enumerate(plain)]
-    tails = [(f"t{i:03}", [*p[:2], p[2].replace("病历", "病案"), p[3].replace("变更", "变动")] if i % 2 else [*p[:2], p[2].replace("病历", "病案"), p[3]], x[:1], 0.8) for i, (_, p, x) in enumerate(plain)]
+    other = lambda x: x.replace("病历", "病案").replace("变更", "变动")
+    tails = [(f"t{i:03}", [*p[:2], other(p[2]), other(p[3])], [*x[:1], p[2][2:], p[3]], 0.8) for i, (_, p, x) in enumerate(plain)]
     both = [("b", ["诊疗服务资源", "诊疗服务质量控制", "口腔病案归集", "基本信息"], None, 0.8), ("n", ["诊疗服务资源", "诊疗服务质量控制", "口腔影像归集", "基本信息"], None, 0.8)]
     out = {r.match_id: (r.row_id, r.confidence) for r in L.links(spark.createDataFrame(plain, ROWS), spark.createDataFrame(heads + tails + both, RECORDS)).collect()}
     of = {tuple(p): r for r, p, _ in plain}
