@@ -61,11 +61,14 @@ _NUMBERS = re.compile(r"^[\s（(\[【]*\d{1,4}(?:\s*[.．、]\s*\d*)*\s*[)）\]
 _MARKS = re.compile(r"[\W_]+")
 _HAN = re.compile(r"[一-鿿]")
 _LETTERS = re.compile(r"[^\W\d_一-鿿]{3}")
+_IS_PLAIN = re.compile(r"[一-鿿a-z0-9]*")
 _ASIDE = re.compile(r"（[^）]*）$|\([^)]*\)$")
 
 
 def plain(text: str) -> str:
     """A level without numbering, marks and case, look-alikes and accents folded."""
+    if _IS_PLAIN.fullmatch(text):
+        return text
     if (known := _plain.get(text)) is not None:
         return known
     t = unicodedata.normalize("NFKC", text)
@@ -254,7 +257,7 @@ def _heads(categories: DataFrame) -> DataFrame:
 def _resolved(wordings: DataFrame, heads: DataFrame, rules: Rules) -> DataFrame:
     """levels, r_domain, r_facet and r_tail of each wording, the levels that name heads joined to them as read, else one slip apart."""
     strings = wordings.select(F.explode("levels").alias("s")).distinct()
-    read = _read(strings, rules, DOMAIN_ENDS)
+    read = materialise(_read(strings, rules, DOMAIN_ENDS), "p4levels")
     known = read.join(heads, F.col("reading") == F.col("h")).groupBy("s").agg(F.max(F.struct((F.col("reading") == F.col("s")).alias("same"), "n", "domain", "facet")).alias("m")).select("s", "m.domain", "m.facet")
     long = read.join(known, "s", "left_anti").where(F.length("reading") > 2)
     targets = heads.where(F.length("h") > 3)
@@ -384,7 +387,8 @@ def _taught(records: DataFrame, parsed: DataFrame, tails: DataFrame) -> dict[str
     chance = F.col("na") * F.col("nw") / F.lit(total)
     # the likelihood ratio of the count against chance has to beat the number of pairs there are
     surprise = F.col("n") * F.log(F.col("n") / chance) - (F.col("n") - chance)
-    good = pairs.where((F.col("n") >= TOLD * F.col("na")) & (F.col("n") > chance) & (surprise >= math.log(max(2, pairs.count()))))
+    met = counts.where("a <> '' and w <> ''").count()
+    good = pairs.where((F.col("n") >= TOLD * F.col("na")) & (F.col("n") > chance) & (surprise >= math.log(max(2, met))))
     by: dict[str, list[tuple[int, str]]] = {}
     for r in good.select("a", "w", "n", "na").collect():
         by.setdefault(r["w"], []).append((r["n"] * (r["n"] / r["na"]) ** 2 * (1.5 if r["a"][0] == r["w"][0] else 1) * (1.5 if r["a"][-1] == r["w"][-1] else 1), r["a"], r["n"]))
@@ -405,7 +409,7 @@ def _foreign(rules: dict[str, str], texts: DataFrame, own: DataFrame) -> dict[st
     if not rules:
         return {}
     han = {a: bool(_HAN.search(b)) for a, b in rules.items()}
-    longest = max(map(len, rules))
+    longest, firsts = max(map(len, rules)), {a[0] for a in rules}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,7 +417,7 @@ def _foreign(rules: dict[str, str], texts: DataFrame, own: DataFrame) -> dict[st
             for w, s in zip(batch.column("w").to_pylist(), batch.column("s").to_pylist()):
                 h = bool(_HAN.search(s))
                 n[(w, h, "")] += 1
-                n.update((w, h, a) for a in {s[i : i + k] for i in range(len(s)) for k in range(2, longest + 1)} if han.get(a) == h)
+                n.update((w, h, a) for a in {s[i : i + k] for i in range(len(s)) if s[i] in firsts for k in range(2, longest + 1)} if han.get(a) == h)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in n], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.string()))] + [pa.array(list(n.values()), pa.int64())], names=["w", "h", "a", "n"])
 
     both = texts.select(F.lit("record").alias("w"), "s").union(own.select(F.lit("row").alias("w"), "s"))
@@ -424,10 +428,9 @@ def _foreign(rules: dict[str, str], texts: DataFrame, own: DataFrame) -> dict[st
     return {a: b for a, b in good.items() if not any(a[i:j] in good and a[:i] + good[a[i:j]] + a[j:] == b for i in range(len(a)) for j in range(i + 2, len(a) + 1) if j - i < len(a))}
 
 
-def _wordings(records: DataFrame, parsed: DataFrame, categories: DataFrame) -> tuple[DataFrame, Rules]:
+def _wordings(records: DataFrame, parsed: DataFrame, categories: DataFrame, tails: DataFrame) -> tuple[DataFrame, Rules]:
     """The wordings of the records, read with the rules learned from them."""
     heads = materialise(_heads(categories), "p4heads")
-    tails = categories.select("tail").distinct()
     known = _taught(records, parsed, tails)
     rules = Rules(known)
     # the levels beside a tail that is a row's, against the heads of that tail's rows; a record and a row only teach if they share a term
@@ -495,10 +498,10 @@ def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     # one line for each category; copies of a category add nothing to the comparison
     categories = materialise(parsed.groupBy("domain", "facet", "tail").agg(F.array_distinct(F.flatten(F.collect_set(F.coalesce("examples", none)))).alias("examples")), "p4categories")
     known = materialise(_levels(records).dropDuplicates(["match_id"]), "p4records")
-    read, rules = _wordings(known, parsed, categories)
+    tails = materialise(categories.select("tail").distinct(), "p4tails")
+    read, rules = _wordings(known, parsed, categories, tails)
     signatures = read.select("r_tail").distinct()
-    readings = _read(signatures.select(F.col("r_tail").alias("s")), rules)
-    tails = categories.select("tail").distinct()
+    readings = materialise(_read(signatures.select(F.col("r_tail").alias("s")), rules), "p4readings")
     whole = readings.join(tails, F.col("reading") == F.col("tail")).select(F.col("s").alias("r_tail"), "tail", F.lit(0).alias("c_tail"))
     slips = readings.join(_near(readings, "reading", tails, "tail"), "reading").select(F.col("s").alias("r_tail"), "tail", F.lit(1).alias("c_tail"))
     near = materialise(whole.union(slips).groupBy("r_tail", "tail").agg(F.min("c_tail").alias("c_tail")), "p4near")
@@ -530,7 +533,8 @@ def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     posterior = F.element_at(F.create_map(*(F.lit(x) for p, v in post.items() for x in (sum(k * 4**i for i, k in enumerate(p)), v))), code)
     sure = compared.withColumn("confidence", posterior).where(F.col("confidence") >= THRESHOLD)
     # the records' terms choose among the rows of the categories that remain
-    sets = parsed.withColumn("examples", F.array_sort(F.array_distinct(F.coalesce("examples", none)))).groupBy("domain", "facet", "tail", "examples").agg(F.min("row_id").alias("row_id"))
+    wanted_rows = parsed.join(sure.select("domain", "facet", "tail").distinct(), ["domain", "facet", "tail"], "left_semi")
+    sets = wanted_rows.withColumn("examples", F.array_sort(F.array_distinct(F.coalesce("examples", none)))).groupBy("domain", "facet", "tail", "examples").agg(F.min("row_id").alias("row_id"))
     hits = F.when(F.col("terms").isNull(), 0).otherwise(F.size(F.array_intersect("terms", "examples")) + F.size(F.filter("plain_terms", lambda x: F.col("tail").contains(x))))
     chosen = sure.join(sets, ["domain", "facet", "tail"]).withColumn("hits", hits)
     best = chosen.groupBy("match_id").agg(F.min(F.struct((-F.col("confidence")).alias("doubt"), (-F.col("hits")).alias("misses"), "row_id")).alias("b"))
