@@ -380,14 +380,13 @@ def _taught(records: DataFrame, parsed: DataFrame, tails: DataFrame) -> dict[str
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["a", "w", "n"])
 
     counts = materialise(texts.mapInArrow(run, "a string, w string, n bigint").groupBy("a", "w").agg(F.sum("n").alias("n")).where("n > 1 or a = ''"), "p4spans")
-    total = counts.where("a = '' and w = ''").agg(F.sum("n")).first()[0] or 0
-    if not total:
+    total, met = counts.agg(F.sum(F.when((F.col("a") == "") & (F.col("w") == ""), F.col("n"))), F.count_if((F.col("a") != "") & (F.col("w") != ""))).first()
+    if not met:
         return {}
     pairs = counts.where("a <> '' and w <> ''").join(counts.where("w = '' and a <> ''").select("a", F.col("n").alias("na")), "a").join(counts.where("a = '' and w <> ''").select("w", F.col("n").alias("nw")), "w")
     chance = F.col("na") * F.col("nw") / F.lit(total)
     # the likelihood ratio of the count against chance has to beat the number of pairs there are
     surprise = F.col("n") * F.log(F.col("n") / chance) - (F.col("n") - chance)
-    met = counts.where("a <> '' and w <> ''").count()
     good = pairs.where((F.col("n") >= TOLD * F.col("na")) & (F.col("n") > chance) & (surprise >= math.log(max(2, met))))
     by: dict[str, list[tuple[int, str]]] = {}
     for r in good.select("a", "w", "n", "na").collect():
@@ -451,12 +450,21 @@ def _agreement(a: str, b: str) -> Column:
 FIELDS = ["c_domain", "c_facet", "c_tail", "c_terms", "c_score"]
 
 
-def _shares(left: DataFrame, a: str, right: DataFrame, b: str) -> list[float]:
-    """Probabilities that two values picked at random agree, that left's is missing, and that they differ."""
-    x, y = left.groupBy(F.col(a).alias("v")).agg(F.count(F.lit(1)).alias("x")), right.groupBy(F.col(b).alias("v")).agg(F.count(F.lit(1)).alias("y"))
-    one = x.join(y, x["v"].eqNullSafe(y["v"]), "full_outer").agg(F.sum("x").alias("nx"), F.sum("y").alias("ny"), F.sum(F.when(x["v"].isNotNull(), F.col("x").cast("double") * F.col("y"))).alias("same"), F.sum(F.when(x["v"].isNull(), F.col("x"))).alias("none")).first()
-    same, none = (one["same"] or 0.0) / max(1.0, one["nx"] * float(one["ny"])), (one["none"] or 0) / max(1, one["nx"])
-    return [max(same, 1e-9), max(none, 1e-9), max(1 - same - none, 1e-9)]
+def _chances(records: DataFrame, categories: DataFrame) -> tuple[float, list[dict[int, float]], dict[int, float]]:
+    """How many pairs there are, the probabilities that domain and facet of a random pair agree, are missing or differ, and those of the levels of the score."""
+
+    def valued(df: DataFrame, side: int, **fields: Column) -> DataFrame:
+        return df.select(F.explode(F.array(*(F.struct(F.lit(k).alias("field"), v.cast("string").alias("v")) for k, v in fields.items()))).alias("x")).select("x.field", "x.v", F.lit(side).alias("side"))
+
+    both = valued(records, 0, domain=F.col("r_domain"), facet=F.col("r_facet"), score=F.col("c_score")).union(valued(categories, 1, domain=F.col("domain"), facet=F.col("facet")))
+    counts = both.groupBy("field", "v").agg(F.count_if(F.col("side") == 0).alias("x"), F.count_if(F.col("side") == 1).alias("y"))
+    sums = {r["field"]: r for r in counts.groupBy("field").agg(F.sum("x").alias("x"), F.sum("y").alias("y"), F.sum(F.when(F.col("v").isNotNull(), F.col("x").cast("double") * F.col("y"))).alias("same"), F.sum(F.when(F.col("v").isNull(), F.col("x"))).alias("none"), F.map_from_entries(F.collect_list(F.when(F.col("field") == "score", F.struct("v", "x")))).alias("levels")).collect()}
+    out = []
+    for f in ("domain", "facet"):
+        same, none = (sums[f]["same"] or 0.0) / max(1.0, sums[f]["x"] * float(sums[f]["y"])), (sums[f]["none"] or 0) / max(1, sums[f]["x"])
+        out.append({0: max(same, 1e-9), 1: max(none, 1e-9), 2: max(1 - same - none, 1e-9)})
+    n = sums["score"]["x"]
+    return float(n) * sums["domain"]["y"], out, {v: (sums["score"]["levels"].get(str(v), 0) + 0.5) / (n + 2) for v in (0, 1, 2, 3)}
 
 
 def _fitted(patterns: list[tuple[tuple[int, ...], int]], chance: list[dict[int, float]], pairs: float) -> dict[tuple[int, ...], float]:
@@ -505,29 +513,25 @@ def links(rows: DataFrame, records: DataFrame) -> DataFrame:
     whole = readings.join(tails, F.col("reading") == F.col("tail")).select(F.col("s").alias("r_tail"), "tail", F.lit(0).alias("c_tail"))
     slips = readings.join(_near(readings, "reading", tails, "tail"), "reading").select(F.col("s").alias("r_tail"), "tail", F.lit(1).alias("c_tail"))
     near = materialise(whole.union(slips).groupBy("r_tail", "tail").agg(F.min("c_tail").alias("c_tail")), "p4near")
-    wanted = known.join(read, "levels").select("match_id", "terms", "plain_terms", "score", "r_domain", "r_facet", "r_tail")
+    c_score = F.when(F.col("score").isNull(), 1).when(F.col("score") >= 0.6, 0).when(F.col("score") >= 0.3, 2).otherwise(3)
+    wanted = known.join(read, "levels").select("match_id", "terms", "plain_terms", c_score.alias("c_score"), "r_domain", "r_facet", "r_tail")
     met = wanted.join(near, "r_tail").join(categories, "tail")
     # terms that the tail holds agree because the tail does; the others are held against the examples
     others = F.filter(F.coalesce("terms", none), lambda x: ~F.col("tail").contains(_plain_term(x)))
     shared = F.size(F.array_intersect(others, "examples"))
     c_terms = F.when(F.size(others) == 0, 1).when(shared == F.size(F.array_distinct(others)), 0).when(shared > 0, 2).otherwise(3)
-    c_score = F.when(F.col("score").isNull(), 1).when(F.col("score") >= 0.6, 0).when(F.col("score") >= 0.3, 2).otherwise(3)
-    compared = met.select("match_id", "domain", "facet", "tail", _agreement("domain", "r_domain").alias("c_domain"), _agreement("facet", "r_facet").alias("c_facet"), "c_tail", c_terms.alias("c_terms"), c_score.alias("c_score"), "plain_terms", "terms")
+    compared = met.select("match_id", "domain", "facet", "tail", _agreement("domain", "r_domain").alias("c_domain"), _agreement("facet", "r_facet").alias("c_facet"), "c_tail", c_terms.alias("c_terms"), "c_score", "plain_terms", "terms")
     compared = materialise(compared, "p4pairs")
     patterns = [(tuple(r[c] for c in FIELDS), r["count"]) for r in compared.groupBy(*FIELDS).count().collect()]
     if not patterns:
         return rows.sparkSession.createDataFrame([], "row_id string, match_id string, confidence double")
-    n_rows, n_records = float(categories.count()), float(max(1, wanted.count()))
-    met_tails = {r["c_tail"]: r["n"] for r in near.join(signatures.join(wanted.groupBy("r_tail").agg(F.count(F.lit(1)).alias("x")), "r_tail"), "r_tail").join(categories.groupBy("tail").agg(F.count(F.lit(1)).alias("y")), "tail").groupBy("c_tail").agg(F.sum(F.col("x") * F.col("y")).alias("n")).collect()}
-    pairs = n_rows * n_records
-    tail_chance = {k: max(1e-12, met_tails.get(k, 0) / pairs) for k in (0, 1)}
-    level = lambda x, of: dict(zip(of, x))
+    pairs, heads_chance, score_chance = _chances(wanted, categories)
+    tail_chance = {k: max(1e-12, sum(n for p, n in patterns if p[2] == k) / pairs) for k in (0, 1)}
+    # of terms, pairs that differ in the domain tell what chance does
     strangers = [(p, n) for p, n in patterns if p[0] == 2] or patterns
     total = sum(n for _, n in strangers)
     terms_chance = {v: (sum(n for p, n in strangers if p[3] == v) + 0.5) / (total + 2) for v in (0, 1, 2, 3)}
-    scores = {r["c"]: r["n"] for r in wanted.groupBy(c_score.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    score_chance = {v: (scores.get(v, 0) + 0.5) / (n_records + 2) for v in (0, 1, 2, 3)}
-    chance = [level(_shares(wanted, "r_domain", categories, "domain"), (0, 1, 2)), level(_shares(wanted, "r_facet", categories, "facet"), (0, 1, 2)), tail_chance, terms_chance, score_chance]
+    chance = [*heads_chance, tail_chance, terms_chance, score_chance]
     post = _fitted(patterns, chance, pairs)
     code = sum((F.col(c) * 4**i for i, c in enumerate(FIELDS)), F.lit(0))
     posterior = F.element_at(F.create_map(*(F.lit(x) for p, v in post.items() for x in (sum(k * 4**i for i, k in enumerate(p)), v))), code)

@@ -2,7 +2,7 @@ from graincraft.llm import linkage as L
 
 ROWS = "row_id string, path_levels array<string>, data_range_examples array<string>"
 RECORDS = "match_id string, reference_path array<string>, shared_terms array<string>, score double"
-PATHS = [(d, f, u, o, e) for d in ("医疗服务", "公共卫生", "健康档案", "科研教学", "财务运营") for f in ("质量控制", "资源调度", "标准规范") for u in ("中医", "口腔", "儿科") for o in ("处方", "病历归集") for e in ("变更信息", "变更记录", "基本信息")]
+PATHS = [(d, f, u, o, e) for d in ("医疗服务", "公共卫生", "健康档案", "科研教学", "财务运营") for f in ("质量控制", "资源调度", "标准规范") for u in ("中医", "口腔", "儿科", "产科") for o in ("处方", "病历归集", "耗材审核") for e in ("变更信息", "变更记录", "基本信息")]
 
 
 def tables(spark, records):
