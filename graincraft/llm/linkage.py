@@ -62,6 +62,7 @@ _MARKS = re.compile(r"[\W_]+")
 _HAN = re.compile(r"[一-鿿]")
 _LETTERS = re.compile(r"[^\W\d_一-鿿]{3}")
 _IS_PLAIN = re.compile(r"[一-鿿a-z0-9]*")
+_PACKED = re.compile(r"[>/→|｜；;\\]")
 _ASIDE = re.compile(r"（[^）]*）$|\([^)]*\)$")
 
 
@@ -105,8 +106,8 @@ def row_parts(path: list[str] | None) -> tuple[str, str, str] | None:
     for s in path or []:
         if s is None:
             continue
-        levels += parses(s, "path")[-1][0] if any(c in s for c in ">/→|｜；;\\") else [s]
-    clean = [plain(_ASIDE.sub("", x)) for x in levels]
+        levels += parses(s, "path")[-1][0] if _PACKED.search(s) else [s]
+    clean = [plain(_ASIDE.sub("", x) if x[-1:] in (")", "）") else x) for x in levels]
     clean = [x for x in clean if x]
     if len(clean) < 3:
         return None

@@ -6,7 +6,7 @@ PATHS = [(d, f, u, o, e) for d in ("医疗服务", "公共卫生", "健康档案
 
 
 def tables(spark, records):
-    rows = [(f"r{i:03}", [d + "资源", d + f, u + o, e], ["患者日期"]) for i, (d, f, u, o, e) in enumerate(PATHS) if i % 4]
+    rows = [(f"r{i:03}", [d + "资源", d + f, u + o, e], ["患者日期"]) for i, (d, f, u, o, e) in enumerate(PATHS) if i % 7 != 3]
     return spark.createDataFrame(rows, ROWS), spark.createDataFrame(records, RECORDS), {tuple(r[1]): r[0] for r in rows}
 
 
@@ -27,7 +27,7 @@ def test_order_numbers_and_slips(spark):
     assert out["b"][0] == of[("公共卫生资源", "公共卫生标准规范", "儿科病历归集", "基本信息")]
     assert out["c"][0] == of[("健康档案资源", "健康档案质量控制", "口腔病历归集", "变更记录")]
     assert not {"d", "e", "f"} & out.keys() and all(0.5 <= c <= 1 for _, c in out.values())
-    present = {f"f{i}" for i in range(len(PATHS)) if i % 4}
+    present = {f"f{i}" for i in range(len(PATHS)) if i % 7 != 3}
     assert {k for k in out if k[0] == "f"} == present
 
 
