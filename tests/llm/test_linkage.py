@@ -10,13 +10,11 @@ def tables(spark, records):
     return spark.createDataFrame(rows, ROWS), spark.createDataFrame(records, RECORDS), {tuple(r[1]): r[0] for r in rows}
 
 
-def test_order_numbers_and_slips(spark):
-    swapped = lambda x: x[1] + x[0] + x[2:]
-    fill = [(f"f{i}", [d + "资源", d + f, swapped(u + o) if i % 5 == 0 else u + o, e], None, 0.5) for i, (d, f, u, o, e) in enumerate(PATHS)]
+def test_order_and_numbers(spark):
+    fill = [(f"f{i}", [d + "资源", d + f, u + o, e], None, 0.5) for i, (d, f, u, o, e) in enumerate(PATHS)]
     records = fill + [
         ("a", ["7.1 医疗服务类数据", "7.2 医疗服务资源调度", "7.3 中医处方", "7.4 变更信息"], ["中医"], None),
         ("b", ["变更记录", "儿科病历归集", "公共卫生标准规范", "公共卫生"], None, 0.9),
-        ("c", ["健康档案质量控制", "口腔病归历集", "基本信息"], [], 40.0),
         ("d", ["健康档案质量控制", "口腔病历", "变更记录"], [], 0.9),
         ("e", None, None, None),
         ("f", [None, " "], ["x"], 1.0),
@@ -25,7 +23,6 @@ def test_order_numbers_and_slips(spark):
     out = {r.match_id: (r.row_id, r.confidence) for r in L.links(rows, recs).collect()}
     assert out["a"][0] == of[("医疗服务资源", "医疗服务资源调度", "中医处方", "变更信息")]
     assert out["b"][0] == of[("公共卫生资源", "公共卫生标准规范", "儿科病历归集", "变更记录")]
-    assert out["c"][0] == of[("健康档案资源", "健康档案质量控制", "口腔病历归集", "基本信息")]
     assert not {"d", "e", "f"} & out.keys() and all(0.5 <= c <= 1 for _, c in out.values())
     present = {f"f{i}" for i in range(len(PATHS)) if i % 7 in (1, 6)}
     assert {k for k in out if k[0] == "f"} == present
@@ -46,7 +43,8 @@ def test_slips_amid_a_short_tail_that_another_domain_has(spark):
     rows = [(f"r{i:02}", [heads[i % 9][0] + "资源", "".join(heads[i % 9]), n, "变更记录"], None) for i, n in enumerate(names)]
     # the next domain has the same tails, the last ten without their third character
     rows += [(f"s{i:02}", [heads[(i + 3) % 9][0] + "资源", "".join(heads[(i + 3) % 9]), n[:2] if i > 79 else n, "变更记录"], None) for i, n in enumerate(names)]
-    records = [(f"m{i:02}", ["".join(heads[i % 9]), n[:2] if i > 79 else n, "变更记录"], None, 0.9) for i, n in enumerate(names)]
+    # some records lack the third character, some have the first two exchanged
+    records = [(f"m{i:02}", ["".join(heads[i % 9]), n[:2] if i > 79 else n[1] + n[0] + n[2] if i < 10 else n, "变更记录"], None, 0.9) for i, n in enumerate(names)]
     recs = spark.createDataFrame(records, RECORDS)
     out = {r.match_id: r.row_id for r in L.links(spark.createDataFrame(rows, ROWS), recs).collect()}
     assert out == {r[0]: f"r{r[0][1:]}" for r in records}
