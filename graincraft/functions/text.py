@@ -49,6 +49,11 @@ def preview(c: Column, most: int = 180) -> Column:
     return F.when(F.length(c) > most, F.concat(F.left(c, F.lit(most - 3)), F.lit("..."))).otherwise(c)
 
 
+def bare_term(c: Column) -> Column:
+    """A text without white space and without the letter and the code it begins with."""
+    return F.regexp_replace(F.regexp_replace(compact(c), r"^[A-Za-z]?[）)、.．]?", ""), r"^[0-9]+(?:[.．][0-9]+)*", "")
+
+
 def terms(c: Column) -> Column:
     """Distinct terms of two characters or more that are no stop terms, and the whole text if it is short."""
     stop = F.array(*map(F.lit, STOP_TERMS))
@@ -56,11 +61,11 @@ def terms(c: Column) -> Column:
     none = F.array().cast("array<string>")
 
     def found(text: Column) -> Column:
-        parts = F.filter(F.split(text, TERM_BREAKS), good)
+        parts = F.filter(F.transform(F.split(text, TERM_BREAKS), bare_term), good)
         whole = F.when(F.length(text) <= 12, F.filter(F.array(text), good)).otherwise(none)
         return F.when((text == "") | (text == INSUFFICIENT), none).otherwise(F.array_distinct(F.concat(parts, whole)))
 
-    return let(compact(F.coalesce(c, F.lit(""))), found)
+    return let(bare_term(F.coalesce(c, F.lit(""))), found)
 
 
 def clean_levels(c: Column) -> Column:
@@ -69,10 +74,30 @@ def clean_levels(c: Column) -> Column:
 
 
 def level_key(c: Column) -> Column:
-    """A level without white space, full-width letters, leading code and edge punctuation, in lower case."""
-    t = F.lower(compact(F.translate(c, FULL_WIDTH, HALF_WIDTH)))
-    t = F.regexp_replace(t, r"^(?:[0-9]+(?:[.．][0-9]+)*[.．、)）]?|[a-z][.、)）])", "")
-    return F.regexp_replace(t, r"^[、.．:：;；,，。]+|[、.．:：;；,，。]+$", "")
+    """A level without white space, leading letter or code, and edge punctuation; full-width stops and brackets as ASCII."""
+    t = compact(F.translate(F.coalesce(c, F.lit("")), "．（）", ".()"))
+    t = F.regexp_replace(F.regexp_replace(t, r"^[A-Za-z]?[、.)）.．]+", ""), r"^[0-9]+(?:[.．][0-9]+)*", "")
+    return F.regexp_replace(t, r"^[、.)）.．:：\-]+|[、.)）.．:：\-]+$", "")
+
+
+def gold_level(c: Column, bare_marks: bool = True) -> Column:
+    """A level as gold tables are compared by: ASCII brackets, no white space, no leading letter or number; ages keep theirs.
+
+    bare_marks: a letter or number is dropped without a mark behind it too.
+    """
+    mark = "[、.]?" if bare_marks else "[、.]"
+    t = compact(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("（"), F.lit("(")), F.lit("）"), F.lit(")")))
+    t = F.regexp_replace(t, f"^[A-Z]{mark}", "")
+    return F.when(t.rlike("^[0-9]+(?:周岁|岁)"), t).otherwise(F.regexp_replace(t, f"^[0-9]+{mark}", ""))
+
+
+def gold_key(levels: Column, bare_marks: bool = True) -> Column:
+    none = F.array().cast("array<string>")
+    return F.filter(F.transform(F.coalesce(levels, none), lambda x: gold_level(x, bare_marks)), lambda x: x != "")
+
+
+def gold_grade(c: Column) -> Column:
+    return compact(F.replace(F.coalesce(c, F.lit("")), F.lit("一般数据"), F.lit("")))
 
 
 def path_key(levels: Column) -> Column:
@@ -159,28 +184,44 @@ def structure_signal(line: Column) -> Column:
     return let(strip(line), judged)
 
 
+# Kinds of structure lines that are headings, marks of other headings, what begins a list line.
+HEADING_KINDS = ("appendix_heading", "classification_title", "table_title", "continued_table_title")
+HASH_HEADING, HAN_HEADING, NUMBER_HEADING = r"^#{1,6}\s+", r"^[一二三四五六七八九十]+[、.．]\s*", r"^[0-9]+(?:\.[0-9]+)*[、.．]\s*"
+LIST_LINE = r"^\s*(?:[-*+]|[0-9]+[.)、．])\s+\S+"
+
+
 def is_heading(line: Column) -> Column:
     t = strip(line)
-    kind = structure_signal(line)["kind"]
-    return F.coalesce(~kind.isin("hierarchy_header", "not_appendix_body"), F.lit(False)) | t.rlike(r"^#{1,6}\s+\S") | t.rlike(r"^第[一二三四五六七八九十百0-9]+[章节篇部分]") | t.rlike(r"^[一二三四五六七八九十]+、\S") | t.rlike(r"^[0-9]+(?:\.[0-9]+)*[.、]?\s+\S.{0,40}$") & ~t.rlike("[。；;]$")
+    marked = t.rlike(HASH_HEADING + r"\S+") | t.rlike(HAN_HEADING + r"\S+") | t.rlike(NUMBER_HEADING + r"\S+")
+    return F.coalesce(structure_signal(line)["kind"].isin(*HEADING_KINDS), F.lit(False)) | marked
 
 
 def heading_title(line: Column) -> Column:
-    return strip(F.regexp_replace(F.regexp_replace(strip(line), r"^#{1,6}\s*", ""), r"^[0-9]+(?:\.[0-9]+)*[.、]?\s+", ""))
+    """The title of a structure line, or a heading without its marks."""
+    bare = strip(line)
+    for marks in (HASH_HEADING, HAN_HEADING, NUMBER_HEADING):
+        bare = F.regexp_replace(bare, marks, "")
+    signal = structure_signal(line)
+    return F.when(signal["kind"].isin(*HEADING_KINDS), signal["title"]).otherwise(strip(bare))
 
 
 def heading_level(line: Column) -> Column:
     kind = structure_signal(line)["kind"]
-    return F.when(kind == "appendix_heading", 1).when(kind == "classification_title", 2).when(kind.isin("table_title", "continued_table_title"), 3).otherwise(1)
+    return F.when(kind == "classification_title", 2).when(kind.isin("table_title", "continued_table_title"), 3).otherwise(1)
 
 
 def is_list_line(line: Column) -> Column:
-    return strip(line).rlike(r"^(?:[-*•·]\s+|[0-9]+[)）]\s*|[(（][0-9一二三四五六七八九十]+[)）])\S")
+    return line.rlike(LIST_LINE)
 
 
 # What speaks of grades or risk, and the roles of table header fields.
 GRADE_OR_RISK = "影响程度|数据级别|一般数据[0-9]级|重要数据|核心数据|严重危害|特别严重危害|泄露后"
-FIELD_ROLES = {"类": "path", "项": "path", "目": "path", "数据范围及示例": "examples", "数据加工程度": "processing", "影响对象": "impact_object", "影响程度": "impact_degree", "数据级别": "grade"}
+FIELD_ROLES = {
+    "classification_path": "类 项 目",
+    "description_evidence": "数据范围及示例 数据范围 示例 分类说明",
+    "grading_factor": "数据加工程度 影响对象 影响程度",
+    "grade_result": "数据级别 推荐级别 推荐分级",
+}
 
 
 def grade_or_risk(c: Column) -> Column:
@@ -188,13 +229,17 @@ def grade_or_risk(c: Column) -> Column:
 
 
 def field_role(c: Column) -> Column:
-    return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in FIELD_ROLES.items() for x in kv)), strip(c)), F.lit("unknown"))
+    """The role of a table's column by its header."""
+    roles = [F.lit(x) for role, names in FIELD_ROLES.items() for n in names.split() for x in (n, role)]
+    return F.coalesce(F.element_at(F.create_map(*roles), compact(c)), F.lit("metadata_or_unknown"))
 
 
-def label_only(text: Column) -> Column:
-    """Whether a text is a label: without punctuation and numbers at most twelve characters and no verb-like ending."""
-    t = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[0-9]+(?:\.[0-9]+)*", ""), r"[\s、，,。；;：:（）()\-—]+", "")
-    return (F.length(t) <= 12) & ~F.coalesce(text, F.lit("")).rlike("[。；;]")
+def code_and_name(c: Column) -> Column:
+    """code and name of a label that begins with a code of three or four figures, else an empty code and the label."""
+    t = strip(F.coalesce(c, F.lit("")))
+    code = F.regexp_extract(t, r"^([0-9]{3,4})(?=[^0-9\-—－])", 1)
+    name = F.regexp_replace(F.substring(t, F.length(code) + 1, F.length(t)), r"^[ “\"]+|[ “\"]+$", "")
+    return F.struct(code.alias("code"), F.when(code == "", t).otherwise(name).alias("name"))
 
 
 def dotted_codes(c: Column) -> Column:

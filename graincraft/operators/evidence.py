@@ -11,7 +11,7 @@ from .rows import with_path
 # Signals of blocks, scores of references, markers of empty data ranges, terms of general grading rules.
 BLOCK_SIGNALS = ("table_like", "hierarchy_like", "grade_legend", "prose_rule", "normal", "possible_noise")
 OCR_CAP = 0.68
-EMPTY_RANGES = ("", "-", "—", "－", "/", "无", "无。")
+EMPTY_RANGES = ("", "-", "—", "－", "一")
 GRADE_TERMS = "核心数据|重要数据|一般数据|敏感个人信息|个人信息"
 THRESHOLD_TERMS = "万人|及以上|特定群体|特定区域|国家安全|公共健康"
 
@@ -52,10 +52,15 @@ def structure_context(section: Column, header: Column) -> Column:
 
 def content_type(text: Column) -> Column:
     """What a table holds: grading, a catalogue, guidance on rules, or unknown."""
-    t = F.coalesce(text, F.lit(""))
-    grading = t.rlike("影响对象") & t.rlike("影响程度") & t.rlike("数据级别") | t.contains("分类分级表") & t.contains("数据级别")
-    catalogue = t.rlike(r"类(?:（[^）]+）|\([^)]*\))?\s+项(?:（[^）]+）|\([^)]*\))?\s+目") | t.contains("分类目录")
-    return F.when(grading, "classification_grading_table").when(catalogue, "classification_catalog").when(t.rlike(r"分类工作|分级工作|按照第[0-9]+章|参考附录|指南"), "rule_guidance").otherwise("unknown")
+
+    def judged(x: Column) -> Column:
+        t, bare = x["t"], x["bare"]
+        holds = lambda c, *words: F.forall(F.array(*map(F.lit, words)), lambda w: c.contains(w))
+        grading = holds(bare, "数据范围及示例", "影响程度", "数据级别") | holds(t, "分类分级表", "数据级别")
+        catalogue = holds(bare, "类", "项", "目") | t.contains("分类目录")
+        return F.when(grading, "classification_grading_table").when(catalogue, "classification_catalog").when(t.rlike(r"分类工作|分级工作|按照第[0-9]+章|参考附录|指南"), "rule_guidance").otherwise("unknown")
+
+    return X.let(X.let(F.coalesce(text, F.lit("")), lambda t: F.struct(t.alias("t"), X.compact(t).alias("bare"))), judged)
 
 
 def segment_report(segments: DataFrame) -> DataFrame:
@@ -66,9 +71,13 @@ def segment_report(segments: DataFrame) -> DataFrame:
     return t.withColumn("reviewable", (F.col("header_text") == "") | (F.col("content_type") == "unknown") | (F.col("flattened_lines") > 0))
 
 
+# Fixed value: the marks that labels are compared without.
+LABEL_MARKS = r"[，,。；;：:、/\\|（）()〈〉<>《》\"'“”‘’\[\]【】.\-—－_]+"
+
+
 def clean_label(c: Column) -> Column:
     """A label without white space, marks and numbers."""
-    bare = F.regexp_replace(X.compact(F.coalesce(c, F.lit(""))), r"[，,。；;：:、/\\|（）()〈〉<>《》\"'“”‘’\[\]【】.\-—－_]+", "")
+    bare = F.regexp_replace(X.compact(F.coalesce(c, F.lit(""))), LABEL_MARKS, "")
     return F.regexp_replace(bare, r"[0-9]+", "")
 
 
@@ -78,7 +87,8 @@ def description_policy(df: DataFrame) -> DataFrame:
     labels = F.filter(F.transform("levels", clean_label), lambda x: x != "")
     quote, told = clean_label(F.col("evidence_quote")), clean_label(F.col("description"))
     only = (quote != "") & (F.array_contains(labels, quote) | (F.size(labels) > 0) & (quote == clean_label(F.array_join("levels", ""))))
-    general = F.coalesce(F.col("evidence_quote").rlike(GRADE_TERMS) & F.col("evidence_quote").rlike(THRESHOLD_TERMS), F.lit(False))
+    bare_quote = X.compact(F.coalesce("evidence_quote", F.lit("")))
+    general = bare_quote.rlike(GRADE_TERMS) & bare_quote.rlike(THRESHOLD_TERMS)
     examples = F.exists(F.coalesce("data_range_examples", F.array().cast("array<string>")), lambda x: ~X.compact(F.coalesce(x, F.lit(""))).isin(*EMPTY_RANGES))
     fallback = F.regexp_replace(X.compact(F.try_element_at("levels", F.lit(-1))), "[“\"']", "").rlike("^[0-9]{3,4}其他$") & ~examples
     reason = F.when((told != "") & F.array_contains(labels, told), "repeats_label").when(only, "label_only_quote").when(general, "general_grading_rule").when(fallback, "fallback_leaf")

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 
@@ -16,9 +17,11 @@ def explode_lines(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
     return df.select(*keep, F.posexplode(X.lines(F.col(text))).alias("pos", "line")).select(*keep, (F.col("pos") + 1).alias("line_no"), F.regexp_replace("line", rf"{X.WS}+$", "").alias("line"))
 
 
-def high_risk(lines: DataFrame, most: int = 180) -> DataFrame:
-    """Lines longer than most, with a preview."""
-    return lines.where(F.length("line") > most).withColumn("preview", X.preview(F.col("line"), most))
+def high_risk(lines: DataFrame, most: int = 180, merged: int = 4) -> DataFrame:
+    """Lines longer than most, or put together from merged source lines or more where lines know theirs, with a preview."""
+    many = F.col("source_end") - F.col("source_start") + 1 >= merged if {"source_start", "source_end"} <= set(lines.columns) else F.lit(False)
+    text = F.col("text") if "text" in lines.columns else F.col("line")
+    return lines.where((F.length(text) > most) | many).withColumn("preview", X.preview(text, most))
 
 
 # What marks a page number, a row's start and a structure line.
@@ -81,17 +84,6 @@ def chunk(pages: DataFrame) -> DataFrame:
     return blocks.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "block")).alias("position"), F.nullif("page", F.lit(0)).alias("page_number"), title.alias("section_title"), "line_start", "line_end", "text")
 
 
-def cut_by_budget(lengths: list[int], budget: int, joint: int = 1) -> list[int]:
-    """The batch of each item, greedily: a batch is closed when the next item would exceed the budget; a larger item stands alone."""
-    out, n, total = [], 0, 0
-    for x in lengths:
-        if total and total + joint + x > budget:
-            n, total = n + 1, 0
-        total += x + (joint if total else 0)
-        out.append(n)
-    return out
-
-
 def segments(chunks: DataFrame, budget: int = 5000, key: str = "chunk_id") -> DataFrame:
     """key, segment, header_text, line_start, line_end and text of each chunk cut before header lines and within a budget of characters.
 
@@ -145,19 +137,45 @@ def segments(chunks: DataFrame, budget: int = 5000, key: str = "chunk_id") -> Da
     return chunks.select(key, "text").mapInArrow(run, schema)
 
 
-def batches(df: DataFrame, group: str, order: str, size: Column, budget: int = 6000) -> DataFrame:
-    """df with batch: its items put together in order until the budget is reached, within each group."""
-    items = df.select(group, F.col(order).alias("__o"), size.cast("long").alias("__n"))
-    packed = items.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("__o", "__n"))).alias("x"))
-    zero = F.struct(F.lit(0).alias("b"), F.lit(0).cast("long").alias("t"), F.array().cast("array<int>").alias("out"))
+def cut_by_count_and_budget(lengths: list[int], most: int, budget: int) -> list[int]:
+    """The batch of each item, greedily: closed at most items, or when the next would exceed the budget; a larger item stands alone. Without a budget the count alone closes."""
+    out, n, items, total = [], 0, 0, 0
+    most, budget = max(1, most), max(0, budget)
+    for x in lengths:
+        over = budget > 0 and x > budget
+        if items and (items >= most or budget > 0 and total + x > budget or over):
+            n, items, total = n + 1, 0, 0
+        out.append(n)
+        items, total = items + 1, total + x
+        if over:
+            n, items, total = n + 1, 0, 0
+    return out
 
-    def step(acc: Column, e: Column) -> Column:
-        full = (acc["t"] > 0) & (acc["t"] + 1 + e["__n"] > budget)
-        b = acc["b"] + full.cast("int")
-        return F.struct(b.alias("b"), F.when(full | (acc["t"] == 0), e["__n"]).otherwise(acc["t"] + 1 + e["__n"]).alias("t"), F.concat(acc["out"], F.array(b)).alias("out"))
 
-    folded = packed.select(group, F.explode(F.arrays_zip(F.col("x.__o").alias("__o"), F.aggregate("x", zero, step, lambda a: a["out"]).alias("batch"))).alias("z")).select(group, F.col("z.__o").alias(order), F.col("z.batch").alias("batch"))
-    return df.join(folded, [group, order])
+def batches(df: DataFrame, group: str, order: list[str], size: Column, budget: int = 6000, most: int = 1 << 30) -> DataFrame:
+    """df with batch: its items put together in order until their number or the budget is reached, within each group.
+
+    What is gathered of a group is its items' order and size alone. order tells a group's items apart; null sizes count as 0.
+    """
+    fields = [df.schema[group], *(df.schema[c] for c in order)]
+    items = df.select(group, *order, F.coalesce(size.cast("long"), F.lit(0)).alias("__n"))
+    packed = items.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*order, "__n"))).alias("x"))
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            lists = batch.column("x")
+            flat, at = lists.flatten(), lists.offsets.to_pylist()
+            sizes = flat.field("__n").to_pylist()
+            cut = [b for a, z in zip(at, at[1:]) for b in cut_by_count_and_budget(sizes[a - at[0] : z - at[0]], most, budget)]
+            keys = batch.column(group).take(pa.array([k for k, (a, z) in enumerate(zip(at, at[1:])) for _ in range(z - a)], pa.int32()))
+            yield pa.RecordBatch.from_arrays([keys, *(flat.field(c) for c in order), pa.array(cut, pa.int32())], names=[group, *order, "batch"])
+
+    schema = T.StructType([*fields, T.StructField("batch", T.IntegerType())])
+    cut = packed.mapInArrow(run, schema)
+    same = F.lit(True)
+    for c in (group, *order):
+        same = same & df[c].eqNullSafe(cut[c])
+    return df.join(cut, same).select(*(df[c] for c in df.columns), cut["batch"])
 
 
 def signature(df: DataFrame, group: list[str], order: str, *parts: str) -> DataFrame:

@@ -15,11 +15,13 @@ def latest(records: DataFrame, key: str = "batch_index", order: str = "line_no")
 def checkpoint_metrics(records: DataFrame) -> DataFrame:
     """One line: batches, completed ones, rows, seconds, the slowest, and whether 1..n or 0..n-1 are all there."""
     t = latest(records.where("batch_index is not null"))
-    one = t.agg(F.max(F.coalesce("batch_count", F.lit(0))).alias("batch_count"), F.array_sort(F.collect_set("batch_index")).alias("done"), F.sum(F.coalesce("n_rows", F.lit(0))).alias("total_rows"), F.round(F.sum(F.coalesce("elapsed_seconds", F.lit(0.0))), 3).alias("total_seconds"), F.slice(F.transform(F.array_sort(F.collect_list(F.struct((-F.coalesce("elapsed_seconds", F.lit(0.0))).alias("s"), F.col("batch_index").alias("b")))), lambda x: x["b"]), 1, 3).alias("slowest"))
+    seconds = F.coalesce("elapsed_seconds", F.lit(0.0))
+    one = t.agg(F.max(F.coalesce("batch_count", F.lit(0))).alias("batch_count"), F.count(F.lit(1)).alias("completed"), F.count_if((F.col("batch_index") >= 1) & (F.col("batch_index") <= F.col("batch_count"))).alias("from_one"), F.count_if((F.col("batch_index") >= 0) & (F.col("batch_index") < F.col("batch_count"))).alias("from_zero"), F.sum(F.coalesce("n_rows", F.lit(0))).alias("total_rows"), F.round(F.sum(seconds), 3).alias("total_seconds"))
+    slowest = [str(r["batch_index"]) for r in t.orderBy(seconds.desc(), "batch_index").select("batch_index").limit(3).collect()]
     n = F.col("batch_count")
-    full = lambda a, b: F.size(F.array_except(F.sequence(a, b), F.col("done"))) == 0
-    ok = F.when(n > 0, full(F.lit(1), n) | full(F.lit(0), n - 1)).otherwise(False)
-    return one.select("batch_count", F.size("done").alias("completed"), "total_rows", "total_seconds", F.array_join(F.transform("slowest", lambda x: x.cast("string")), ",").alias("slowest"), ok.alias("appears_complete"))
+    # of a run whose records agree on the number of batches, all are there if as many different ones lie within 1..n, or 0..n-1
+    ok = (n > 0) & ((F.col("from_one") == n) | (F.col("from_zero") == n))
+    return one.select("batch_count", F.col("completed").cast("int").alias("completed"), "total_rows", "total_seconds", F.lit(",".join(slowest)).alias("slowest"), F.coalesce(ok, F.lit(False)).alias("appears_complete"))
 
 
 def confusion(cases: DataFrame, expected: str, actual: str) -> DataFrame:

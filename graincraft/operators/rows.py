@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..sources.tables import materialise
+from .grounding import quote_parts
 
 SUPPORT = {"explicit": 3, "structural": 2, "weak": 1}
 SOURCES = {"quoted": 3, "summarized": 2, "insufficient": 1}
@@ -113,18 +114,25 @@ def tiers(links: DataFrame, strong: float = 0.85, reused: int = 3) -> DataFrame:
     return best.join(uses, "reference_id").select("current_id", "reference_id", "score", "uses", F.when(F.col("uses") >= reused, "broad").when(F.col("score") >= strong, "strong").otherwise("other").alias("tier"))
 
 
+def best_linked(links: DataFrame, most: int) -> DataFrame:
+    """current_id and best score of the rows with the best links, a report; equals go by id."""
+    return links.groupBy("current_id").agg(F.max("score").alias("best")).orderBy(F.desc("best"), "current_id").limit(most)
+
+
 def unlinked(library: DataFrame, links: DataFrame) -> DataFrame:
     return library.join(links.select("reference_id").distinct(), "reference_id", "left_anti")
 
 
 def cascade(current: DataFrame, library: DataFrame) -> DataFrame:
-    """current_id, reference_id, match_type and score: by whole path, by code and leaf, by the last two levels with one path the other's end.
+    """current_id, reference_id, match_type and score: by whole path, by code and leaf, by the last two levels with one path the other's end, by alias.
 
-    current and library: id, levels. Of each path the least id stands for its copies on the library side, so a hot path joins once.
+    current and library: id and levels, library also aliases if it has any. Of each path the least id stands for its copies
+    on the library side, so a hot path joins once; ties go to the least id.
     """
     def keyed(df: DataFrame, name: str) -> DataFrame:
-        levels = F.transform("levels", X.level_key)
-        return df.select(F.col("id").alias(name), levels.alias("k"), X.code_of(F.try_element_at("levels", F.lit(-1))).alias("code"))
+        levels = F.filter(F.transform("levels", X.level_key), lambda x: x != "")
+        code = F.replace(F.regexp_extract(F.array_join("levels", " "), r"[0-9]+(?:[.．][0-9]+)+", 0), F.lit("．"), F.lit("."))
+        return df.select(F.col("id").alias(name), levels.alias("k"), code.alias("code")).where("size(k) > 0")
 
     def keys(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         leaf = F.try_element_at("k", F.lit(-1))
@@ -133,22 +141,43 @@ def cascade(current: DataFrame, library: DataFrame) -> DataFrame:
         ends = df.where("size(k) > 1").select(name, F.array_join(F.slice("k", -2, 2), "/").alias("key"), F.array_join("k", "/").alias("whole"))
         return whole, code, ends
 
-    a, b = keys(keyed(current, "current_id"), "current_id"), keys(keyed(library, "reference_id"), "reference_id")
-    exact = a[0].join(b[0].groupBy("key").agg(F.min("reference_id").alias("reference_id")), "key").select("current_id", "reference_id", F.lit("exact_path").alias("match_type"), F.lit(1.0).alias("score"))
-    coded = a[1].join(b[1].groupBy("key").agg(F.min("reference_id").alias("reference_id")), "key").select("current_id", "reference_id", F.lit("code_and_leaf").alias("match_type"), F.lit(0.97).alias("score"))
+    mine = keyed(current, "current_id")
+    a, b = keys(mine, "current_id"), keys(keyed(library, "reference_id"), "reference_id")
+    once = lambda df: df.groupBy("key").agg(F.min("reference_id").alias("reference_id"))
+    told = lambda df, kind, score: df.select("current_id", "reference_id", F.lit(kind).alias("match_type"), F.lit(score).alias("score"))
     ends = a[2].join(b[2].groupBy("key", F.col("whole").alias("other")).agg(F.min("reference_id").alias("reference_id")), "key")
     suffix = F.col("whole").endswith(F.concat(F.lit("/"), "other")) | F.col("other").endswith(F.concat(F.lit("/"), "whole")) | (F.col("whole") == F.col("other"))
-    parent = ends.where(suffix).select("current_id", "reference_id", F.lit("parent_and_leaf").alias("match_type"), F.lit(0.94).alias("score"))
-    found = exact.union(coded).union(parent)
+    found = told(a[0].join(once(b[0]), "key"), "exact_path", 1.0).union(told(a[1].join(once(b[1]), "key"), "code_and_leaf", 0.97)).union(told(ends.where(suffix), "parent_and_leaf", 0.94))
+    if "aliases" in library.columns:
+        aliases = library.select(F.col("id").alias("reference_id"), F.explode("aliases").alias("x")).select("reference_id", X.level_key(F.col("x")).alias("key")).where("key <> ''")
+        leaves = mine.select("current_id", F.try_element_at("k", F.lit(-1)).alias("key"))
+        found = found.union(told(leaves.join(once(aliases), "key"), "exact_alias", 0.92))
     best = F.min(F.struct((-F.col("score")).alias("s"), "reference_id", "match_type", "score"))
     return found.groupBy("current_id").agg(best.alias("b")).select("current_id", "b.reference_id", "b.match_type", "b.score")
 
 
-def compared(left: DataFrame, right: DataFrame) -> DataFrame:
-    """path_key and outcome (matched, missing, extra) of two tables of levels, one line for each path."""
-    a = left.select(X.path_key(F.col("levels")).alias("path_key")).distinct().withColumn("a", F.lit(1))
-    b = right.select(X.path_key(F.col("levels")).alias("path_key")).distinct().withColumn("b", F.lit(1))
-    return a.join(b, "path_key", "full_outer").select("path_key", F.when(F.col("a").isNull(), "extra").when(F.col("b").isNull(), "missing").otherwise("matched").alias("outcome"))
+def compared(generated: DataFrame, gold: DataFrame) -> DataFrame:
+    """path_key, outcome (matched, missing, extra), the grades of either side and whether they agree, one line for each path.
+
+    Both sides: levels, recommended_grade and ord; of several rows of a path the last counts. Paths are compared without
+    numbering, grades without the word for ordinary data.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        key = X.gold_key(F.col("levels"))
+        t = df.withColumn("k", key).where("size(k) > 0").select(F.array_join("k", "/").alias("path_key"), "ord", X.gold_grade(F.col("recommended_grade")).alias("g"))
+        return t.groupBy("path_key").agg(F.max(F.struct("ord", "g"))["g"].alias(name), F.lit(True).alias(f"has_{name}"))
+
+    t = side(generated, "generated_grade").join(side(gold, "gold_grade"), "path_key", "full_outer")
+    outcome = F.when(F.col("has_generated_grade").isNull(), "missing").when(F.col("has_gold_grade").isNull(), "extra").otherwise("matched")
+    return t.select("path_key", outcome.alias("outcome"), "generated_grade", "gold_grade", F.when(outcome == "matched", F.col("generated_grade") == F.col("gold_grade")).alias("same_grade"))
+
+
+def comparison_summary(lines: DataFrame) -> DataFrame:
+    """One line of counts and percentages over compared()'s lines."""
+    n = {k: F.count_if(F.col("outcome") == k) for k in ("matched", "missing", "extra")}
+    t = lines.agg(*(c.alias(k) for k, c in n.items()), F.count_if("same_grade").alias("grade_matches"), F.count_if(~F.col("same_grade")).alias("grade_mismatches"))
+    pct = lambda a, b: F.round(a * 100 / F.greatest(b, F.lit(1)), 2)
+    return t.select((F.col("matched") + F.col("extra")).alias("generated_rows"), (F.col("matched") + F.col("missing")).alias("reference_rows"), F.col("matched").alias("matched_paths"), pct(F.col("matched"), F.col("matched") + F.col("missing")).alias("coverage_pct"), F.col("missing").alias("missing_paths"), F.col("extra").alias("extra_paths"), "grade_matches", "grade_mismatches", pct(F.col("grade_matches"), F.col("matched")).alias("grade_accuracy_pct"))
 
 
 def named_elements(rows: DataFrame, elements: DataFrame) -> DataFrame:
@@ -169,10 +198,6 @@ def donations(df: DataFrame) -> DataFrame:
     return once.select("receiver", "donor")
 
 
-def quote_parts(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "；"), X.strip), lambda x: x != "")
-
-
 def grounded(df: DataFrame) -> DataFrame:
     """row_id, parts and grounded: whether each part of a row's quote stands in one of its references' texts."""
     texts = F.transform(F.coalesce("evidence_refs", F.array().cast(df.schema["evidence_refs"].dataType)), lambda r: X.compact(F.coalesce(r["text"], F.lit(""))))
@@ -180,39 +205,6 @@ def grounded(df: DataFrame) -> DataFrame:
     return df.select("row_id", F.size(parts).alias("parts"), F.forall(parts, lambda p: F.exists(texts, lambda t: t.contains(X.compact(p)))).alias("grounded"))
 
 
-SUPPORT_LEVELS = ("explicit", "structural", "weak")
-DESCRIPTION_SOURCES = ("quoted", "summarized", "insufficient", "reference_library", "classification_standard_excel")
-
-
-def issues(df: DataFrame) -> DataFrame:
-    """issue_id, row_id, issue_type, severity and problem of each rule a row breaks."""
-    refs = F.coalesce("evidence_refs", F.array().cast(df.schema["evidence_refs"].dataType))
-    texts = F.transform(refs, lambda r: X.compact(F.coalesce(r["text"], F.lit(""))))
-    all_text = F.array_join(texts, "")
-    empty = lambda c: F.coalesce(X.strip(F.col(c)) == "", F.lit(True))
-    quote_ok = F.forall(quote_parts(F.col("evidence_quote")), lambda p: F.exists(texts, lambda t: t.contains(X.compact(p))))
-    described = ~empty("description") & (F.coalesce("description_source", F.lit("")) != "insufficient")
-    rules: list[tuple[Column, str, str, str]] = [
-        (F.size(X.clean_levels(F.col("path_levels"))) == 0, "schema_contract_violation", "high", "empty path"),
-        (F.size(refs) == 0, "unsupported_generation", "high", "no evidence"),
-        (empty("evidence_quote"), "weak_trace", "medium", "no quote"),
-        (~empty("evidence_quote") & (F.size(refs) > 0) & ~quote_ok, "hardcoded_or_ungrounded_content", "high", "quote not in evidence"),
-        (~empty("grade_evidence_quote") & (F.size(refs) > 0) & ~F.forall(quote_parts(F.col("grade_evidence_quote")), lambda p: F.exists(texts, lambda t: t.contains(X.compact(p)))), "hardcoded_or_ungrounded_content", "high", "grade quote not in evidence"),
-        (~F.coalesce(F.col("support_level").isin(*SUPPORT_LEVELS), F.lit(False)), "schema_contract_violation", "high", "support level"),
-        (~F.coalesce(F.col("description_source").isin(*DESCRIPTION_SOURCES), F.lit(False)), "schema_contract_violation", "high", "description source"),
-        ((F.coalesce("description_source", F.lit("")) == "insufficient") & (F.coalesce("description", F.lit("")) != X.INSUFFICIENT), "schema_contract_violation", "medium", "insufficient wording"),
-        (described & empty("description_evidence_quote") & ~X.contains_compact(F.coalesce("evidence_quote", F.lit("")), F.coalesce("description", F.lit(""))), "weak_trace", "medium", "description without quote"),
-        (~empty("description_evidence_quote") & (F.size(refs) > 0) & ~F.forall(quote_parts(F.col("description_evidence_quote")), lambda p: all_text.contains(X.compact(p))), "hardcoded_or_ungrounded_content", "high", "description quote not in evidence"),
-        (~empty("recommended_grade") & ~X.contains_compact(F.coalesce("evidence_quote", F.lit("")), F.coalesce("recommended_grade", F.lit(""))) & ~X.contains_compact(F.coalesce("grade_evidence_quote", F.lit("")), F.coalesce("recommended_grade", F.lit(""))), "hardcoded_or_ungrounded_content", "medium", "grade not in quotes"),
-        (F.coalesce(F.col("support_level").isin("structural", "weak"), F.lit(False)) & ~F.coalesce("needs_review", F.lit(False)), "schema_contract_violation", "medium", "review flag"),
-    ]
-    found = F.array(*(F.when(hit, F.struct(F.lit(kind).alias("issue_type"), F.lit(severity).alias("severity"), F.lit(problem).alias("problem"))) for hit, kind, severity, problem in rules))
-    broken = df.select("row_id", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("i")).select("row_id", "i.*")
-    t = with_path(df)
-    again = t.groupBy("path").agg(F.min("ord").alias("first")).join(t.select("path", "ord", "row_id"), "path").where("ord > first").select("row_id", F.lit("duplicated_path").alias("issue_type"), F.lit("medium").alias("severity"), F.lit("path seen before").alias("problem"))
-    return broken.union(again).select(X.stable_id("issue", F.col("issue_type"), F.col("row_id"), F.col("problem")).alias("issue_id"), "row_id", "issue_type", "severity", "problem")
-
-
 def weak_descriptions(df: DataFrame) -> DataFrame:
     """row_id, flags and priority of the rows whose description says little."""
     leaf = F.try_element_at("levels", F.lit(-1))

@@ -46,11 +46,11 @@ def _label(c: str) -> str:
 
 @query(
     f"""{BASE}, k AS (SELECT row_id, levels, list_filter(list_transform(levels, lambda x: {_label('x')}), lambda x: x <> '') AS labels, {_label('evidence_quote')} AS quote, {_label('description')} AS told, {_label("array_to_string(levels, '')")} AS whole,
- coalesce(regexp_matches(evidence_quote, '{V.GRADE_TERMS}') AND regexp_matches(evidence_quote, '{V.THRESHOLD_TERMS}'), false) AS general FROM pathed), r AS (SELECT row_id, CASE WHEN told <> '' AND list_contains(labels, told) THEN 'repeats_label' WHEN quote <> '' AND (list_contains(labels, quote) OR len(labels) > 0 AND quote = whole) THEN 'label_only_quote' WHEN general THEN 'general_grading_rule' END AS reason FROM k)
+ coalesce(regexp_matches({COMPACT('evidence_quote')}, '{V.GRADE_TERMS}') AND regexp_matches({COMPACT('evidence_quote')}, '{V.THRESHOLD_TERMS}'), false) AS general, regexp_matches(regexp_replace({COMPACT('levels[len(levels)]')}, '[“"'']', '', 'g'), '^[0-9]{{3,4}}其他$') AND len(list_filter(coalesce(data_range_examples, []), lambda x: NOT list_contains(['', '-', '—', '－', '一'], {COMPACT("coalesce(x, '')")}))) = 0 AS fallback FROM pathed), r AS (SELECT row_id, CASE WHEN told <> '' AND list_contains(labels, told) THEN 'repeats_label' WHEN quote <> '' AND (list_contains(labels, quote) OR len(labels) > 0 AND quote = whole) THEN 'label_only_quote' WHEN general THEN 'general_grading_rule' WHEN fallback THEN 'fallback_leaf' END AS reason FROM k)
  SELECT reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY 1"""
 )
 def description_policy(spark: SparkSession, d: str) -> DataFrame:
-    return V.description_policy(_rows(spark, d)).where("reason <> 'fallback_leaf'").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return V.description_policy(_rows(spark, d)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
@@ -64,8 +64,8 @@ def segment_structure(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {CHUNKS} SELECT content, count(*) AS n FROM (SELECT CASE WHEN (contains(t, '影响对象') AND contains(t, '影响程度') AND contains(t, '数据级别')) OR (contains(t, '分类分级表') AND contains(t, '数据级别')) THEN 'classification_grading_table'
- WHEN regexp_matches(t, '类(?:（[^）]+）|\\([^)]*\\))?\\s+项(?:（[^）]+）|\\([^)]*\\))?\\s+目') OR contains(t, '分类目录') THEN 'classification_catalog' WHEN regexp_matches(t, '分类工作|分级工作|按照第[0-9]+章|参考附录|指南') THEN 'rule_guidance' ELSE 'unknown' END AS content FROM (SELECT coalesce(text, '') AS t FROM chunks_once)) GROUP BY 1"""
+    f"""WITH {CHUNKS} SELECT content, count(*) AS n FROM (SELECT CASE WHEN (contains(c, '数据范围及示例') AND contains(c, '影响程度') AND contains(c, '数据级别')) OR (contains(t, '分类分级表') AND contains(t, '数据级别')) THEN 'classification_grading_table'
+ WHEN (contains(c, '类') AND contains(c, '项') AND contains(c, '目')) OR contains(t, '分类目录') THEN 'classification_catalog' WHEN regexp_matches(t, '分类工作|分级工作|按照第[0-9]+章|参考附录|指南') THEN 'rule_guidance' ELSE 'unknown' END AS content FROM (SELECT t, {COMPACT('t')} AS c FROM (SELECT coalesce(text, '') AS t FROM chunks_once))) GROUP BY 1"""
 )
 def content_types(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).groupBy(V.content_type(F.col("text")).alias("content")).agg(F.count(F.lit(1)).alias("n"))

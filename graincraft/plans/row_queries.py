@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import grounding as G
 from ..operators import rows as R
 from ..sources.tables import load, one_per_key
-from .registry import query
+from .registry import SQL, query
 
 #: SQL pieces. WS: the white space of functions.text, for a dialect whose own class is ASCII only.
 WS = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1c}-\x{1f}\x{85}]"
@@ -76,35 +77,94 @@ def _library(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.col("match_id").alias("reference_id"), R.row_terms(F.col("reference_path"), F.col("shared_terms"), F.lit(""), F.lit("")).alias("terms"))
 
 
-@query()
+_BARE = lambda c: f"regexp_replace(regexp_replace({COMPACT(c)}, '^[A-Za-z]?[）)、.．]?', ''), '^[0-9]+(?:[.．][0-9]+)*', '')"
+_STOPS = "[" + ", ".join(f"'{x}'" for x in X.STOP_TERMS) + "]"
+_BREAKS = X.TERM_BREAKS.replace("'", "''")
+_GOOD = lambda c: f"list_filter({c}, lambda y: length(y) >= 2 AND NOT list_contains({_STOPS}, y))"
+
+
+def _terms(c: str) -> str:
+    """SQL: the terms of a text, as functions.text.terms has them."""
+    base = _BARE(f"coalesce({c}, '')")
+    parts = f"list_transform(regexp_split_to_array({base}, '{_BREAKS}'), lambda z: {_BARE('z')})"
+    return f"CASE WHEN {base} IN ('', '{X.INSUFFICIENT}') THEN [] ELSE {_GOOD(f'list_concat({parts}, CASE WHEN length({base}) <= 12 THEN [{base}] ELSE [] END)')} END"
+
+
+def _row_terms(levels: str, examples: str, told: str = "[]") -> str:
+    each = f"flatten(list_transform(list_concat(coalesce({levels}, []), coalesce({examples}, [])), lambda v: {_terms('v')}))"
+    return f"list_distinct(list_concat({each}, {told}))"
+
+
+_CUR = f"cur AS (SELECT row_id AS current_id, {_row_terms('path_levels', 'data_range_examples', 'CASE WHEN coalesce(description_source, chr(32)) <> ' + chr(39) + 'insufficient' + chr(39) + ' THEN ' + _terms('description') + ' ELSE [] END')} AS t FROM rows_once)"
+_LIB = f"lib AS (SELECT match_id AS reference_id, {_row_terms('reference_path', 'shared_terms')} AS t FROM (SELECT DISTINCT ON (match_id) * FROM rule_table_matches))"
+_LINKS = f"""WITH {ROWS}, {_CUR}, {_LIB}, ct AS (SELECT current_id, len(t) AS n1, unnest(t) AS term FROM cur), lt AS (SELECT reference_id, len(t) AS n2, unnest(t) AS term FROM lib),
+ pr AS (SELECT current_id, reference_id, count(*) AS s, any_value(n1) AS n1, any_value(n2) AS n2, list(ct.term) AS terms FROM ct JOIN lt ON ct.term = lt.term GROUP BY 1, 2),
+ sc AS (SELECT current_id, reference_id, round(0.75 * s / least(n1, n2) + 0.25 * s / (n1 + n2 - s), 4) AS score, array_to_string(list_transform(list_sort(list_transform(terms, lambda x: {{'n': -length(x), 't': x}}))[1:8], lambda e: e.t), '|') AS shared FROM pr),
+ links AS (SELECT current_id, reference_id, score, shared, row_number() OVER (PARTITION BY current_id ORDER BY score DESC, reference_id) AS rank FROM sc WHERE score >= 0.5)"""
+
+
+@query(f"{_LINKS} SELECT current_id, reference_id, score, shared, rank FROM links WHERE rank <= 3")
 def term_links_topk(spark: SparkSession, d: str) -> DataFrame:
-    return R.term_links(_current(spark, d), _library(spark, d))
+    return R.term_links(_current(spark, d), _library(spark, d)).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query()
+@query(f"{_LINKS}, b AS (SELECT * FROM links WHERE rank = 1), u AS (SELECT reference_id, count(*) AS uses FROM b GROUP BY 1) SELECT current_id, b.reference_id, score, uses, CASE WHEN uses >= 3 THEN 'broad' WHEN score >= 0.85 THEN 'strong' ELSE 'other' END AS tier FROM b JOIN u ON b.reference_id = u.reference_id")
 def match_tiers(spark: SparkSession, d: str) -> DataFrame:
     return R.tiers(term_links_topk(spark, d))
 
 
-@query()
+@query(f"{_LINKS} SELECT reference_id FROM lib WHERE reference_id NOT IN (SELECT reference_id FROM links WHERE rank <= 3)")
 def missing_references(spark: SparkSession, d: str) -> DataFrame:
     return R.unlinked(_library(spark, d), term_links_topk(spark, d)).select("reference_id")
 
 
+@query(f"{_LINKS}, b AS (SELECT current_id, max(score) AS best FROM links WHERE rank <= 3 GROUP BY 1) SELECT current_id, best FROM b ORDER BY best DESC, current_id LIMIT 20")
+def best_links(spark: SparkSession, d: str) -> DataFrame:
+    """The twenty rows with the best links, a report."""
+    return R.best_linked(term_links_topk(spark, d), 20)
+
+
 def _leveled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     a = R.with_path(_rows(spark, d)).select(F.col("row_id").alias("id"), "levels")
     b = one_per_key(load(spark, d, "rule_table_matches"), "match_id").select(F.col("match_id").alias("id"), X.clean_levels(F.col("reference_path")).alias("levels")).where("size(levels) > 0")
     return a, b
 
 
-@query()
+_KEY = lambda c: f"regexp_replace(regexp_replace(regexp_replace({COMPACT('translate(' + c + ', chr(65294) || chr(65288) || chr(65289), chr(46) || chr(40) || chr(41))')}, '^[A-Za-z]?[、.)）.．]+', ''), '^[0-9]+(?:[.．][0-9]+)*', ''), '^[、.)）.．:：\\-]+|[、.)）.．:：\\-]+$', '', 'g')"
+_KEYED = lambda name, source, key, levels: f"{name} AS (SELECT {key} AS id, list_filter(list_transform({levels}, lambda x: {_KEY('x')}), lambda x: x <> '') AS k, replace(regexp_extract(array_to_string({levels}, ' '), '[0-9]+(?:[.．][0-9]+)+'), '．', '.') AS code FROM {source})"
+
+
+@query(
+    f"""{BASE}, m AS (SELECT DISTINCT ON (match_id) * FROM rule_table_matches), ml AS (SELECT match_id, list_filter(list_transform(coalesce(reference_path, []), lambda x: {STRIP("coalesce(x, '')")}), lambda x: x <> '') AS levels FROM m),
+ {_KEYED('a', 'pathed', 'row_id', 'levels')}, {_KEYED('b', 'ml', 'match_id', 'levels')}, p AS (SELECT a.id AS current_id, b.id AS reference_id, CASE WHEN a.k = b.k THEN 1.0
+ WHEN a.code <> '' AND a.code = b.code AND a.k[len(a.k)] = b.k[len(b.k)] THEN 0.97 WHEN len(a.k) > 1 AND len(b.k) > 1 AND a.k[len(a.k) - 1:] = b.k[len(b.k) - 1:] AND (ends_with(array_to_string(a.k, '/'), '/' || array_to_string(b.k, '/')) OR ends_with(array_to_string(b.k, '/'), '/' || array_to_string(a.k, '/'))) THEN 0.94 END::DOUBLE AS score FROM a JOIN b ON a.k[len(a.k)] = b.k[len(b.k)] WHERE len(a.k) > 0),
+ r AS (SELECT *, row_number() OVER (PARTITION BY current_id ORDER BY score DESC, reference_id) AS n FROM p WHERE score IS NOT NULL)
+ SELECT current_id, reference_id, CASE score WHEN 1.0 THEN 'exact_path' WHEN 0.97 THEN 'code_and_leaf' ELSE 'parent_and_leaf' END AS match_type, score FROM r WHERE n = 1"""
+)
 def strong_match_cascade(spark: SparkSession, d: str) -> DataFrame:
     return R.cascade(*_leveled(spark, d))
 
 
-@query()
-def library_comparison(spark: SparkSession, d: str) -> DataFrame:
-    return R.compared(*_leveled(spark, d))
+_GOLD = lambda c: f"regexp_replace({COMPACT('replace(replace(' + c + ', chr(65288), chr(40)), chr(65289), chr(41))')}, '^[A-Z][、.]?', '')"
+_GOLD_LEVEL = lambda c: f"CASE WHEN regexp_matches({_GOLD(c)}, '^[0-9]+(?:周岁|岁)') THEN {_GOLD(c)} ELSE regexp_replace({_GOLD(c)}, '^[0-9]+[、.]?', '') END"
+_COMPARED = f"""{BASE}, g AS (SELECT ord, status, array_to_string(list_filter(list_transform(levels, lambda x: {_GOLD_LEVEL('x')}), lambda x: x <> ''), '/') AS path_key, {COMPACT("replace(coalesce(recommended_grade, ''), '一般数据', '')")} AS grade FROM pathed),
+ a AS (SELECT path_key, arg_max(grade, ord) AS generated_grade FROM g WHERE status = 'proposed' AND path_key <> '' GROUP BY 1), b AS (SELECT path_key, arg_max(grade, ord) AS gold_grade FROM g WHERE status = 'accepted' AND path_key <> '' GROUP BY 1),
+ cmp AS (SELECT coalesce(a.path_key, b.path_key) AS path_key, CASE WHEN a.path_key IS NULL THEN 'missing' WHEN b.path_key IS NULL THEN 'extra' ELSE 'matched' END AS outcome, generated_grade, gold_grade, CASE WHEN a.path_key IS NOT NULL AND b.path_key IS NOT NULL THEN generated_grade = gold_grade END AS same_grade FROM a FULL JOIN b ON a.path_key = b.path_key)"""
+
+
+@query(f"{_COMPARED} SELECT * FROM cmp")
+def gold_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Proposed rows against the accepted ones, by path and grade."""
+    t = R.with_path(_rows(spark, d))
+    return R.compared(t.where("status = 'proposed'"), t.where("status = 'accepted'"))
+
+
+@query(
+    f"""{_COMPARED}, n AS (SELECT count(*) FILTER (WHERE outcome = 'matched') AS m, count(*) FILTER (WHERE outcome = 'missing') AS x, count(*) FILTER (WHERE outcome = 'extra') AS e, count(*) FILTER (WHERE same_grade) AS y, count(*) FILTER (WHERE NOT same_grade) AS z FROM cmp)
+ SELECT m + e AS generated_rows, m + x AS reference_rows, m AS matched_paths, round(m * 100 / greatest(m + x, 1), 2)::DOUBLE AS coverage_pct, x AS missing_paths, e AS extra_paths, y AS grade_matches, z AS grade_mismatches, round(y * 100 / greatest(m, 1), 2)::DOUBLE AS grade_accuracy_pct FROM n"""
+)
+def gold_comparison_summary(spark: SparkSession, d: str) -> DataFrame:
+    return R.comparison_summary(gold_comparison(spark, d))
 
 
 @query(
@@ -136,27 +196,44 @@ def quote_grounding(spark: SparkSession, d: str) -> DataFrame:
     return R.grounded(_rows(spark, d)).select("row_id", F.col("parts").cast("bigint").alias("parts"), "grounded")
 
 
-@query()
+def _checked(spark: SparkSession, d: str) -> DataFrame:
+    texts = G.corpus(one_per_key(load(spark, d, "source_documents"), "doc_id"), one_per_key(load(spark, d, "document_pages"), "doc_id", "page_number"))
+    return G.issues(_rows(spark, d), texts)
+
+
+_QUOTED = lambda c, where: f"len(list_filter({_PARTS(c)}, lambda p: NOT contains({where}, {COMPACT('p')}))) > 0"
+_NO = lambda c: f"coalesce({c}, '') = ''"
+_HAS = lambda text, part: f"(contains(coalesce({text}, ''), {part}) OR contains({COMPACT(f'coalesce({text}, chr(32))')}, {COMPACT(part)}))"
+_MARKLESS = lambda c: f"translate({COMPACT(c)}, '{G.LEVEL_MARKS}', '')"
+_TELL = lambda rule, extra="": f"{{'rule': '{rule}', 'problem': '{G.PROBLEMS[rule][2]}'{extra}}}"
+_KINDS = "(VALUES " + ", ".join(f"('{r}', '{k}', '{s}')" for r, (k, s, _) in G.PROBLEMS.items()) + ") AS kinds(rule, issue_type, severity)"
+_VALIDATION = f"""WITH {ROWS}, corp AS (SELECT string_agg({COMPACT('t')}, '') AS whole FROM (SELECT raw_text AS t FROM (SELECT DISTINCT ON (doc_id) raw_text FROM source_documents) UNION ALL SELECT text FROM (SELECT DISTINCT ON (doc_id, page_number) text FROM document_pages)) WHERE t IS NOT NULL), corpus AS (SELECT whole, translate(whole, '{G.LEVEL_MARKS}', '') AS bare FROM corp),
+ b AS (SELECT *, list_filter(coalesce(path_levels, []), lambda x: x IS NOT NULL) AS lv, {_TEXTS} AS texts, coalesce(support_level, 'None') AS sup, coalesce(description_source, 'None') AS src FROM rows_once), t AS (SELECT *, array_to_string(lv, ' / ') AS path, array_to_string(texts, '') AS alltext, coalesce(evidence_status = 'reference_only' AND inclusion_status = 'review_candidate', false) AS skipped FROM b), tt AS (SELECT *, CASE WHEN path = '' THEN row_id ELSE path END AS target FROM t),
+ lev AS (SELECT DISTINCT level FROM (SELECT unnest(lv) AS level FROM t WHERE NOT skipped) WHERE level <> ''), absent AS (SELECT level FROM lev, corpus WHERE CASE WHEN {_MARKLESS('level')} = '' THEN NOT contains(whole, {COMPACT('level')}) ELSE NOT contains(bare, {_MARKLESS('level')}) END),
+ f AS (SELECT row_id, target, unnest([CASE WHEN len(coalesce(evidence_refs, [])) = 0 THEN {_TELL('no evidence')} END, CASE WHEN {_NO('evidence_quote')} THEN {_TELL('no quote')} END,
+ CASE WHEN {_QUOTED('evidence_quote', "CASE WHEN alltext <> '' THEN alltext ELSE whole END")} THEN {_TELL('quote not in evidence')} END,
+ CASE WHEN len(list_filter({_PARTS('grade_evidence_quote')}, lambda p: len(list_filter(texts, lambda z: contains(z, {COMPACT('p')}))) = 0)) > 0 THEN {_TELL('grade quote not in evidence')} END,
+ CASE WHEN sup NOT IN ('explicit', 'structural', 'weak') THEN {_TELL('support level', ' || sup')} END,
+ CASE WHEN src NOT IN ('quoted', 'summarized', 'insufficient', 'reference_library', 'classification_standard_excel') THEN {_TELL('description source', ' || src')} END,
+ CASE WHEN src = 'insufficient' AND coalesce(description, '') <> '{X.INSUFFICIENT}' THEN {_TELL('insufficient wording')} END,
+ CASE WHEN src NOT IN ('insufficient', 'reference_library', 'classification_standard_excel') AND {_NO('description_evidence_quote')} AND ({_NO('description')} OR NOT {_HAS('evidence_quote', 'description')}) THEN {_TELL('description without quote')} END,
+ CASE WHEN {_QUOTED('description_evidence_quote', "CASE WHEN alltext <> '' THEN alltext ELSE whole END")} THEN {_TELL('description quote not in evidence')} END,
+ CASE WHEN NOT {_NO('recommended_grade')} AND NOT {_HAS('evidence_quote', 'recommended_grade')} AND NOT {_HAS('grade_evidence_quote', 'recommended_grade')} THEN {_TELL('grade not in quotes', ' || recommended_grade')} END,
+ CASE WHEN sup IN ('structural', 'weak') AND NOT coalesce(needs_review, false) THEN {_TELL('review flag')} END]) AS i FROM tt, corpus WHERE NOT skipped),
+ a AS (SELECT row_id, target, i.rule AS rule, i.problem AS problem FROM f WHERE i IS NOT NULL UNION ALL SELECT row_id, target, 'empty path', '{G.PROBLEMS["empty path"][2]}' FROM tt WHERE len(lv) = 0
+ UNION ALL SELECT row_id, target, 'path seen before', '{G.PROBLEMS["path seen before"][2]}' FROM (SELECT *, min(ord) OVER (PARTITION BY path) AS o FROM tt) WHERE ord > o
+ UNION ALL SELECT row_id, target, 'level not in documents', '{G.PROBLEMS["level not in documents"][2]}' || level FROM (SELECT row_id, target, unnest(lv) AS level FROM tt WHERE NOT skipped) u WHERE level IN (SELECT level FROM absent)),
+ issues AS (SELECT 'issue_' || left(sha1(issue_type || '||' || target || '||' || problem), 12) AS issue_id, row_id, a.rule, issue_type, severity, problem FROM a JOIN {_KINDS} ON a.rule = kinds.rule)"""
+
+
+@query(f"{_VALIDATION} SELECT * FROM issues")
 def validation_issues(spark: SparkSession, d: str) -> DataFrame:
-    return R.issues(_rows(spark, d))
-
+    return _checked(spark, d)
 
-_EMPTY = lambda c: f"coalesce({STRIP(c)} = '', true)"
 
-
-@query(
-    f"""WITH {ROWS}, {LEVELS}, f AS (SELECT row_id, unnest([
- CASE WHEN len(levels) = 0 THEN 'empty path' END, CASE WHEN len(coalesce(evidence_refs, [])) = 0 THEN 'no evidence' END, CASE WHEN {_EMPTY('evidence_quote')} THEN 'no quote' END,
- CASE WHEN NOT coalesce(support_level IN ('explicit', 'structural', 'weak'), false) THEN 'support level' END,
- CASE WHEN NOT coalesce(description_source IN ('quoted', 'summarized', 'insufficient', 'reference_library', 'classification_standard_excel'), false) THEN 'description source' END,
- CASE WHEN coalesce(description_source, '') = 'insufficient' AND coalesce(description, '') <> '{X.INSUFFICIENT}' THEN 'insufficient wording' END,
- CASE WHEN coalesce(support_level IN ('structural', 'weak'), false) AND NOT coalesce(needs_review, false) THEN 'review flag' END]) AS problem FROM levelled),
- a AS (SELECT row_id, problem FROM f WHERE problem IS NOT NULL UNION ALL SELECT row_id, 'path seen before' FROM (SELECT row_id, ord, min(ord) OVER (PARTITION BY path) AS f FROM pathed) WHERE ord > f)
- SELECT problem, count(*) AS n, min(row_id) AS first_row FROM a GROUP BY 1"""
-)
+@query(f"{_VALIDATION} SELECT rule, issue_type, severity, count(*) AS n, min(row_id) AS first_row FROM issues GROUP BY 1, 2, 3")
 def issues_by_problem(spark: SparkSession, d: str) -> DataFrame:
-    plain = ["empty path", "no evidence", "no quote", "support level", "description source", "insufficient wording", "review flag", "path seen before"]
-    return R.issues(_rows(spark, d)).where(F.col("problem").isin(plain)).groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_row"))
+    return _checked(spark, d).groupBy("rule", "issue_type", "severity").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_row"))
 
 
 @query(
@@ -169,10 +246,10 @@ def weak_descriptions(spark: SparkSession, d: str) -> DataFrame:
     return R.weak_descriptions(_rows(spark, d)).select("row_id", "flags", F.col("priority").cast("bigint").alias("priority"))
 
 
-@query()
+@query(SQL["weak_descriptions"].replace("WHERE flags <> ''", "WHERE flags <> '' ORDER BY priority DESC, row_id LIMIT 20"))
 def weak_descriptions_top(spark: SparkSession, d: str) -> DataFrame:
     """The twenty weak rows of highest priority, a report."""
-    return R.weak_descriptions(_rows(spark, d)).orderBy(F.desc("priority"), "row_id").limit(20)
+    return weak_descriptions(spark, d).orderBy(F.desc("priority"), "row_id").limit(20)
 
 
 @query()

@@ -75,7 +75,7 @@ def failure_categories(spark: SparkSession, d: str) -> DataFrame:
 def extracted_table_rows(spark: SparkSession, d: str) -> DataFrame:
     """The extraction plan over the chunks: batches by budget, the rule-based extractor, typed rows."""
     t = one_per_key(load(spark, d, "chunks"), "chunk_id").select("doc_id", F.col("chunk_id").alias("segment_id"), F.coalesce("text", F.lit("")).alias("text"))
-    batched = L.batches(t, "doc_id", "segment_id", F.length("text"), 7000)
+    batched = L.batches(t, "doc_id", ["segment_id"], F.length("text"), 7000)
     named = batched.select(F.concat_ws("#", "doc_id", "batch").alias("batch"), "segment_id", "text")
     return E.typed_rows(E.extracted(named)).withColumn("levels", F.array_join("levels", " / "))
 

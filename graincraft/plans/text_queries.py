@@ -98,14 +98,24 @@ def table_segments(spark: SparkSession, d: str) -> DataFrame:
     return L.segments(t.where(wide | (F.length("text") > 900)), 900)
 
 
-@query(
-    f"""WITH RECURSIVE {CHUNKS}, o AS (SELECT doc_id, chunk_id, coalesce(length(text), 0) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_id) AS k FROM chunks_once),
- w AS (SELECT doc_id, chunk_id, k, 0 AS batch, n AS total FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.chunk_id, o.k, CASE WHEN w.total > 0 AND w.total + 1 + o.n > 2000 THEN w.batch + 1 ELSE w.batch END, CASE WHEN w.total = 0 OR w.total + 1 + o.n > 2000 THEN o.n ELSE w.total + 1 + o.n END FROM w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1)
+def _batches_sql(most: int, budget: int) -> str:
+    closes = f"(w.items >= {most} OR w.total + o.n > {budget} OR o.n > {budget} OR w.total > {budget})"
+    return f"""WITH RECURSIVE {CHUNKS}, o AS (SELECT doc_id, chunk_id, coalesce(length(text), 0) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY position, chunk_id) AS k FROM chunks_once),
+ w AS (SELECT doc_id, chunk_id, k, 0 AS batch, n AS total, 1 AS items FROM o WHERE k = 1 UNION ALL SELECT o.doc_id, o.chunk_id, o.k, CASE WHEN {closes} THEN w.batch + 1 ELSE w.batch END, CASE WHEN {closes} THEN o.n ELSE w.total + o.n END, CASE WHEN {closes} THEN 1 ELSE w.items + 1 END FROM w JOIN o ON o.doc_id = w.doc_id AND o.k = w.k + 1)
  SELECT doc_id, chunk_id, batch FROM w"""
-)
+
+
+@query(_batches_sql(5, 2000))
 def claim_batches(spark: SparkSession, d: str) -> DataFrame:
-    t = _chunks(spark, d).select("doc_id", "chunk_id", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
-    return L.batches(t, "doc_id", "chunk_id", F.col("n"), 2000).select("doc_id", "chunk_id", "batch")
+    """Five chunks or two thousand characters at most, a longer chunk alone, in the order of their places in the document."""
+    t = _chunks(spark, d).select("doc_id", "position", "chunk_id", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
+    return L.batches(t, "doc_id", ["position", "chunk_id"], F.col("n"), 2000, 5).select("doc_id", "chunk_id", "batch")
+
+
+@query(f"WITH {CHUNKS} SELECT doc_id, chunk_id, (row_number() OVER (PARTITION BY doc_id ORDER BY position, chunk_id) - 1) // 3 AS batch FROM chunks_once")
+def fixed_batches(spark: SparkSession, d: str) -> DataFrame:
+    t = _chunks(spark, d).select("doc_id", "position", "chunk_id", F.lit(0).alias("n"))
+    return L.batches(t, "doc_id", ["position", "chunk_id"], F.col("n"), 0, 3).select("doc_id", "chunk_id", F.col("batch").cast("bigint").alias("batch"))
 
 
 @query(f"WITH {CHUNKS} SELECT doc_id, sha1(string_agg(chunk_id || chr(1) || coalesce(text, ''), chr(1) || chr(1) ORDER BY chunk_id)) AS signature FROM chunks_once GROUP BY 1")

@@ -48,8 +48,14 @@ def dead_letters(results: DataFrame, path: str) -> None:
     results.where("error is not null").write.mode("append").json(path)
 
 
-def promote(df: DataFrame, folder: str) -> None:
-    """Rows into the library, one folder for each library name; an empty table is refused."""
+def promote(df: DataFrame, folder: str, name: str, source_type: str = "curated", description: str = "") -> None:
+    """A rule table into the library: its own subfolder of folder with the rows and their metadata, as sources.files.library reads them.
+
+    Other libraries stay as they are. An empty table is refused. No reuse policy is written, so readers take the default.
+    """
     if df.isEmpty():
         raise ValueError("an empty rule table can't be promoted")
-    df.write.mode("overwrite").partitionBy("library").json(folder)
+    at = f"{folder.rstrip('/')}/{name}"
+    spark = df.sparkSession
+    df.write.mode("overwrite").json(f"{at}/rule_table")
+    spark.createDataFrame([(name, source_type, description)], "name string, source_type string, description string").coalesce(1).write.mode("overwrite").json(f"{at}/metadata")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -12,12 +12,14 @@ SUFFIXES = (".txt", ".md")
 
 
 def text_documents(spark: SparkSession, *paths: str) -> DataFrame:
-    """doc_id, doc_name, file_path and raw_text, one document a file, numbered in path order. Other suffixes are refused."""
-    bad = [p for p in paths if not p.endswith(SUFFIXES) and "*" not in p]
-    if bad:
-        raise ValueError(f"not a text file: {', '.join(bad)}")
+    """doc_id (a digest of the path), doc_name, file_path and raw_text, one document a file. Paths, and files that a glob finds, of other suffixes are refused."""
+    wrong = [p for p in paths if not p.lower().endswith(SUFFIXES) and "*" not in p]
+    if wrong:
+        raise ValueError(f"not a text file: {', '.join(wrong)}")
     t = spark.read.text(list(paths), wholetext=True).select(F.col("value").alias("raw_text"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("doc_name"))
-    return t.select(X.stable_id("doc", F.col("file_path")).alias("doc_id"), "doc_name", "file_path", "raw_text")
+    known = F.lower("doc_name").rlike(r"\.(?:txt|md)$")
+    checked = F.when(known, F.col("raw_text")).otherwise(F.raise_error(F.concat(F.lit("not a text file: "), "file_path")))
+    return t.select(X.stable_id("doc", F.col("file_path")).alias("doc_id"), "doc_name", "file_path", checked.alias("raw_text"))
 
 
 def rule_table(spark: SparkSession, *paths: str) -> DataFrame:
@@ -30,21 +32,54 @@ def _fields() -> str:
     return ", ".join(f"{n}: {t}" for n, t in (x.split(" ", 1) for x in ROW.split(", ")))
 
 
+def _folder(spark: SparkSession, at: str) -> list[str]:
+    """The names of the subfolders and files of a folder, in order; none if it doesn't exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
+
+
 def library(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every rule table in the folder's subfolders, with the metadata beside them; a table without metadata is left out."""
-    at = F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1)
-    meta = spark.read.schema("name string, source_type string, reuse_policy string, reference_trust_level string").option("multiLine", True).json(f"{folder}/*/metadata.json").select("*", F.col("_metadata.file_path").alias("file_path")).withColumn("folder", at)
+    """Rows of every library in the folder's subfolders, each with the metadata beside them.
+
+    A subfolder holds rule_table.json and metadata.json, or folders rule_table and metadata as sinks.promote writes them. One
+    with neither is passed over, one with only one of the two is an error.
+    """
+    folder = folder.rstrip("/")
+    files: dict[bool, list[str]] = {True: [], False: []}
+    metas: list[str] = []
+    for name in _folder(spark, folder):
+        inside = set(_folder(spark, f"{folder}/{name}"))
+        table, meta = inside & {"rule_table.json", "rule_table"}, inside & {"metadata.json", "metadata"}
+        if bool(table) != bool(meta):
+            raise ValueError(f"{folder}/{name} has only one of rule table and metadata")
+        if table:
+            one = min(table)
+            files[one == "rule_table"].append(f"{folder}/{name}/{one}")
+            metas.append(f"{folder}/{name}/{min(meta)}")
+    at = F.regexp_extract(F.replace(F.col("file_path"), F.lit("file:/"), F.lit("/")), rf"/([^/]+)/(?:rule_table|metadata)(?:\.json|/[^/]*)$", 1)
+    none = spark.createDataFrame([], "file_path string, " + ROW)
+    whole = rule_table(spark, *files[False]) if files[False] else none
+    written = spark.read.schema(ROW).json(files[True]).select(F.col("_metadata.file_path").alias("file_path"), "*") if files[True] else none
+    rows = whole.unionByName(written).withColumn("folder", at)
+    if not metas:
+        return rows.selectExpr("*", "cast(null as string) as name", "cast(null as string) as source_type", "cast(null as string) as reuse_policy", "cast(null as string) as reference_trust_level")
+    meta = spark.read.schema("name string, source_type string, reuse_policy string, reference_trust_level string").option("multiLine", True).json(metas).select("*", F.col("_metadata.file_path").alias("file_path")).withColumn("folder", at)
     meta = meta.select("folder", "name", "source_type", F.coalesce("reuse_policy", F.lit("assist")).alias("reuse_policy"), F.coalesce("reference_trust_level", F.lit("auxiliary")).alias("reference_trust_level"))
-    return rule_table(spark, f"{folder}/*/rule_table.json").withColumn("folder", at).join(meta, "folder")
+    return rows.join(meta, "folder")
+
 
+def checkpoints(spark: SparkSession, *paths: str, signature: str | None = None) -> DataFrame:
+    """file_path, line_no, batch_index, batch_count, n_rows, elapsed_seconds, signature and corrupt of each line that isn't blank, of the signature if one is given.
 
-def checkpoints(spark: SparkSession, *paths: str) -> DataFrame:
-    """file_path, line_no, batch_index, batch_count, n_rows, elapsed_seconds, signature and corrupt of each line that isn't blank."""
-    t = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), F.posexplode(X.lines(F.col("value"))).alias("n", "line")).where(X.strip(F.col("line")) != "")
+    Files are read by lines, so a long file is many tasks; line_no is the line's place in its file by its byte block and rises with it.
+    """
+    t = spark.read.text(list(paths), lineSep="\n").select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), F.col("value").alias("line")).where(X.strip(F.col("line")) != "")
     fields = "batch_index int, batch_count int, elapsed_seconds double, signature string, row_count int, rows array<string>, classification_rows array<string>, _corrupt string"
     r = F.from_json("line", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     size = F.coalesce(F.when(r["classification_rows"].isNotNull(), F.size(r["classification_rows"])), F.when(r["rows"].isNotNull(), F.size(r["rows"])), r["row_count"], F.lit(0))
-    return t.select("file_path", (F.col("n") + 1).alias("line_no"), r["batch_index"].alias("batch_index"), r["batch_count"].alias("batch_count"), size.alias("n_rows"), r["elapsed_seconds"].alias("elapsed_seconds"), r["signature"].alias("signature"), r["_corrupt"].isNotNull().alias("corrupt"))
+    out = t.select("file_path", (F.col("block") * F.lit(1 << 33) + F.pmod("n", F.lit(1 << 33)) + 1).alias("line_no"), r["batch_index"].alias("batch_index"), r["batch_count"].alias("batch_count"), size.alias("n_rows"), r["elapsed_seconds"].alias("elapsed_seconds"), r["signature"].alias("signature"), r["_corrupt"].isNotNull().alias("corrupt"))
+    return out.where(F.col("signature") == signature) if signature else out
 
 
 # Labels of an element's fields, in the order they are written.
@@ -52,10 +87,14 @@ ELEMENT_FIELDS = {"element_name": "数据元名称", "definition": "定义", "da
 ELEMENT_ID = r"DE[0-9]{2}\.[0-9]{2}\.[0-9]{3}\.[0-9]{2}"
 
 
+def _behind_first(parts: Column) -> Column:
+    return F.slice(parts, F.lit(2), F.size(parts))
+
+
 def elements(df: DataFrame, text: str = "raw_text") -> DataFrame:
     """element_code, the fields by their labels, and value_domain_refs of each entry in catalogue texts."""
     clean = F.regexp_replace(F.regexp_replace(F.col(text), r"\r\n?", "\n"), r"(?m)^\s*(?:[A-Z]+/T\s+[0-9]+\.[0-9]+—[0-9]{4}|[IVX]+|[0-9]+)\s*\n", "")
-    entries = df.select(F.explode(F.slice(F.split(clean, rf"(?m)^数据元标识符\s+(?={ELEMENT_ID})"), 2, 1_000_000)).alias("body"))
+    entries = df.select(F.explode(_behind_first(F.split(clean, rf"(?m)^数据元标识符\s+(?={ELEMENT_ID})"))).alias("body"))
     labels = "|".join(ELEMENT_FIELDS.values())
     fields = [F.trim(F.regexp_replace(F.regexp_extract("body", rf"(?s)(?:^|\n){v}\s*(.*?)(?=\n(?:{labels})|\z)", 1), r"\s+", " ")).alias(k) for k, v in ELEMENT_FIELDS.items()]
     t = entries.select(F.regexp_extract("body", rf"^({ELEMENT_ID})", 1).alias("element_code"), *fields)

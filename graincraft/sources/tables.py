@@ -13,14 +13,18 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key. Rows delivered twice are equal, so any of them will do; rows with a null key stay one per content."""
-    return df.dropDuplicates(list(keys))
+    """One row per key. Rows delivered twice are equal, so any of them will do; rows with a null in their key can't be told to be one and all stay."""
+    known = " and ".join(f"`{k}` is not null" for k in keys)
+    return df.where(known).dropDuplicates(list(keys)).union(df.where(f"not ({known})"))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share. Only a session without one (as in tests) gets a temporary folder."""
+    """The folder all executors share. Only a local session without one (as in tests) gets a temporary folder; a cluster has to name it."""
     at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="graincraft_")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from graincraft import sinks
-from graincraft.sources import files
+from graincraft.sources import files, tables
 from graincraft.streaming import ingest
 
 
@@ -42,9 +42,25 @@ def test_markdown_spreads_the_path(spark, tmp_path):
     assert lines == ["| level 1 | level 2 | note |", "| --- | --- | --- |", "| a | b\\|c | x<br>y |", "| d |  |  |"]
 
 
-def test_promotion_of_nothing_is_refused(spark, tmp_path):
+def test_promotion_adds_a_library_and_leaves_the_others(spark, tmp_path):
     with pytest.raises(ValueError):
-        sinks.promote(spark.createDataFrame([], "library string, row_id string"), str(tmp_path))
+        sinks.promote(spark.createDataFrame([], "row_id string"), str(tmp_path), "none")
+    for name in ("one", "two"):
+        sinks.promote(spark.createDataFrame([(name, ["x"])], "row_id string, path_levels array<string>"), str(tmp_path), name)
+    (tmp_path / "three").mkdir()
+    assert sorted((r.row_id, r.name, r.reuse_policy) for r in files.library(spark, str(tmp_path)).collect()) == [("one", "one", "assist"), ("two", "two", "assist")]
+    (tmp_path / "three" / "metadata.json").write_text("{}")
+    with pytest.raises(ValueError):
+        files.library(spark, str(tmp_path))
+
+
+def test_no_library(spark, tmp_path):
+    assert files.library(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_null_keys_are_no_copies(spark):
+    t = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), (None, 3)], "k string, v int")
+    assert sorted(r.v for r in tables.one_per_key(t, "k").collect()) == [1, 2, 3]
 
 
 def test_stream_counts_arriving_lines(spark, tmp_path):

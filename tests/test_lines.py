@@ -32,8 +32,25 @@ def test_sections_follow_headings(spark):
 def test_batches_close_before_the_budget(spark):
     sizes = [40, 40, 40, 150, 10, 90]
     df = spark.createDataFrame([("g", i, n) for i, n in enumerate(sizes)], "g string, i int, n int")
-    out = [r.batch for r in L.batches(df, "g", "i", F.col("n"), 100).orderBy("i").collect()]
-    assert out == L.cut_by_budget(sizes, 100) == [0, 0, 1, 2, 3, 4]
+    out = [r.batch for r in L.batches(df, "g", ["i"], F.col("n"), 100).orderBy("i").collect()]
+    assert out == L.cut_by_count_and_budget(sizes, 9, 100) == [0, 0, 1, 2, 3, 3]
+
+
+def test_batches_close_by_count_and_leave_a_larger_item_alone(spark):
+    assert L.cut_by_count_and_budget([10, 10, 10, 500, 10], 2, 100) == [0, 0, 1, 2, 3]
+    assert L.cut_by_count_and_budget([10, 500, 7], 2, 0) == [0, 0, 1]
+    assert L.cut_by_count_and_budget([], 2, 100) == []
+    df = spark.createDataFrame([("g", None, "b", None), ("g", None, "a", 3), (None, 1, "c", 4)], "g string, p int, i string, n int")
+    assert sorted((r.i, r.batch) for r in L.batches(df, "g", ["p", "i"], F.col("n"), 100).collect()) == [("a", 0), ("b", 0), ("c", 0)]
+
+
+def test_headings_and_list_lines(spark):
+    lines = ["## 总则", "一．目的", "二. 范围", "3、术语", "3 术语", "1.2.3. 数据", "附 录 Ａ", "正文", "- 项", "+ 项", "1. 项", "2) 项", "（1）项"]
+    t = spark.createDataFrame([(x,) for x in lines], "line string")
+    out = t.select("line", X.is_heading(F.col("line")).alias("h"), X.heading_title(F.col("line")).alias("t"), X.is_list_line(F.col("line")).alias("l")).collect()
+    assert [r.line for r in out if r.h] == ["## 总则", "一．目的", "二. 范围", "3、术语", "1.2.3. 数据", "附 录 Ａ", "1. 项"]
+    assert [r.t for r in out if r.h] == ["总则", "目的", "范围", "术语", "数据", "附录 A", "项"]
+    assert [r.line for r in out if r.l] == ["- 项", "+ 项", "1. 项", "2) 项"]
 
 
 def test_segments_carry_the_header(spark):
@@ -47,11 +64,6 @@ def test_flattened_hint(spark):
     assert [r.x for r in df.select(X.flattened_hint(F.col("line")).alias("x")).collect()] == [True, False]
 
 
-def test_context_units_and_late_group_title():
-    units = C.Reader().read("表1 甲\n0101 姓名 说明\n续\n0102 年龄\n表2 乙\n医疗数据：指诊疗资料。\n严重危害")
-    assert [(u[0], u[4]) for u in units] == [("title_unit", "表1 甲"), ("table_row_unit", "表1 甲"), ("table_row_unit", "表1 甲"), ("sibling_group_unit", "表2 乙"), ("title_unit", "表2 乙"), ("definition_unit", "表2 乙"), ("negative_unit", "表2 乙")]
-
-
 def test_extraction_retries_and_dead_letters(spark):
     df = spark.createDataFrame([("b", "s1", "| 甲 | 乙 | 2级 |"), ("b", "s2", "坏")], "batch string, segment_id string, text string")
 

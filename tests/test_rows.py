@@ -78,11 +78,6 @@ def test_donation_needs_a_shared_chunk_and_one_receiver(spark):
     assert [(r.receiver, r.donor) for r in R.donations(t).collect()] == [("long", "short")]
 
 
-def test_issues_of_an_empty_row(spark):
-    t = table(spark, dict(row_id="a", support_level="?", description_source=None))
-    assert {r.problem for r in R.issues(t).collect()} == {"empty path", "no evidence", "no quote", "support level", "description source"}
-
-
 def test_grounding_ignores_white_space(spark):
     t = table(spark, dict(row_id="a", evidence_quote="甲 乙；丙", evidence_refs=[("c", "x甲乙y"), ("c", "丙")]), dict(row_id="b", evidence_quote="丁", evidence_refs=[("c", "甲")]))
     assert {r.row_id: r.grounded for r in R.grounded(t).collect()} == {"a": True, "b": False}
@@ -90,4 +85,25 @@ def test_grounding_ignores_white_space(spark):
 
 def test_terms(spark):
     t = spark.createDataFrame([("数据，患者 姓名、ID",), (None,), ("",), (X.INSUFFICIENT,)], "t string")
-    assert [sorted(r.x) for r in t.select(X.terms(F.col("t")).alias("x")).collect()] == [["ID", "患者姓名", "数据，患者姓名、ID"], [], [], []]
+    assert [sorted(r.x) for r in t.select(X.terms(F.col("t")).alias("x")).collect()] == [["患者姓名", "数据，患者姓名、ID"], [], [], []]
+
+
+def test_terms_lose_their_codes(spark):
+    t = spark.createDataFrame([("1.2患者信息、A）诊疗记录",), ("3.1",)], "t string")
+    assert [sorted(r.x) for r in t.select(X.terms(F.col("t")).alias("x")).collect()] == [["患者信息", "患者信息、A）诊疗记录", "诊疗记录"], []]
+
+
+def test_cascade_by_alias(spark):
+    a = spark.createDataFrame([("1", ["甲", "2、乙"]), ("2", ["丙"])], "id string, levels array<string>")
+    b = spark.createDataFrame([("p", ["丁"], ["乙", None]), ("q", ["戊"], None)], "id string, levels array<string>, aliases array<string>")
+    assert [(r.current_id, r.reference_id, r.match_type, r.score) for r in R.cascade(a, b).collect()] == [("1", "p", "exact_alias", 0.92)]
+
+
+def test_gold_comparison(spark):
+    rows = "levels array<string>, recommended_grade string, ord int"
+    made = spark.createDataFrame([(["A、甲", "1乙"], "一般数据2级", 1), (["丙"], None, 2), (["12岁以下"], "1级", 3)], rows)
+    gold = spark.createDataFrame([(["甲", "乙"], "9级", 1), (["甲", "乙"], "2 级", 2), (["岁以下"], "1级", 3)], rows)
+    out = {r.path_key: (r.outcome, r.same_grade) for r in R.compared(made, gold).collect()}
+    assert out == {"甲/乙": ("matched", True), "丙": ("extra", None), "12岁以下": ("extra", None), "岁以下": ("missing", None)}
+    one = R.comparison_summary(R.compared(made, gold)).first()
+    assert (one.generated_rows, one.reference_rows, one.coverage_pct, one.grade_matches, one.grade_accuracy_pct) == (3, 2, 50.0, 1, 100.0)
