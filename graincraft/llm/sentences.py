@@ -2,7 +2,7 @@
 
 The text is cut at blank lines, paired quotation marks and brackets are found, and the marks with the Sentence_Terminal
 property (or a full stop in one of its forms) outside all pairs are judged one by one: a full stop by the word before it
-(abbreviations of the languages at hand, initials, item numbers, ordinals before a month), by what follows (lower case
+(abbreviations of the language that the paragraph, else the text, is told by; initials, item numbers, ordinals before a month), by what follows (lower case
 goes on) and by its neighbours (figures, addresses); the others end the sentence at once, with the closing marks behind
 them. A quotation ends the sentence if it holds the sentence's last mark and the text behind it begins anew. A text in
 Thai is cut at its spaces, save beside figures and Latin words.
@@ -18,38 +18,69 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Marks, abbreviations and names by language.
 STOPS = ".．"
-TERMINALS = "!?。！？｡؟۔।॥‼⁇⁈⁉។៕።፧။։꓿᠃᠉‽﹖﹗︒"
+#: All characters with the Sentence_Terminal property but full stops, whose sense their neighbours tell, and the vertical forms of some.
+TERMINALS = "".join(c for c in regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0x21, 0xD800), *range(0xE000, 0x20000)]))) if c not in STOPS) + "︒︕︖"
+# Marks, abbreviations and names by language.
 OPENING = "([{（［｛【〔〖《〈「『“‘«‹„‚｢"
 CLOSING = ")]}）］｝】〕〗》〉」』”’»›｣"
 PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "｛": "｝", "【": "】", "〔": "〕", "〖": "〗", "《": "》", "〈": "〉", "「": "」", "『": "』", "“": "”", "‘": "’", "«": "»", "‹": "›", "„": "“”", "‚": "‘’", "｢": "｣"}
 QUOTES = "「『“‘«‹„‚｢\""
 TITLE_MARKS = "『《〈"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
-#: Never at a sentence's end: a name or a figure follows.
+#: Never at a sentence's end: a name or more of the sentence follows.
 BEFORE_MORE = {
-    "en": "Dr Mr Mrs Ms Prof St Sr Jr Gen Rev Hon No Nos Fig Figs Tab Sec Secs Art Arts Ch Vol Ver Vers Rev pp cf vs viz approx ca e.g i.e al ed eds esp Eq Eqs Ref Refs App Co",
-    "de": "Nr Nrn Abs Abb Art Bd Bsp bzw ca d.h Dr Hr Fr evtl ggf gem Kap lt max min Mio Mrd Prof S Std Str Tab Tel u.a vgl Ziff z.B z zzgl inkl exkl sog u i.d.R o.g",
-    "fr": "M MM Mme Mlle Dr Pr Me art arts chap fig p pp p.ex ex vol no env cf av bd St Ste réf tél éd par",
-    "hi": "डॉ श्री सं प्रो क्र",
-    "ar": "د أ ص م",
+    "en": "Dr Mr Mrs Ms Prof St Sr Jr Gen Rev Hon cf vs viz approx ca e.g i.e al ed eds esp Co",
+    "de": "Bsp bzw d.h Dr Hr Fr evtl ggf gem lt max min Mio Mrd Prof Std Str Tel u.a vgl z.B z zzgl inkl exkl sog u i.d.R o.g ca",
+    "fr": "M MM Mme Mlle Dr Pr Me p.ex ex cf av bd St Ste tél éd par env",
+    "hi": "डॉ श्री प्रो",
+    "ar": "د أ م",
+}
+#: Not at a sentence's end before a figure, a Roman number or a single capital; else they are words like any other.
+BEFORE_NUMBER = {
+    "en": "No Nos Fig Figs Tab Sec Secs Art Arts Ch Vol Ver Vers pp p Eq Eqs Ref Refs App",
+    "de": "Nr Nrn Abs Abb Art Bd Kap S Tab Ziff Ver No",
+    "fr": "art arts chap fig p pp vol no réf Ver Nr",
+    "hi": "सं क्र No Ver",
+    "ar": "ص No Ver",
 }
 #: May stand at a sentence's end; it goes on with lower case.
 AT_END = {"en": "etc Ltd Inc Corp p.m a.m Bros", "de": "usw etc ff f", "fr": "etc"}
+#: Words that tell languages of Latin script apart.
+TELLING = {
+    "en": "the of and to in is are be for by with shall must this that it he she we they was which on at as not from",
+    "de": "der die das und ist sind mit für von den dem des werden wird nicht ein eine zu im auf nach bei als auch",
+    "fr": "le la les et des est sont pour par dans une un du de au aux ne pas sur que qui avec doit selon",
+}
 #: A capital letter behind these names a part, not a person.
 LABELS = "annex annexe anlage appendix anhang attachment section part partie teil type class classe klasse category group groupe level schedule table figure option plan form version bloc block grade stufe niveau"
 MONTHS = "Januar Februar März April Mai Juni Juli August September Oktober November Dezember Jänner"
 DAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday"
 
-_BEFORE = {w.casefold() for x in BEFORE_MORE.values() for w in x.split()}
-_END = {w.casefold() for x in AT_END.values() for w in x.split()}
+_LISTS = {"more": BEFORE_MORE, "number": BEFORE_NUMBER, "end": AT_END}
+
+
+class Suppressions:
+    """The abbreviations of some languages."""
+
+    def __init__(self, *languages: str) -> None:
+        self.more, self.number, self.end = ({w.casefold() for k in languages for w in table.get(k, "").split()} for table in _LISTS.values())
+
+
+_OF = {k: Suppressions(k, "en") if k in ("hi", "ar") else Suppressions(k) for k in BEFORE_MORE}
+_ALL = Suppressions(*BEFORE_MORE)
+_TOLD = {w: k for k, ws in TELLING.items() for w in ws.split()}
+_LATIN_WORD = re.compile(r"[A-Za-zÀ-ÿ]+")
 _LABELS, _MONTHS, _DAYS = set(LABELS.split()), set(MONTHS.split()), set(DAYS.split())
 _BLANK = re.compile(rf"(?:{LINE_BREAK})[^\S\n\r\x0b\x0c\x1c-\x1e\x85  ]*(?:{LINE_BREAK})\s*")
 _MARK = re.compile(f"[{re.escape(STOPS + TERMINALS + OPENING + CLOSING)}\"]")
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+#: The same for texts of the basic plane, for which it is far faster.
+_PLAIN_MARK = re.compile(f"[{re.escape(''.join(c for c in STOPS + TERMINALS + OPENING + CLOSING if c < chr(0x10000)))}\"]")
 _ITEM = re.compile(r"\s*[(（\[【]?(?:\d{1,4}(?:[.．]\d{1,3})*|[ivxIVX]{1,5}|[A-Za-z])[)）\]】]?[.．]?\Z")
 _WORD_BEFORE = re.compile(r"(?<![^\W\d_])((?:[^\W\d_]\.)*[^\W\d_][\wऀ-ॿ]*)\Z")
 _NEXT_WORD = re.compile(r"[^\W\d_]+")
@@ -58,15 +89,17 @@ _THAI = re.compile(r"[฀-๿]")
 _THAI_GAP = re.compile(r"\s+")
 _END_MARKS = frozenset(STOPS + TERMINALS)
 _CLOSERS = frozenset(CLOSING + '"')
-_CJK_NUMBER = re.compile(r"[\u3040-\u30ff\u4e00-\u9fff]\d+\Z")
+_NUMBER_NEXT = re.compile(r"\s*(?:\d|[IVXLCivxlc]+\b|[A-Z]\b)")
+_DEVANAGARI, _ARABIC = re.compile("[\u0900-\u097f]"), re.compile("[\u0600-\u06ff]")
+_WORD_MARK = re.compile(r"[\w\u0900-\u097f]")
 _HIRAGANA = re.compile(r"[ぁ-ゟ]")
 
 
-def _pairs(text: str, start: int, end: int) -> dict[int, int]:
+def _pairs(text: str, start: int, end: int, mark: re.Pattern) -> dict[int, int]:
     """From each opening mark's place to that of its partner, outermost pairs only."""
     stack: list[tuple[int, str]] = []
     found: list[tuple[int, int]] = []
-    for m in _MARK.finditer(text, start, end):
+    for m in mark.finditer(text, start, end):
         c, i = m[0], m.start()
         if c == '"':
             if any(x == '"' for _, x in stack):
@@ -98,6 +131,46 @@ def _pairs(text: str, start: int, end: int) -> dict[int, int]:
     return out
 
 
+def _language(text: str, start: int, end: int) -> Suppressions | None:
+    """The abbreviations of the language that a stretch of text is told by, None if nothing tells."""
+    seen = dict.fromkeys(TELLING, 0)
+    for m in _LATIN_WORD.finditer(text, start, end):
+        if (k := _TOLD.get(m[0].casefold())) is not None:
+            seen[k] += 1
+    if any(seen.values()):
+        first, second = sorted(seen, key=seen.get, reverse=True)[:2]
+        return _OF[first] if seen[first] > 1 and seen[first] >= 2 * seen[second] else None
+    if _DEVANAGARI.search(text, start, end):
+        return _OF["hi"]
+    return _OF["ar"] if _ARABIC.search(text, start, end) else None
+
+
+def _word(text: str, begin: int, at: int) -> re.Match | None:
+    """The word before a place, however long."""
+    i = at
+    while i > begin and (text[i - 1] == "." or text[i - 1] == "_" or text[i - 1].isalnum() or _WORD_MARK.match(text[i - 1])):
+        i -= 1
+    return _WORD_BEFORE.search(text, i, at)
+
+
+def _label(text: str, begin: int, at: int) -> str:
+    """The word before a place, without what stands between."""
+    while at > begin and (text[at - 1].isspace() or text[at - 1] in "’'"):
+        at -= 1
+    i = at
+    while i > begin and text[i - 1].isalpha():
+        i -= 1
+    return text[i:at]
+
+
+def _cjk_number(text: str, begin: int, at: int) -> bool:
+    """Whether a number that a Han character or kana stands before ends at a place."""
+    i = at
+    while i > begin and text[i - 1].isdigit():
+        i -= 1
+    return i < at and i > begin and ("\u3040" <= text[i - 1] <= "\u30ff" or "\u4e00" <= text[i - 1] <= "\u9fff")
+
+
 def _begins(text: str, at: int, end: int) -> str:
     """The next character that isn't white space, or ''."""
     while at < end and text[at].isspace():
@@ -105,18 +178,18 @@ def _begins(text: str, at: int, end: int) -> str:
     return text[at] if at < end else ""
 
 
-def _stop_ends(text: str, begin: int, at: int, after: int, end: int) -> bool:
+def _stop_ends(text: str, begin: int, at: int, after: int, end: int, known: Suppressions) -> bool:
     """Whether the full stop at the place at ends the sentence that began at begin; after: behind the marks in a row."""
     if after < end and not text[after].isspace() and text[after] not in _CLOSERS:
         c = text[after]
         if c in ",;:，；：、/\\-_@=":
             return False
         if c.isdigit() or c.isascii() and c.isalpha():  # no space behind the stop: only a plain word before it and a new one behind it count
-            word = _WORD_BEFORE.search(text, max(begin, at - 24), at)
-            return bool(word) and text[at - 1].isalpha() and word[1].casefold() not in _BEFORE and (len(word[1]) > 2 and not word[1].isupper() or word[1].casefold() in _END) and (c.isdigit() or c.isupper()) and "." not in word[1][:-1]
+            word = _word(text, begin, at)
+            return bool(word) and text[at - 1].isalpha() and word[1].casefold() not in known.more and not (word[1].casefold() in known.number and _NUMBER_NEXT.match(text, after)) and (len(word[1]) > 2 and not word[1].isupper() or word[1].casefold() in known.end) and (c.isdigit() or c.isupper()) and "." not in word[1][:-1]
         if text[at - 1 : at].isascii() and c.isalpha() and not text[at - 1 : at].isdigit():
-            word = _WORD_BEFORE.search(text, max(begin, at - 24), at)
-            if word and word[1].casefold() in _BEFORE:
+            word = _word(text, begin, at)
+            if word and (word[1].casefold() in known.more or word[1].casefold() in known.number):
                 return False
     nxt = _begins(text, after, end)
     if nxt == "":
@@ -127,26 +200,25 @@ def _stop_ends(text: str, begin: int, at: int, after: int, end: int) -> bool:
         return nxt.isupper() or not nxt.isalpha()
     if _ITEM.match(text, begin, at) and not text[begin:at].strip() == "":
         return False
-    word = _WORD_BEFORE.search(text, max(begin, at - 24), at)
+    word = _word(text, begin, at)
     if word:
         w = word[1]
         low = w.casefold()
-        if low in _END:
+        if low in known.end:
             m = _NEXT_WORD.match(text, text.index(nxt, after))
             return not (m and m[0] in _DAYS)
         if len(w) == 1 and w.isupper() and w.isascii():
-            prior = re.search(r"([^\W\d_]+)[\s’']*\Z", text[max(begin, word.start() - 20) : word.start()])
-            if prior and prior[1].casefold() in _LABELS:
+            if low in known.number and _NUMBER_NEXT.match(text, after):
+                return False
+            if _label(text, begin, word.start()).casefold() in _LABELS:
                 return True
             return not (nxt.isupper() or nxt.isdigit())
-        if low in _BEFORE:
-            return False
-        return True
+        return not (low in known.more or low in known.number and _NUMBER_NEXT.match(text, after))
     if text[at - 1 : at].isdigit():
         m = _NEXT_WORD.match(text, text.index(nxt, after))
         if m and m[0] in _MONTHS:
             return False
-        if nxt.isdigit() and "\n" in text[after : after + 3] and _CJK_NUMBER.search(text, max(begin, at - 9), at):
+        if nxt.isdigit() and "\n" in text[after : after + 3] and _cjk_number(text, begin, at):
             return False  # a decimal cut by a hard line end
     return True
 
@@ -192,8 +264,10 @@ def spans(text: str | None) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     if not text:
         return out
+    mark = _MARK if _ASTRAL.search(text) else _PLAIN_MARK
     at = 0
     blocks = []
+    whole: Suppressions | None = None
     for m in _BLANK.finditer(text):
         blocks.append((at, m.start()))
         at = m.end()
@@ -205,10 +279,11 @@ def spans(text: str | None) -> list[tuple[int, int]]:
             end -= 1
         if start == end:
             continue
-        pairs = _pairs(text, start, end)
+        known = None  # found where a full stop asks for it
+        pairs = _pairs(text, start, end, mark)
         cuts: list[int] = []
         begin, i = start, start
-        while m := _MARK.search(text, i, end):
+        while m := mark.search(text, i, end):
             c, p = m[0], m.start()
             if (closed := pairs.get(p)) is not None:
                 i = closed + 1
@@ -227,7 +302,11 @@ def spans(text: str | None) -> list[tuple[int, int]]:
             while i < end and text[i] in _END_MARKS:
                 i += 1
             if c in STOPS:
-                ends = all(x in STOPS for x in text[p:i]) and _stop_ends(text, begin, p, i, end) or any(x not in STOPS for x in text[p:i])
+                if known is None:
+                    if (known := _language(text, start, end)) is None:
+                        whole = whole or _language(text, 0, len(text)) or _ALL
+                        known = whole
+                ends = all(x in STOPS for x in text[p:i]) and _stop_ends(text, begin, p, i, end, known) or any(x not in STOPS for x in text[p:i])
             else:
                 ends = not (c.isascii() and i < end and text[i].isascii() and (text[i].islower() or text[i] in "=&/"))
             if not ends:

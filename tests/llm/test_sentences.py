@@ -59,3 +59,26 @@ def test_every_character_lies_in_one_sentence(text):
 def test_nulls_and_long_texts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, "字。" * 50_000)], "doc_id bigint, text string")
     assert {r.doc_id: r["count"] for r in sentence_spans(df).groupBy("doc_id").count().collect()} == {4: 50_000}
+
+
+def cut(text):
+    return [text[a:b] for a, b in spans(text)]
+
+
+def test_words_that_are_abbreviations_elsewhere_end_sentences():
+    assert cut("He said no. Then he left.") == ["He said no.", "Then he left."]
+    assert cut("We like art. Then we left.") == ["We like art.", "Then we left."]
+    assert cut("The value is max. Next we test.") == ["The value is max.", "Next we test."]
+    assert cut("See No. 5 and Art. 3. It is the end.") == ["See No. 5 and Art. 3.", "It is the end."]
+    assert cut("Der Wert ist max. 5 und die Zahl bzw. Menge. Das ist Nr. 3.") == ["Der Wert ist max. 5 und die Zahl bzw. Menge.", "Das ist Nr. 3."]
+
+
+def test_terminals_of_other_scripts():
+    assert len(cut("ကျွန်တော် စာဖတ်တယ်။ သူ သွားတယ်။")) == 2
+    assert len(cut("ሰላም ነው። እንዴት ነህ፧ ደህና።")) == 3
+    assert len(cut("ߒ ߓߘߊ߫ ߞߊ߬߹ ߊ߬ ߕߊ߯ߊ")) == len(cut("ܫܠܡܐ܀ ܐܢܐ")) == len(cut("𑀓𑀔𑁇 𑀓𑁇")) == 2
+
+
+def test_a_label_far_from_its_letter():
+    word = "x" * 200
+    assert cut(f"{word} Annex {' ' * 60}B. Then the rest.") == [f"{word} Annex {' ' * 60}B.", "Then the rest."]
