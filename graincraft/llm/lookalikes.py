@@ -1,10 +1,11 @@
 """One form for text that looks the same: full-width forms, detached accents, invisible characters, look-alike letters.
 
-The words of the corpus are counted, and the commonest become a trie over skeletons, in which look-alikes share an edge.
-A word to be judged walks the trie through a weighted edit automaton: equal characters and look-alikes cost nothing,
-ignorable characters (invisible ones, accents that compose with the letter before) are passed at no cost, anything else
-costs one and is beyond the bound. Of the spellings a walk ends at, the commonest is the canonical one. A word that
-matches none is normalised character by character with the table.
+The words of the corpus are counted, and the commonest spellings that mix no scripts become a trie over skeletons: decomposed
+characters, of which look-alikes share an edge. Every run of letters that holds a suspicious character walks the trie as it
+stands through a weighted edit automaton: equal characters and look-alikes cost nothing, ignorable characters are passed at
+no cost, anything else costs one and is beyond the bound, as what reads the same differs in nothing that costs. Of the
+spellings a walk ends at, the commonest is the canonical one. A run that matches none, and all that isn't a run of letters,
+is normalised character by character with the table.
 
 Defined results: null stays null and an empty text empty; a text without a suspicious character is returned as it is;
 full-width punctuation, dashes, tabs and line breaks, symbols and whole Greek, Cyrillic or kana words stay. Joiners stay
@@ -40,6 +41,7 @@ _SUSPICIOUS = regex.compile(rf"[{INVISIBLE}{SPACES}\u0300-\u036f\uff10-\uff19\uf
 _INVISIBLE = regex.compile(f"[{INVISIBLE}]")
 _NEEDS_JOINER = regex.compile(r"[\p{Arabic}\p{Devanagari}\p{Bengali}\p{Tamil}\p{Telugu}\p{Kannada}\p{Malayalam}\p{Sinhala}\p{Khmer}\p{Myanmar}\p{Mongolian}\p{Extended_Pictographic}\ufe0f]")
 _LETTERS = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}]+")
+_RUN = regex.compile(rf"[\p{{Latin}}\p{{Greek}}\p{{Cyrillic}}\U0001d400-\U0001d7ff][\p{{Latin}}\p{{Greek}}\p{{Cyrillic}}\p{{Mn}}\U0001d400-\U0001d7ff{INVISIBLE}]*")
 _KANA_RUN = regex.compile(r"[\p{Katakana}ー]+")
 #: What compatibility decomposition may be applied to, character by character; symbols such as circled digits are not in it.
 _COMPATIBLE = regex.compile(r"[\uff10-\uff19\uff21-\uff3a\uff41-\uff5a\uff66-\uff9f\uf900-\ufaff\u2f00-\u2fdf\ufb00-\ufb06\u212a\u212b\u2126\u210e\U0001d400-\U0001d7ff\U0002f800-\U0002fa1f]+")
@@ -71,30 +73,36 @@ class Trie:
         self.root = Node()
         for word, n in counts.items():
             node = self.root
-            for c in word:
-                node = node.children.setdefault(skeleton(c), Node())
+            for c in parts(word):
+                node = node.children.setdefault(c, Node())
             node.spellings.append((n, word))
 
     def canonical(self, word: str) -> str | None:
         """The commonest spelling the automaton reaches within MAX_COST, or None."""
         states: dict[int, tuple[Node, int]] = {id(self.root): (self.root, 0)}
         for c in word:
-            after: dict[int, tuple[Node, int]] = {}
-            for node, cost in states.values():
-                if (step := node.children.get(skeleton(c))) is not None:
-                    _keep(after, step, cost)
-                if _ignorable(c):
-                    _keep(after, node, cost)
-                elif cost < MAX_COST:
-                    for other in (node, *node.children.values()):
-                        _keep(after, other, cost + 1)
-            if not after:
-                return None
-            states = after
+            if _ignorable(c):
+                continue
+            for part in parts(c):
+                after: dict[int, tuple[Node, int]] = {}
+                for node, cost in states.values():
+                    if (step := node.children.get(part)) is not None:
+                        _keep(after, step, cost)
+                    if cost < MAX_COST:
+                        for other in (node, *node.children.values()):
+                            _keep(after, other, cost + 1)
+                if not after:
+                    return None
+                states = after
         found = [(-cost, n, w) for node, cost in states.values() for n, w in node.spellings]
         return max(found)[2] if found else None
 
 
+def parts(text: str) -> str:
+    """The skeletons of a text's decomposed characters."""
+    return "".join(map(skeleton, unicodedata.normalize("NFKD", text)))
+
+
 def _keep(states: dict[int, tuple[Node, int]], node: Node, cost: int) -> None:
     if id(node) not in states or states[id(node)][1] > cost:
         states[id(node)] = (node, cost)
@@ -112,7 +120,7 @@ def _script(c: str) -> str:
 class Canonicaliser:
     def __init__(self, counts: dict[str, int]) -> None:
         self.counts = counts
-        self.trie = Trie({w: n for w, n in counts.items() if _LETTERS.fullmatch(w)})
+        self.trie = Trie({w: n for w, n in counts.items() if _LETTERS.fullmatch(w) and len({_script(c) for c in w}) == 1 and not _COMPATIBLE.search(w) and unicodedata.is_normalized("NFC", w)})
         self.memo: dict[str, str] = {}
 
     def word(self, w: str) -> str:
@@ -124,9 +132,6 @@ class Canonicaliser:
         if scripts == {"L"}:
             return plain if self.counts.get(w, 0) <= self.counts.get(plain, 0) or len(w) > 1 else w
         if len(scripts) > 1:
-            best = self.trie.canonical(w)
-            if best is not None and best != w and len({_script(c) for c in best}) == 1:
-                return best
             if not any(_script(c) != "L" and c not in TO_LATIN for c in w):
                 return plain
             # a letter of the other script without a Latin look-alike: the word is that script's
@@ -139,6 +144,16 @@ class Canonicaliser:
             return w if self.counts.get(w, 0) > self.counts.get(plain, 0) * 2 and self.counts.get(w, 0) >= 20 else plain
         return w
 
+    def run(self, w: str) -> str:
+        """A run of letters with the marks and invisible characters in it, as the trie spells it; one that it doesn't hold is left to the table."""
+        scripts = {_script(c) for c in w if _LETTERS.match(c)}
+        if not _SUSPICIOUS.search(w) or "L" not in scripts and len(scripts) == 1 and _LETTERS.fullmatch(w):
+            return w  # a word of one other script is judged by its own count
+        if len(parts(_INVISIBLE.sub("", w))) < 2:
+            return w  # a letter alone says nothing of the word it could be
+        best = self.trie.canonical(w)
+        return w if best is None else best
+
     def kana(self, text: str) -> str:
         """Kana that stand in for the Han characters they look like: alone between Han, in a word commoner with Han."""
 
@@ -163,7 +178,8 @@ class Canonicaliser:
             return text
         if (known := self.memo.get(text)) is not None:
             return known
-        t = _INVISIBLE.sub(lambda m: m[0] if m[0] in "\u200c\u200d" and m.start() and _NEEDS_JOINER.match(text[m.start() - 1]) else "", text)
+        t = _RUN.sub(lambda m: self.run(m[0]), text)
+        t = _INVISIBLE.sub(lambda m: m[0] if m[0] in "\u200c\u200d" and m.start() and _NEEDS_JOINER.match(m.string[m.start() - 1]) else "", t)
         t = _SPACE.sub(" ", t)
         t = _COMPATIBLE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), t)
         t = "".join(RADICALS.get(c, c) for c in t)
