@@ -1,7 +1,7 @@
 """Several values packed in one string, one row for each value.
 
-A dialect is the set of marks that separate, next to the quotation marks that protect. Every string is parsed in each
-dialect its own marks allow, and the cheapest parse counts: each value costs its code length, -log2 of its share among
+A dialect is the set of marks that separate, with the quotation marks protecting or being characters like any other. Every
+string is parsed in each dialect its own marks allow, and the cheapest parse counts: each value costs its code length, -log2 of its share among
 all values of the field (counted over the whole table, without the string's own places), a value not seen elsewhere its characters one by one; each
 separation and each kind of mark in use costs a little, and a separating mark left bare inside a value costs more, as
 its writer would have quoted it. Values with many figures are counted by their shape and pay for their figures.
@@ -37,8 +37,6 @@ ITEM_CODE = r"(?:\d{1,3}\s*[.:：=＝）)\-．、]|0\d )"
 SEPARATION, KIND, SPELLED, CHARACTER, FIGURE = 2.0, 1.0, 8.0, 6.0, 3.3
 #: Bits for a bare mark in a value, by kind of field: in paths and references it would have been quoted, in lists there are remarks.
 BARE = {"list": 6.0, "references": 16.0, "path": 24.0}
-#: Strings with more kinds of marks than this are parsed in the dialects of none, one and all marks, and all but one.
-ALL_SUBSETS = 4
 
 _PROTECTED = re.compile(f"{UNIT}|{STANDARD}")
 _CODE_SPACE = re.compile(rf"\s+(?={ITEM_CODE})")
@@ -47,7 +45,7 @@ _CODE = re.compile(rf"^\s*{ITEM_CODE}\s*")
 _TRIM = " \t\r\n　 "
 
 
-def _marks(text: str, kind: str) -> list[tuple[int, int, str]]:
+def _marks(text: str, kind: str, quoting: bool = True) -> list[tuple[int, int, str]]:
     """Start, end and mark of each place that may separate."""
     allowed = MARKS[kind]
     free = bytearray(b"\x01" * len(text))
@@ -58,7 +56,7 @@ def _marks(text: str, kind: str) -> list[tuple[int, int, str]]:
     fresh = True  # a quote opens only where a value begins
     while i < n:
         c = text[i]
-        if c in QUOTES and (fresh or c not in "'\"＂"):
+        if quoting and c in QUOTES and (fresh or c not in "'\"＂"):
             end = QUOTES[c]
             j = text.find(end, i + 1)
             while j >= 0 and end == c and text[j + 1 : j + 2] == c:
@@ -93,10 +91,10 @@ def _marks(text: str, kind: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
-def unquoted(value: str) -> str:
-    """A value without white space around it and without the quotes that enclose it."""
+def unquoted(value: str, quoting: bool = True) -> str:
+    """A value without white space around it and, if quotes protect, without those that enclose it."""
     v = value.strip(_TRIM)
-    if len(v) > 1 and v[0] in QUOTES and v[-1] == QUOTES[v[0]]:
+    if quoting and len(v) > 1 and v[0] in QUOTES and v[-1] == QUOTES[v[0]]:
         q, inner = v[-1], v[1:-1]
         if v[0] == q:
             if inner.replace(q * 2, "").count(q) == 0:
@@ -113,24 +111,26 @@ def unquoted(value: str) -> str:
 
 def parses(text: str, kind: str) -> list[tuple[list[str], int, int, int]]:
     """Values, separations, kinds of marks and bare marks of a string in each of its dialects, the whole first."""
-    marks = _marks(text, kind)
-    kinds = sorted({c for _, _, c in marks}, key=MARKS[kind].index)
-    if len(kinds) <= ALL_SUBSETS:
-        dialects = [set(x) for n in range(len(kinds) + 1) for x in combinations(kinds, n)]
-    else:
-        dialects = [set(), *({k} for k in kinds), *(set(kinds) - {k} for k in kinds), set(kinds)]
-    out = []
-    for d in dialects:
-        at, values, cuts = 0, [], 0
-        for a, b, c in marks:
-            if c in d:
-                values.append(text[at:a])
-                at = b
-                cuts += 1
-        values.append(text[at:])
-        clean = [v for v in map(unquoted, values) if v]
-        out.append((clean, cuts, len(d), len(marks) - cuts))
-    return out
+    quoted = _marks(text, kind)
+    plain = _marks(text, kind, False) if any(q in text for q in QUOTES) else quoted
+    # quotes that hold no mark change nothing; those that do count as bare marks where they are no quotes
+    stray = 0 if plain == quoted else sum(c in QUOTES or c in QUOTES.values() for c in text)
+    first: list[tuple[list[str], int, int, int]] = []
+    out: list[tuple[list[str], int, int, int]] = []
+    for quoting, marks in ((True, quoted), (False, plain)) if stray else ((True, quoted),):
+        kinds = sorted({c for _, _, c in marks}, key=MARKS[kind].index)
+        for d in (set(x) for n in range(len(kinds) + 1) for x in combinations(kinds, n)):
+            at, values, cuts = 0, [], 0
+            for a, b, c in marks:
+                if c in d:
+                    values.append(text[at:a])
+                    at = b
+                    cuts += 1
+            values.append(text[at:])
+            clean = [v for v in (unquoted(x, quoting) for x in values) if v]
+            (out if quoting else first).append((clean, cuts, len(d), len(marks) - cuts + (0 if quoting else stray)))
+    # the whole is the first, the fullest parse with quotes the last
+    return [out[0], *first, *(out[1:] or out[: len(first)])]
 
 
 def _symbol(value: Column) -> Column:

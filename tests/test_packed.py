@@ -52,3 +52,17 @@ def test_nulls_repeats_and_places(spark):
 
 def test_empty_table(spark):
     assert values(spark, []) == {}
+
+
+def test_quotes_belong_to_the_dialect():
+    found = parses("甲，“乙，丙”", "list")
+    values = [v for v, *_ in found]
+    assert values[0] == ["甲，“乙，丙”"] and values[-1] == ["甲", "乙，丙"] and ["甲", "“乙", "丙”"] in values
+    bare = {tuple(v): n for v, _, _, n in found}
+    assert bare["甲", "乙，丙"] == 0 and bare["甲", "“乙", "丙”"] == 2
+    assert parses("“甲，乙”", "list")[-1][0] == ["甲，乙"]
+
+
+def test_every_subset_of_marks_is_a_dialect():
+    values = [v for v, *_ in parses("甲，乙、丙;丁|戊/己", "list")]
+    assert len(values) == 2**5 and ["甲，乙", "丙;丁|戊/己"] in values and ["甲", "乙、丙", "丁|戊", "己"] in values
