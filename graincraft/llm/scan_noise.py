@@ -2,9 +2,8 @@
 
 Furniture is told by its place: the outermost lines of a page are compared with those of the document's other pages
 (titles that recur, numbers that count up with the pages), and with the next page's first line, as a table's total may be
-cut by the page end. What remains is body. Lines that end within a word are joined by the words of the corpus: the broken
-word if the whole is known, the compound if its first part is known as such. The characters are read by an averaged
-perceptron: at each place where a look-alike could have been misread it decides between keeping, replacing (or replacing
+cut by the page end. What remains is body. Lines that end within a word are joined, or not, by an averaged perceptron on what the
+corpus knows of the two halves, trained on words cut at random and compounds cut at their hyphen. The characters are read by another: at each place where a look-alike could have been misread it decides between keeping, replacing (or replacing
 and deleting, where two characters were read for one) from the characters around, the counts of their triples and the
 words they make. It is trained on clean pages into which misreadings are put at random, so it needs no labels.
 
@@ -15,6 +14,7 @@ furniture and are not read for misread characters; a line has each kind of defec
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,10 +36,10 @@ TOTALS = ("合计", "小计", "总计", "subtotal", "total")
 #: Clean pages the editor is trained on, those of least hash; their text goes through the driver, some 1.5 MB.
 TRAINING_PAGES = 1500
 ROUNDS = 3
+#: Surroundings whose reading a worker keeps; the store is emptied when full.
+MEMO = 200_000
 #: Share of the places where a misreading is possible that get one in training.
 NOISE = 0.06
-#: Running titles of one document that its pages are compared with.
-TITLES = 6
 
 PAIRS: dict[str, list[str]] = {k: v.split() for k, v in {**MISREAD_HAN, **MISREAD_LATIN}.items()}
 _HAN_CANDIDATE = re.compile("[" + "".join(MISREAD_HAN) + "]")
@@ -176,13 +176,18 @@ class Model:
         """texts: the perceptron's examples. counts: of all pages, as counted() has them; without them the examples are all there is."""
         counts = counts or self.counted(texts)
         self.words = counts["word"]
+        self.longest = max(map(len, self.words), default=0)
         self.compounds = set(counts["compound"])
         self.triples = Counter({k: n for k, n in counts["triple"].items() if n > 1})
         # the perceptron sees a triple's rate, as on as many pages as its examples, so that it doesn't change with the corpus
         share = max(1, pages / max(1, len(texts)))
         self.levels = {k: min(6, math.ceil(n / share).bit_length()) for k, n in self.triples.items()}
+        self.hyphened = counts["compound"]
+        self.memo: dict[tuple, tuple[float, str]] = {}
         self.weights: dict[str, float] = {}
         self._train(texts)
+        self.joins: dict[str, float] = {}
+        self._train_joins(texts)
 
     @classmethod
     def counted(cls, texts: list[str]) -> dict[str, Counter[str]]:
@@ -238,16 +243,14 @@ class Model:
         for m in _HAN_CANDIDATE.finditer(s):
             yield m.start(), m[0]
         for token in _ASCII_TOKEN.finditer(s):
-            if not _LATIN.search(token[0]) or self.words[token[0].casefold()]:
-                continue
+            if not _LATIN.search(token[0]) or self.words[token[0].casefold()] or len(token[0]) > self.longest + 1:
+                continue  # no letters, a word, or more than any word
             for m in _LATIN_CANDIDATE.finditer(s, *token.span()):
                 c, i = m[0], m.start()
                 if not c.isdigit() or re.search(r"[a-z]", s[max(0, i - 1) : i] + s[i + 1 : i + 2]):
                     yield i, c
 
     def _train(self, texts: list[str]) -> None:
-        import random
-
         rng = random.Random(7)
         back: dict[str, list[str]] = {}
         for c, ys in PAIRS.items():
@@ -275,6 +278,11 @@ class Model:
                     truth = wrong.get(i) == y
                     if truth or rng.random() < 0.35:
                         examples.append((self.features(noisy, i, c, y), truth))
+        self.weights = self._averaged(examples, rng)
+
+    @staticmethod
+    def _averaged(examples: list[tuple[list[str], bool]], rng: random.Random) -> dict[str, float]:
+        """The weights of an averaged perceptron over the examples."""
         w: dict[str, float] = {}
         total: dict[str, float] = {}
         step = 0
@@ -288,7 +296,26 @@ class Model:
                     for f in fs:
                         w[f] = w.get(f, 0.0) + d
                         total[f] = total.get(f, 0.0) + d * step
-        self.weights = {f: v - total[f] / (step + 1) for f, v in w.items() if abs(v - total[f] / (step + 1)) > 1e-3}
+        return {f: v - total[f] / (step + 1) for f, v in w.items() if abs(v - total[f] / (step + 1)) > 1e-3}
+
+    def join_features(self, a: str, b: str, own: int = 0) -> list[str]:
+        """What speaks for and against joining two halves at a line's end. own: how often this very place is among the counts."""
+        whole, first = self.words[a + b] > own, self.hyphened[a] > own
+        left, right = self.words[a] > own, self.words[b] > own
+        return ["bias", f"w{whole}", f"c{first}", f"w{whole}c{first}", f"c{first}l{left}r{right}", f"w{whole}l{left}r{right}"]
+
+    def _train_joins(self, texts: list[str]) -> None:
+        """Words cut at a random place are to be joined, compounds cut at their own hyphen are not."""
+        rng = random.Random(11)
+        examples: list[tuple[list[str], bool]] = []
+        for t in texts:
+            for m in re.finditer(r"(?<![\w-])([A-Za-z]+)-([a-z]+)", t):
+                examples.append((self.join_features(m[1].casefold(), m[2].casefold(), 1), False))
+            for w in re.findall(r"(?<![\w-])[A-Za-z]{5,}(?![\w-])", t):
+                if rng.random() < 0.1:
+                    k = rng.randint(2, len(w) - 2)
+                    examples.append((self.join_features(w[:k].casefold(), w[k:].casefold(), 1), True))
+        self.joins = self._averaged(examples, rng)
 
     def broken(self, line: str, following: str) -> bool | None:
         """Whether a line ends within a word broken only there; None if it doesn't end with a hyphen."""
@@ -301,9 +328,9 @@ class Model:
         if not n or not n[1][0].islower():
             return False
         a, b = m[1].casefold(), n[1].casefold()
-        if self.words[a + b]:
-            return True
-        return a not in self.compounds
+        if not self.joins:
+            return bool(self.words[a + b]) or a not in self.compounds
+        return sum(self.joins.get(f, 0.0) for f in self.join_features(a, b)) > 0
 
     def joined(self, body: list[tuple[int, str]], following: str) -> tuple[str, list[int], set[int]]:
         """The body's text, for each of its characters the line it is from, and the lines that end within a word."""
@@ -333,13 +360,29 @@ class Model:
             best = max(((self.triples[a + y + b], y) for a, y, b in self._fill(s[max(0, i - 1) : i], s[i + 1 : i + 2])), default=(0, ""))
             out.append((i, m[0], best[1]))
         for i, c in self.places(s):
-            scored = max((self.score(s, i, c, y), y) for y in PAIRS[c])
+            scored = self._best(s, i, c)
             if scored[0] > 0:
                 out.append((i, c, scored[1]))
         for m in re.finditer(rf"(?<![A-Za-z])(?=[\dlIOo]*\d)[\d]*[lIOo][\dlIOo]*(?![A-Za-z])", s):
             out += [(m.start() + k, x, {"l": "1", "I": "1", "O": "0", "o": "0"}[x]) for k, x in enumerate(m[0]) if x in LETTERS_FOR_FIGURES]
         return out
 
+    def _best(self, s: str, i: int, c: str) -> tuple[float, str]:
+        """The best replacement of a place and its score, which what stands around it decides, so that it is computed once for equal surroundings."""
+        a, b = i, i + len(c)
+        if c.isascii():
+            while a > 0 and s[a - 1].isascii() and s[a - 1].isalnum():
+                a -= 1
+            while b < len(s) and s[b].isascii() and s[b].isalnum():
+                b += 1
+        a, b = max(0, a - 2), b + 2
+        key = (s[a:b], i - a, c)
+        if (known := self.memo.get(key)) is None:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            known = self.memo[key] = max((self.score(s, i, c, y), y) for y in PAIRS[c])
+        return known
+
     def _fill(self, a: str, b: str) -> list[tuple[str, str, str]]:
         if not hasattr(self, "between"):
             self.between: dict[str, list[str]] = {}
@@ -375,17 +418,19 @@ def _edges(pages: DataFrame) -> DataFrame:
 
 
 def _inner_keys(pages: DataFrame) -> DataFrame:
-    """Keys of short lines inside pages, such as section headings and parts of tables, with the number of their documents."""
+    """Keys of short lines inside pages, such as section headings and parts of tables, with the number of documents that hold them."""
     lines = pages.select("doc_id", F.split("text", "\n").alias("x")).where("size(x) > 6").select("doc_id", F.explode(F.slice("x", F.lit(4), F.size("x") - 6)).alias("line")).where("length(trim(line)) between 2 and 30")
-    return lines.select("doc_id", F.lower(F.regexp_replace("line", r"[^\p{L}]+", "")).alias("key")).where("length(key) >= 2").groupBy("key").agg(F.count(F.lit(1)).alias("inside")).where("inside > 1")
+    return lines.select("doc_id", F.lower(F.regexp_replace("line", r"[^\p{L}]+", "")).alias("key")).where("length(key) >= 2").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("inside"))
 
 
 def _document_facts(pages: DataFrame) -> DataFrame:
     """For each document its recurring titles, the styles of its page numbers and the offsets at which they count up."""
     edges = materialise(_edges(pages), "p1edges")
     keys = edges.where("key is not null").groupBy("doc_id", "key").agg(F.count_distinct("page_number").alias("n")).where("n > 1")
-    keys = keys.join(_inner_keys(pages), "key", "left").where("inside is null or inside * 4 < n")
-    titles = keys.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "key"))), 1, TITLES).alias("x")).select("doc_id", F.col("x.key").alias("titles"))
+    # a title that lies within the pages of as many documents as have it at their edges is a heading or a table's; both counts grow with the corpus
+    at_edges = keys.groupBy("key").agg(F.count(F.lit(1)).alias("documents"))
+    keys = keys.join(at_edges.join(_inner_keys(pages), "key").where("inside >= documents").select("key"), "key", "left_anti")
+    titles = keys.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "key"))).alias("x")).select("doc_id", F.col("x.key").alias("titles"))
     numbers = edges.where("style is not null").groupBy("doc_id", "style", (F.col("value") - F.col("page_number")).alias("offset")).agg(F.count_distinct("page_number").alias("n"))
     styles = numbers.groupBy("doc_id", "style").agg(F.sum("n").cast("int").alias("pages"), F.max(F.struct("n", "offset")).alias("top"))
     facts = styles.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("style", "pages"))).alias("styles"), F.collect_list(F.when(F.col("top.n") > 1, F.struct("style", F.col("top.offset").alias("offset")))).alias("offsets"))
@@ -452,7 +497,7 @@ def _read(df: DataFrame, mode: str) -> DataFrame:
                     head = nxt[0] if nxt else ""
                 body = [(i, x) for i, x in enumerate(lines) if i not in extra and x.strip()]
                 joined, owner, hyphens = model.joined(body, head)
-                wrong = model.read(joined) if r["source_method"] != "text" else []
+                wrong = model.read(joined)
                 if mode == "found":
                     found = [(i, k) for i, k in extra.items()] + [(i, "hyphen") for i in hyphens] + [(i, "char") for i in {owner[p] for p, _, _ in wrong}]
                     for i, k in found:
