@@ -114,9 +114,3 @@ def flattened_pack(packs: DataFrame, most: int = 5) -> DataFrame:
     once = packs.where("kind <> 'negative_unit'").groupBy("row_id", X.compact(F.col("text")).alias("bare")).agg(F.min(F.struct(place.alias("place"), "rank", "text")).alias("m"))
     w = Window.partitionBy("row_id").orderBy("m.place", "m.rank", "m.text")
     return once.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).select("row_id", "k", F.col("m.text").alias("text"))
-
-
-def low_quality_reference(levels: Column) -> Column:
-    """A library path too thin to suggest: no level, or a single short or numeric one."""
-    one = F.try_element_at(levels, F.lit(1))
-    return (F.size(levels) == 0) | (F.size(levels) == 1) & (F.length(clean_label(one)) <= 2)

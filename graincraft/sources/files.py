@@ -101,3 +101,61 @@ def elements(df: DataFrame, text: str = "raw_text") -> DataFrame:
     part, code = (F.regexp_extract_all("allowed_values", F.lit(r"([A-Z]+/T)\s+([0-9]+\.[0-9]+)\s+(CV[0-9]{2}\.[0-9]{2}\.[0-9]{3})"), F.lit(i)) for i in (2, 3))
     kind = F.regexp_extract_all("allowed_values", F.lit(r"([A-Z]+/T)\s+([0-9]+\.[0-9]+)\s+(CV[0-9]{2}\.[0-9]{2}\.[0-9]{3})"), F.lit(1))
     return t.withColumn("value_domain_refs", F.zip_with(F.zip_with(kind, part, lambda a, b: F.concat(a, F.lit(" "), b)), code, lambda a, b: F.concat(a, F.lit(":"), b)))
+
+
+def element_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """part and the elements of each catalogue file; the part is the number behind the standard's name. Two files of one part are an error, files without a part are passed over."""
+    t = spark.read.text(list(paths), wholetext=True).select(F.col("value").alias("raw_text"), F.col("_metadata.file_path").alias("source_path"))
+    t = t.withColumn("part", F.regexp_extract("raw_text", r"[A-Z]{2}/T\s*[0-9]+\.([0-9]+)\s*[—-]\s*[0-9]{4}", 1)).where("part <> ''")
+    twice = t.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("source_path")).alias("files")).where("n > 1").orderBy("part").first()
+    if twice:
+        raise ValueError(f"part {twice['part']} is in {', '.join(twice['files'])}")
+    out = None
+    for p in sorted(r["part"] for r in t.select("part").collect()):
+        one = elements(t.where(F.col("part") == p)).withColumn("part", F.lit(p))
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no catalogue part found")
+    return out
+
+
+def element_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """element_code, element_name and part of an element library as sinks.element_library writes it; of an element in several parts the last part's counts."""
+    t = spark.read.schema("element_code string, element_name string, part string").json(f"{folder.rstrip('/')}/parts").where("element_code is not null")
+    return t.groupBy("element_code").agg(F.max(F.struct("part", "element_name")).alias("m")).select("element_code", "m.element_name", "m.part")
+
+
+def reference_spec(spec: str) -> tuple[str, str, str]:
+    """Path, type and name of a library named as path:type:name; the path may hold colons."""
+    parts = spec.rsplit(":", 2)
+    if len(parts) != 3 or not all(x.strip() for x in parts):
+        raise ValueError(f"not path:type:name: {spec}")
+    return parts[0], parts[1], parts[2]
+
+
+# Where a saved run keeps its checkpoints, the first that exists counts, and patterns for runs that keep them elsewhere.
+CHECKPOINTS = {
+    "rows": (("classification_row_batches", "row_checkpoint", "classification_rows_checkpoint", "classification_rows"), ("row*checkpoint", "classification*row")),
+    "evidence": (("evidence_claim_batches", "evidence_checkpoint", "evidence_claims_checkpoint", "evidence_claims"), ("evidence*checkpoint", "evidence*claim")),
+    "blocks": (("block_signal_batches", "block_checkpoint", "document_blocks_checkpoint", "document_blocks"), ("block*checkpoint", "document*block")),
+}
+
+
+def saved_run(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The files of a saved run by what they hold: table, tree, report, checkpoints, debug files and traces. What isn't there has no entry."""
+    from fnmatch import fnmatchcase
+
+    folder = folder.rstrip("/")
+    top, inner = _folder(spark, folder), _folder(spark, f"{folder}/checkpoints")
+    out = {k: f"{folder}/{n}" for k, n in (("table", "rule_table.json"), ("tree", "rule_tree.json"), ("report", "review_report.md"), ("debug", "debug"), ("traces", "traces")) if n in top}
+    for kind, (names, patterns) in CHECKPOINTS.items():
+        exact = [f"{folder}/checkpoints/{n}.jsonl" for n in names if f"{n}.jsonl" in inner] + [f"{folder}/{n}.jsonl" for n in names if f"{n}.jsonl" in top]
+        loose = [f"{folder}/{sub}{n}" for sub, found in (("", top), ("checkpoints/", inner)) for n in found for p in patterns if fnmatchcase(n, f"*{p}*.jsonl")]
+        if exact or loose:
+            out[kind] = (exact or sorted(loose))[0]
+    return out
+
+
+def failed_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """file_name and text of the dead letters of failed row batches."""
+    return spark.read.option("pathGlobFilter", "failed_row_batch_*.txt").text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
