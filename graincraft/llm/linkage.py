@@ -27,6 +27,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -189,10 +190,11 @@ class Rules:
     def __init__(self, pairs: dict[str, str]) -> None:
         self.pairs = pairs
         self.longest = max(map(len, pairs), default=0)
+        self.firsts = {a[0] for a in pairs}
 
     def readings(self, s: str) -> list[str]:
         """The level as it is, and with every choice of its wordings replaced."""
-        places = [(i, k) for i in range(len(s)) for k in range(1, min(self.longest, len(s) - i) + 1) if s[i : i + k] in self.pairs]
+        places = [(i, k) for i in range(len(s)) if s[i] in self.firsts for k in range(2, min(self.longest, len(s) - i) + 1) if s[i : i + k] in self.pairs]
         if not places:
             return [s]
         if len(places) > PLACES:
@@ -371,14 +373,18 @@ def _taught(records: DataFrame, parsed: DataFrame, tails: DataFrame) -> dict[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n: Counter[tuple[str, str]] = Counter()
+            spans_n: Counter[str] = Counter()
+            words_n: Counter[str] = Counter()
+            pairs_n: Counter[tuple[str, str]] = Counter()
             for text, ws in zip(batch.column("text").to_pylist(), batch.column("ws").to_pylist()):
-                n[("", "")] += 1
-                n.update((("", w) for w in ws))
                 found = spans(text)
-                n.update((a, "") for a in found)
-                n.update((a, w) for w in ws for a in found)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["a", "w", "n"])
+                spans_n.update(found)
+                words_n.update(ws)
+                for w in ws:
+                    pairs_n.update(zip(found, repeat(w)))
+            a = [*spans_n, *repeat("", len(words_n) + 1), *(k[0] for k in pairs_n)]
+            w = [*repeat("", len(spans_n)), *words_n, "", *(k[1] for k in pairs_n)]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(w, pa.string()), pa.array([*spans_n.values(), *words_n.values(), batch.num_rows, *pairs_n.values()], pa.int64())], names=["a", "w", "n"])
 
     counts = materialise(texts.mapInArrow(run, "a string, w string, n bigint").groupBy("a", "w").agg(F.sum("n").alias("n")).where("n > 1 or a = ''"), "p4spans")
     total, met = counts.agg(F.sum(F.when((F.col("a") == "") & (F.col("w") == ""), F.col("n"))), F.count_if((F.col("a") != "") & (F.col("w") != ""))).first()
@@ -409,15 +415,21 @@ def _foreign(rules: dict[str, str], texts: DataFrame, own: DataFrame) -> dict[st
     if not rules:
         return {}
     han = {a: bool(_HAN.search(b)) for a, b in rules.items()}
-    longest, firsts = max(map(len, rules)), {a[0] for a in rules}
+    words = sorted(rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for a in words:
+            automaton.add_word(a, a)
+        automaton.make_automaton()
         for batch in batches:
             n: Counter[tuple[str, bool, str]] = Counter()
             for w, s in zip(batch.column("w").to_pylist(), batch.column("s").to_pylist()):
                 h = bool(_HAN.search(s))
                 n[(w, h, "")] += 1
-                n.update((w, h, a) for a in {s[i : i + k] for i in range(len(s)) if s[i] in firsts for k in range(2, longest + 1)} if han.get(a) == h)
+                n.update((w, h, a) for a in {a for _, a in automaton.iter(s)} if han[a] == h)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in n], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.string()))] + [pa.array(list(n.values()), pa.int64())], names=["w", "h", "a", "n"])
 
     both = texts.select(F.lit("record").alias("w"), "s").union(own.select(F.lit("row").alias("w"), "s"))
