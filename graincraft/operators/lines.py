@@ -27,7 +27,10 @@ def high_risk(lines: DataFrame, most: int = 180, merged: int = 4) -> DataFrame:
 # What marks a page number, a row's start and a structure line.
 PAGE_NOISE = r"^\s*(?:[-－—–]\s*[0-9]{1,4}\s*[-－—–]|[0-9]{1,4})\s*$"
 SINGLE_HAN = r"^[㐀-䶿一-鿿豈-﫿]$"
-ROW_START = r"^\s*[0-9]{3,4}(?:\s|$)|^\s*[0-9]+(?:[.．][0-9]+)+(?:\s|$)|^\s*[0-9]{1,2}\s+\S.{2,}\s+[0-9]{1,3}(?:\s|$)|^\s*[A-Z]、\S+"
+ROW_START = r"^\s*[0-9]{3,4}(?:\s|$)|^\s*[0-9]+(?:[.．][0-9]+)+(?:\s|$)|^\s*[0-9]{1,2}\s+\S.{2,}\s+[0-9]{1,3}(?:\s|$)"
+POLICY_HEADING = r"^\s*[0-9]{1,2}\s+[㐀-䶿一-鿿豈-﫿A-Za-z][^0-9]{0,24}$"
+LETTER_CATEGORY = r"^\s*[A-Z]、\S+"
+GLUED_LETTER = r"^([A-Z]、\S+)\s+([1-9][0-9]?\s+\S.+)$"
 GLUED = r"(?<=[㐀-䶿一-鿿豈-﫿])\s*[—-]?\s*([1-9][0-9]?\s+[㐀-䶿一-鿿豈-﫿][^0-9\s]{1,12})(?=\s+[0-9]{2}\s)"
 
 
@@ -48,14 +51,20 @@ def clean_lines(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     runs = _islands(t, key, ~(F.col("single") & F.col("before"))).where(~F.col("noise"))
     merged = runs.groupBy(key, "island").agg(F.min("line_no").alias("source_start"), F.max("line_no").alias("source_end"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "").alias("line"))
     merged = merged.withColumnRenamed("source_start", "line_no").withColumn("first_kind", F.when(F.col("source_end") > F.col("line_no"), "merge_single_char").otherwise("preserve"))
-    structure = X.structure_signal(F.col("line")).isNotNull()
-    start = F.col("line").rlike(ROW_START) | structure | (X.strip(F.col("line")) == "") | F.col("line").rlike("[。；;]\\s*$")
-    rows = _islands(merged.drop("island").withColumn("row_like", F.col("line").rlike(ROW_START)), key, start)
+    bare = X.strip(F.col("line"))
+    policy = bare.rlike(POLICY_HEADING)
+    begins = bare.rlike(ROW_START) & ~policy
+    structure = X.structure_signal(F.col("line")).isNotNull() | bare.rlike(LETTER_CATEGORY)
+    rows = _islands(merged.drop("island").withColumn("row_like", begins), key, begins | policy | structure | (bare == ""))
     head = F.first("row_like").over(Window.partitionBy(key, "island").orderBy("line_no"))
     rows = rows.withColumn("part", F.when(head, F.lit(0)).otherwise(F.col("line_no")))
-    joined = rows.groupBy(key, "island", "part").agg(F.min("line_no").alias("source_start"), F.max("source_end").alias("source_end"), F.count(F.lit(1)).alias("n"), F.min_by("first_kind", "line_no").alias("kind"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "").alias("text"))
+    joined = rows.groupBy(key, "island", "part").agg(F.min("line_no").alias("source_start"), F.max("source_end").alias("source_end"), F.count(F.lit(1)).alias("n"), F.min_by("first_kind", "line_no").alias("kind"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x, k: F.when(k == 0, x["line"]).otherwise(X.strip(x["line"]))), " ").alias("text"))
     joined = joined.withColumn("transform", F.when(F.col("n") > 1, "merge_wrapped_row").otherwise(F.col("kind")))
-    pieces = F.split(F.regexp_replace("text", GLUED, "\u0001$1"), "\u0001")
+    bare = X.strip(F.col("text"))
+    numbered = F.split(F.regexp_replace(bare, GLUED, "\u0001$1"), "\u0001")
+    lettered = F.array(F.regexp_extract(bare, GLUED_LETTER, 1), F.regexp_extract(bare, GLUED_LETTER, 2))
+    cut = F.when(bare.rlike(GLUED_LETTER), lettered).otherwise(F.filter(F.transform(numbered, X.strip), lambda x: x != ""))
+    pieces = F.when(F.size(cut) > 1, cut).otherwise(F.array("text"))
     out = joined.withColumn("transform", F.when(F.size(pieces) > 1, "split_glued_heading").otherwise(F.col("transform"))).select(key, "source_start", "source_end", "transform", F.posexplode(pieces).alias("k", "text"))
     return out.withColumn("line_no", F.row_number().over(Window.partitionBy(key).orderBy("source_start", "k"))).select(key, "line_no", "source_start", "source_end", "transform", "text")
 

@@ -11,7 +11,7 @@ from ..operators import lines as L
 from ..operators import rows as R
 from ..sources.tables import load, one_per_key
 from .registry import query
-from .row_queries import BASE, COMPACT, ROWS
+from .row_queries import BASE, COMPACT, ROWS, STRIP
 from .text_queries import CHUNKS
 
 
@@ -53,7 +53,12 @@ def description_policy(spark: SparkSession, d: str) -> DataFrame:
     return V.description_policy(_rows(spark, d)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(
+    f"""{BASE}, x AS (SELECT row_id, 'description' AS role, levels[len(levels)] AS text FROM pathed UNION ALL SELECT row_id, 'description', description_evidence_quote FROM pathed
+ UNION ALL SELECT row_id, 'grading', coalesce(grade_evidence_quote, CASE WHEN regexp_matches(evidence_quote, '{X.GRADE_OR_RISK}') THEN evidence_quote END) FROM pathed
+ UNION ALL SELECT row_id, CASE WHEN coalesce(regexp_matches(r.text, '{X.GRADE_OR_RISK}'), false) THEN 'excluded' ELSE 'description' END, r.text FROM (SELECT row_id, unnest(evidence_refs) AS r FROM pathed) y)
+ SELECT row_id, role, min(text) AS text FROM x WHERE text IS NOT NULL AND text <> '' GROUP BY row_id, role, {COMPACT('text')}"""
+)
 def evidence_packs(spark: SparkSession, d: str) -> DataFrame:
     return V.evidence_pack(_rows(spark, d))
 
@@ -71,7 +76,11 @@ def content_types(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).groupBy(V.content_type(F.col("text")).alias("content")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(
+    f"""WITH {CHUNKS}, s AS (SELECT chunk_id, list_filter(list_transform(string_split(coalesce(section_title, ''), '/'), lambda x: {STRIP('x')}), lambda x: x <> '') AS l FROM chunks_once), u AS (SELECT chunk_id, n, l[n] AS p FROM (SELECT chunk_id, l, unnest(range(1, len(l) + 1)) AS n FROM s)),
+ k AS (SELECT chunk_id, n, CASE WHEN regexp_matches(p, '(?i)^附\\s*录\\s*[A-ZＡ-Ｚ]\\s*$') THEN 'appendix_heading' WHEN regexp_matches(p, '(?i)^(?:续\\s*表\\s*[A-ZＡ-Ｚ]\\s*\\.?\\s*[0-9]+|表\\s*[A-ZＡ-Ｚ]\\s*\\.?\\s*[0-9]+\\s*[（(]\\s*续\\s*[）)]).+') THEN 'continued_table_title' WHEN regexp_matches(p, '(?i)^表\\s*[A-ZＡ-Ｚ]\\s*\\.?\\s*[0-9]+(?:\\s*[（(]\\s*续\\s*[）)])?\\s+.+') THEN 'table_title' WHEN regexp_matches(p, '^[一-鿿]{{2,20}}分类\\s*$') THEN 'classification_title' END AS kind, p FROM u), t AS (SELECT chunk_id, n, kind, CASE WHEN kind = 'appendix_heading' THEN '附录 ' || upper(translate(regexp_extract(p, '(?i)^附\\s*录\\s*([A-ZＡ-Ｚ])', 1), '{X.FULL_WIDTH}', '{X.HALF_WIDTH}')) ELSE regexp_replace(p, '\\s+', ' ', 'g') END AS title FROM k)
+ SELECT s.chunk_id, coalesce(arg_max(title, n) FILTER (WHERE kind = 'appendix_heading'), '') AS appendix_heading, coalesce(arg_max(title, n) FILTER (WHERE kind = 'classification_title'), '') AS classification_title, coalesce(arg_max(title, n) FILTER (WHERE kind IN ('table_title', 'continued_table_title')), '') AS table_title, '' AS hierarchy_header FROM s LEFT JOIN t ON s.chunk_id = t.chunk_id GROUP BY 1"""
+)
 def section_contexts(spark: SparkSession, d: str) -> DataFrame:
     c = V.structure_context(F.col("section_title"), F.lit(""))
     return _chunks(spark, d).select("chunk_id", c.alias("c")).select("chunk_id", "c.*")

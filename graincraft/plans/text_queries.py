@@ -125,10 +125,13 @@ def batch_signatures(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", F.sha1(F.array_join(F.transform("x", lambda e: e["t"]), "\u0001\u0001")).alias("signature"))
 
 
-@query()
+@query(
+    f"""WITH {CHUNKS}, {LINES}, c AS (SELECT chunk_id, line_no, list_transform(regexp_extract_all(line, '[0-9]+(?:\\s*[.．]\\s*[0-9]+)+'), lambda x: replace(regexp_replace(x, '\\s+', '', 'g'), '．', '.')) AS l FROM lines), u AS (SELECT chunk_id, line_no, list_filter(l, lambda x, i: list_position(l, x) = i) AS codes FROM c)
+ SELECT chunk_id, line_no, array_to_string(codes, '|') AS codes, len(list_filter(codes, lambda a: len(list_filter(codes, lambda b: starts_with(b, a || '.'))) > 0)) > 0 AS flattened FROM u WHERE len(codes) > 1"""
+)
 def flattened_rows(spark: SparkSession, d: str) -> DataFrame:
     t = L.explode_lines(_chunks(spark, d), "text", ("chunk_id",))
-    return t.where(F.size(X.dotted_codes(F.col("line"))) > 1).select("chunk_id", "line_no", F.array_join(X.dotted_codes(F.col("line")), "|").alias("codes"), X.flattened_hint(F.col("line")).alias("flattened"))
+    return t.where(F.size(X.dotted_codes(F.col("line"))) > 1).select("chunk_id", F.col("line_no").cast("bigint").alias("line_no"), F.array_join(X.dotted_codes(F.col("line")), "|").alias("codes"), X.flattened_hint(F.col("line")).alias("flattened"))
 
 
 @query("SELECT lang, count(*) AS n, sum(length(text)) AS chars, count(*) FILTER (WHERE text IS NULL OR text = '') AS empty FROM documents GROUP BY 1")

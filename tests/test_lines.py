@@ -15,7 +15,7 @@ def test_explode_counts_lines_of_any_end(spark):
 def test_clean_drops_noise_and_merges(spark):
     df = spark.createDataFrame([("d", "甲\n乙\n- 3 -\n0101 姓名 说明\n续写\n末行。")], "doc_id string, text string")
     out = [(r.source_start, r.source_end, r["transform"], r.text) for r in L.clean_lines(L.explode_lines(df)).orderBy("line_no").collect()]
-    assert out == [(1, 2, "merge_single_char", "甲乙"), (4, 5, "merge_wrapped_row", "0101 姓名 说明续写"), (6, 6, "preserve", "末行。")]
+    assert out == [(1, 2, "merge_single_char", "甲乙"), (4, 6, "merge_wrapped_row", "0101 姓名 说明 续写 末行。")]
 
 
 def test_structure_signals(spark):
@@ -90,3 +90,19 @@ def test_checkpoint_metrics(spark):
 def test_fuzzy(spark):
     df = spark.createDataFrame([("患者 的 姓 名", "患者姓名"), ("甲", "乙"), (None, "")], "t string, n string")
     assert [r.x for r in df.select(fuzzy.holds_loosely("t", "n").alias("x")).collect()] == [True, False, False]
+
+
+def test_cleaner_keeps_headings_and_splits_what_is_glued(spark):
+    text = "1 范围\n正文\n001 患者信息\n续行。\n2 术语和定义\nA、基础资源 1 人员 其余\n交通等3 法律法规 01 条文"
+    t = L.explode_lines(spark.createDataFrame([("d", text)], "doc_id string, raw_text string"), "raw_text", ("doc_id",))
+    out = [(r.source_start, r.source_end, r.transform, r.text) for r in L.clean_lines(t).orderBy("line_no").collect()]
+    assert out == [
+        (1, 1, "preserve", "1 范围"),
+        (2, 2, "preserve", "正文"),
+        (3, 4, "merge_wrapped_row", "001 患者信息 续行。"),
+        (5, 5, "preserve", "2 术语和定义"),
+        (6, 6, "split_glued_heading", "A、基础资源"),
+        (6, 6, "split_glued_heading", "1 人员 其余"),
+        (7, 7, "split_glued_heading", "交通等"),
+        (7, 7, "split_glued_heading", "3 法律法规 01 条文"),
+    ]
