@@ -187,10 +187,12 @@ def batches(df: DataFrame, group: str, order: list[str], size: Column, budget: i
     return df.join(cut, same).select(*(df[c] for c in df.columns), cut["batch"])
 
 
-def signature(df: DataFrame, group: list[str], order: str, *parts: str) -> DataFrame:
-    """group and the digest of its ordered rows, joined by NUL characters."""
-    one = F.concat_ws("\u0000", *(F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts))
-    return df.groupBy(*group).agg(F.sha1(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), one.alias("t")))), lambda x: x["t"]), "\u0000")).alias("signature"))
+def signature(df: DataFrame, group: list[str], order: str | list[str], *parts: str, between: str = "\x00", apart: str = "\x00") -> DataFrame:
+    """group and the digest of its rows in order, each row's parts put together with between, rows with apart; nulls count as empty."""
+    orders = [order] if isinstance(order, str) else order
+    one = F.concat_ws(between, *(F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts))
+    rows = F.array_sort(F.collect_list(F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(orders)), one.alias("t"))))
+    return df.groupBy(*group).agg(F.sha1(F.array_join(F.transform(rows, lambda x: x["t"]), apart)).alias("signature"))
 
 
 def to_do(work: DataFrame, cache: DataFrame, *keys: str) -> DataFrame:

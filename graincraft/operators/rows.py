@@ -79,9 +79,10 @@ def row_terms(levels: Column, examples: Column, description: Column, source: Col
 def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top: int = 3) -> DataFrame:
     """current_id, reference_id, score, shared, rank: the top library sets of terms for each current one, by overlap.
 
-    current: current_id, terms; library: reference_id, terms. Distinct sets are compared, not rows. A score of least means
-    that half of the smaller set is shared at least (for least 0.5), so a pair shares one of the rarest terms of the smaller
-    set, half of them and one more; only those are joined with the other side's terms, and hot terms never meet.
+    current: current_id, terms; library: reference_id, terms. Distinct sets are compared, not rows. To reach least, a pair has to
+    share so many terms of the smaller set (more than half of them for least 0.5) that one of its few rarest terms is among
+    them; only those are joined with the other side's terms. A set of one term or two brings its rarest term alone, and as
+    there is one such set of each term, a hot term meets each set that holds it once, not each pair of them.
     """
     a = materialise(current.select("current_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0"), "links_a")
     b = materialise(library.select("reference_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0"), "links_b")
@@ -92,7 +93,9 @@ def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top:
 
     def rare(side: DataFrame, key: str, n: str) -> DataFrame:
         ranked = side.join(counts, "t").groupBy(key, n).agg(F.transform(F.array_sort(F.collect_list(F.struct("count", "t"))), lambda x: x["t"]).alias("ts"))
-        return ranked.select(key, n, F.explode(F.slice("ts", F.lit(1), F.col(n) - F.ceil(F.col(n) * least) + 1)).alias("t"))
+        # the fewest shared terms with which a pair can reach least, the other set being as small as this one
+        fewest = F.array_min(F.filter(F.sequence(F.lit(1), F.col(n)), lambda s: 0.75 * s / F.col(n) + 0.25 * s / (2 * F.col(n) - s) >= least - 1e-4))
+        return ranked.select(key, n, F.explode(F.slice("ts", F.lit(1), F.col(n) - F.coalesce(fewest, F.col(n)) + 1)).alias("t"))
 
     pairs = rare(ta, "sa", "na").join(tb, "t").where("na <= nb").select("sa", "sb").union(rare(tb, "sb", "nb").join(ta, "t").where("nb <= na").select("sa", "sb")).distinct()
     both = pairs.join(sa.withColumnRenamed("terms", "x"), "sa").join(sb.withColumnRenamed("terms", "y"), "sb")

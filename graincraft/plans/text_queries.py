@@ -118,11 +118,10 @@ def fixed_batches(spark: SparkSession, d: str) -> DataFrame:
     return L.batches(t, "doc_id", ["position", "chunk_id"], F.col("n"), 0, 3).select("doc_id", "chunk_id", F.col("batch").cast("bigint").alias("batch"))
 
 
-@query(f"WITH {CHUNKS} SELECT doc_id, sha1(string_agg(chunk_id || chr(1) || coalesce(text, ''), chr(1) || chr(1) ORDER BY chunk_id)) AS signature FROM chunks_once GROUP BY 1")
+@query(f"WITH {CHUNKS} SELECT doc_id, sha1(string_agg(chunk_id || chr(1) || coalesce(text, ''), chr(2) ORDER BY position, chunk_id)) AS signature FROM chunks_once GROUP BY 1")
 def batch_signatures(spark: SparkSession, d: str) -> DataFrame:
-    one = F.concat_ws("\u0001", "chunk_id", F.coalesce("text", F.lit("")))
-    t = _chunks(spark, d).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_id", one.alias("t")))).alias("x"))
-    return t.select("doc_id", F.sha1(F.array_join(F.transform("x", lambda e: e["t"]), "\u0001\u0001")).alias("signature"))
+    """What a document's chunks are known by, so that a second run skips those that are done."""
+    return L.signature(_chunks(spark, d), ["doc_id"], ["position", "chunk_id"], "chunk_id", "text", between="\x01", apart="\x02")
 
 
 @query(
