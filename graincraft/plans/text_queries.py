@@ -86,9 +86,23 @@ def cleaned_lines(spark: SparkSession, d: str) -> DataFrame:
     return L.clean_lines(L.explode_lines(docs, "raw_text", ("doc_id",)))
 
 
-@query()
+_T = STRIP("line")
+_SIGNAL = f"""CASE WHEN regexp_matches(t, '(?i)^附\\s*录\\s*[A-ZＡ-Ｚ]\\s*$') THEN 1 WHEN regexp_matches(t, '(?i)^(?:续\\s*表\\s*[A-ZＡ-Ｚ]\\s*\\.?\\s*[0-9]+|表\\s*[A-ZＡ-Ｚ]\\s*\\.?\\s*[0-9]+\\s*[（(]\\s*续\\s*[）)]).+|^表\\s*[A-ZＡ-Ｚ]\\s*\\.?\\s*[0-9]+(?:\\s*[（(]\\s*续\\s*[）)])?\\s+.+') THEN 3 WHEN regexp_matches(t, '^[一-鿿]{{2,20}}分类\\s*$') THEN 2 END"""
+_MARKED = r"^#{1,6}\s+\S+|^[一二三四五六七八九十]+[、.．]\s*\S+|^[0-9]+(?:\.[0-9]+)*[、.．]\s*\S+"
+
+
+@query(
+    f"""WITH pg AS (SELECT DISTINCT ON (doc_id, page_number) doc_id, coalesce(page_number, 0) AS page, text FROM document_pages), pp AS (SELECT doc_id, page, {_SPLIT('text')} AS p FROM pg WHERE text IS NOT NULL AND text <> ''), tr AS (SELECT doc_id, page, CASE WHEN p[len(p)] = '' THEN p[1:len(p) - 1] ELSE p END AS p FROM pp),
+ ln AS (SELECT doc_id, page, n AS line_no, regexp_replace(p[n], '{WS}+$', '') AS line FROM (SELECT doc_id, page, p, unnest(range(1, len(p) + 1)) AS n FROM tr)), st AS (SELECT *, {_T} AS t FROM ln), sg AS (SELECT *, {_SIGNAL} AS signal FROM st),
+ kd AS (SELECT *, CASE WHEN line = '' THEN 'blank' WHEN signal IS NOT NULL OR regexp_matches(t, '{_MARKED}') THEN 'heading' WHEN regexp_matches(line, '^\\s*(?:[-*+]|[0-9]+[.)、．])\\s+\\S+') THEN 'list' ELSE 'text' END AS kind, row_number() OVER (PARTITION BY doc_id ORDER BY page, line_no) AS seq FROM sg),
+ tt AS (SELECT *, CASE WHEN kind = 'heading' THEN coalesce(signal, 1) END AS level, CASE WHEN signal = 1 THEN '附录 ' || upper(translate(regexp_extract(t, '(?i)^附\\s*录\\s*([A-ZＡ-Ｚ])', 1), '{X.FULL_WIDTH}', '{X.HALF_WIDTH}')) WHEN signal IS NOT NULL THEN regexp_replace(t, '{WS}+', ' ', 'g') ELSE trim(regexp_replace(regexp_replace(regexp_replace(t, '^#{{1,6}}\\s+', ''), '^[一二三四五六七八九十]+[、.．]\\s*', ''), '^[0-9]+(?:\\.[0-9]+)*[、.．]\\s*', '')) END AS title FROM kd),
+ hh AS (SELECT *, {', '.join(f"last_value(CASE WHEN level = {k} THEN {{'seq': seq, 'title': title}} END IGNORE NULLS) OVER w AS h{k}" for k in (1, 2, 3))}, lag(kind) OVER (PARTITION BY doc_id, page ORDER BY line_no) AS before FROM tt WINDOW w AS (PARTITION BY doc_id ORDER BY page, line_no ROWS UNBOUNDED PRECEDING)),
+ se AS (SELECT *, array_to_string(list_filter([h1.title, CASE WHEN h2.seq > coalesce(h1.seq, 0) THEN h2.title END, CASE WHEN h3.seq > greatest(coalesce(h1.seq, 0), coalesce(h2.seq, 0)) THEN h3.title END], lambda x: x IS NOT NULL), ' / ') AS section, before IS NULL OR kind = 'heading' OR before <> kind OR before = 'heading' AS cut FROM hh),
+ bl AS (SELECT *, sum(cut::INTEGER) OVER (PARTITION BY doc_id ORDER BY page, line_no ROWS UNBOUNDED PRECEDING) AS block FROM se), gr AS (SELECT doc_id, page, block, min(line_no) AS line_start, max(line_no) AS line_end, arg_min(section, line_no) AS section, string_agg(line, chr(10) ORDER BY line_no) AS text FROM bl WHERE kind <> 'blank' GROUP BY 1, 2, 3)
+ SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page, block) AS position, nullif(page, 0) AS page_number, CASE WHEN section <> '' THEN section WHEN page > 0 THEN 'Page ' || page ELSE '未命名章节' END AS section_title, line_start, line_end, text FROM gr"""
+)
 def page_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return L.chunk(one_per_key(load(spark, d, "document_pages"), "doc_id", "page_number"))
+    return L.chunk(one_per_key(load(spark, d, "document_pages"), "doc_id", "page_number")).withColumns({c: F.col(c).cast("bigint") for c in ("position", "line_start", "line_end")})
 
 
 @query()

@@ -13,9 +13,9 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key. Rows delivered twice are equal, so any of them will do; rows with a null in their key can't be told to be one and all stay."""
+    """One row per key. Rows delivered twice are equal, so any of them will do; rows with a null in their key stay one per content."""
     known = " and ".join(f"`{k}` is not null" for k in keys)
-    return df.where(known).dropDuplicates(list(keys)).union(df.where(f"not ({known})"))
+    return df.where(known).dropDuplicates(list(keys)).union(df.where(f"not ({known})").dropDuplicates())
 
 
 def shared_folder(spark: SparkSession) -> str:
