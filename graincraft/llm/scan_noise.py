@@ -47,6 +47,9 @@ _LATIN_CANDIDATE = re.compile("|".join(map(re.escape, sorted(MISREAD_LATIN, key=
 _ASCII_TOKEN = re.compile(r"[A-Za-z0-9]+")
 _LATIN = re.compile(r"[A-Za-z]")
 _HYPHEN = re.compile(r"([^\W\d_]+)\s*([-¬­‐])\s*\Z")
+#: What a line ends with if it ends within a word, and nothing.
+_LINE_ENDS = ("-", "¬", "\u00ad", "‐")
+_BROKEN_LINE = re.compile(r"[-¬\u00ad]\s*\n")
 _FIRST_WORD = re.compile(r"\s*([^\W\d_]+)")
 _FIGURES = r"[\dlIOo□�]"
 _NUMBER = re.compile(rf"\s*(?:(?P<page>第\s*(?P<a>{_FIGURES}+)\s*页(?:\s*[/，,共]+\s*{_FIGURES}+\s*页?)?)|(?P<of>Page\s+(?P<b>{_FIGURES}+)(?:\s+of\s+{_FIGURES}+)?)|(?P<dash>[—–\-]+\s*(?P<c>{_FIGURES}+|[ivxl]+)\s*[—–\-]+)|(?P<dot>[·•.]\s*(?P<d>{_FIGURES}+|[ivxl]+)\s*[·•.])|(?P<bare>\d*{_FIGURES}\d*)|(?P<roman>[ivxl]+))\s*", re.I)
@@ -194,7 +197,7 @@ class Model:
         """How often the texts have each word, first part of a compound and triple."""
         words, compounds, triples = Counter(), Counter(), Counter()
         for t in texts:
-            unbroken = re.sub(r"\S*[-¬\u00ad]\s*\n\s*\S*", " ", t)
+            unbroken = re.sub(r"\S*[-¬\u00ad]\s*\n\s*\S*", " ", t) if _BROKEN_LINE.search(t) else t
             words.update(w.casefold() for w in re.findall(r"(?<![\w-])[A-Za-zÀ-ɏ]{2,}(?![\w-])", unbroken))
             compounds.update(w.casefold() for w in re.findall(r"(?<![\w-])([A-Za-z]+)-(?=[A-Za-z])", t))
             padded = "\x02" + re.sub(r"\d", "0", cls.flat(t)) + "\x03"
@@ -319,8 +322,7 @@ class Model:
 
     def broken(self, line: str, following: str) -> bool | None:
         """Whether a line ends within a word broken only there; None if it doesn't end with a hyphen."""
-        m = _HYPHEN.search(line)
-        if not m:
+        if line.rstrip()[-1:] not in _LINE_ENDS or not (m := _HYPHEN.search(line)):
             return None
         n = _FIRST_WORD.match(following)
         if m[2] in "¬­":
