@@ -252,9 +252,22 @@ def weak_descriptions_top(spark: SparkSession, d: str) -> DataFrame:
     return weak_descriptions(spark, d).orderBy(F.desc("priority"), "row_id").limit(20)
 
 
-@query()
+_EOL = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+_ENDS = "regexp_matches(b, '^表[A-Z]?[0-9]') OR starts_with(b, '附录') OR b IN ('数据分类 数据分级', '类 项 目 数据范围及示例 数据加工程度 影响对象 影响程度 数据级别') OR regexp_matches(b, '^[0-9]{3}\\S+')"
+
+
+@query(
+    f"""{BASE}, dc AS (SELECT DISTINCT ON (doc_id) doc_id, raw_text FROM source_documents), pt AS (SELECT doc_id, string_split(regexp_replace(raw_text, '{_EOL}', chr(10), 'g'), chr(10)) AS p FROM dc WHERE coalesce(raw_text, '') <> ''), tp AS (SELECT doc_id, CASE WHEN p[len(p)] = '' THEN p[1:len(p) - 1] ELSE p END AS p FROM pt),
+ ln AS (SELECT doc_id, n, p[n] AS line, {STRIP('p[n]')} AS b, len(p) AS total FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS n FROM tp)), fl AS (SELECT *, {_ENDS} AS ends FROM ln), nx AS (SELECT *, coalesce(min(CASE WHEN ends THEN n END) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - 1, total) AS stop FROM fl),
+ sp AS (SELECT doc_id, 'table_row' AS kind, n AS a, stop AS z FROM nx WHERE regexp_matches(b, '^[0-9]{{3}}\\S+') UNION ALL SELECT doc_id, 'lines', n, least(n + 2, total) FROM ln WHERE (n - 1) % 3 = 0),
+ un AS (SELECT sp.doc_id, 'txt_' || kind || '_' || a || '_' || z AS unit_id, a AS line_start, {STRIP("string_agg(line, chr(10) ORDER BY n)")} AS text FROM sp JOIN ln ON sp.doc_id = ln.doc_id AND n BETWEEN a AND z AND b <> '' GROUP BY 1, 2, 3), ub AS (SELECT *, {COMPACT('text')} AS bare FROM un WHERE text <> ''),
+ tm AS (SELECT row_id, evidence_refs, list_distinct(list_filter(list_transform(list_concat(levels, coalesce(data_range_examples, []), [processing_degree, impact_object, impact_degree, recommended_grade]), lambda x: {STRIP('x')}), lambda x: x IS NOT NULL AND x <> '')) AS terms FROM pathed),
+ wt AS (SELECT DISTINCT row_id, terms, doc_id FROM (SELECT row_id, terms, unnest(list_distinct(list_transform(coalesce(evidence_refs, []), lambda r: r.chunk_id))) AS chunk_id FROM tm) x JOIN (SELECT DISTINCT ON (chunk_id) chunk_id, doc_id FROM chunks) c ON x.chunk_id = c.chunk_id),
+ sc AS (SELECT row_id, wt.doc_id, unit_id, line_start, list_sum(list_transform(terms, lambda x: CASE WHEN contains(text, x) THEN CASE WHEN length(x) >= 4 THEN 5 ELSE 3 END WHEN {COMPACT('x')} <> '' AND contains(bare, {COMPACT('x')}) THEN 3 ELSE 0 END))::BIGINT AS score FROM wt JOIN ub ON wt.doc_id = ub.doc_id),
+ rk AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, line_start, starts_with(unit_id, 'txt_table_row') DESC, doc_id) AS rank FROM sc WHERE score > 0) SELECT row_id, doc_id, unit_id, line_start, score, rank FROM rk WHERE rank <= 5"""
+)
 def row_contexts(spark: SparkSession, d: str) -> DataFrame:
-    return R.contexts(_rows(spark, d), one_per_key(load(spark, d, "chunks"), "chunk_id"), one_per_key(load(spark, d, "source_documents"), "doc_id"))
+    return R.contexts(_rows(spark, d), one_per_key(load(spark, d, "chunks"), "chunk_id"), one_per_key(load(spark, d, "source_documents"), "doc_id")).withColumns({c: F.col(c).cast("bigint") for c in ("line_start", "score", "rank")})
 
 
 @query(
