@@ -57,7 +57,9 @@ def quote_parts(c: Column) -> Column:
 def held(needles: DataFrame, texts: DataFrame, block: int = BLOCK) -> DataFrame:
     """needle of those that stand in a text. needles: needle, distinct and not empty; texts: text, as it is to be searched."""
     kept = materialise(needles.select("needle").distinct().where("needle <> ''"), "needles")
-    blocks = max(1, -(-kept.count() // block))
+    blocks = -(-kept.count() // block)
+    if not blocks:
+        return kept
     out = None
     for k in range(blocks):
         words = [r["needle"] for r in kept.where(F.pmod(F.xxhash64("needle"), F.lit(blocks)) == k).collect()]
@@ -117,7 +119,7 @@ def issues(df: DataFrame, texts: DataFrame) -> DataFrame:
     path = F.array_join("levels", " / ")
     bare_texts = F.transform(refs, lambda r: X.compact(F.coalesce(r["text"], F.lit(""))))
     t = df.withColumn("levels", levels).withColumns({"path": path, "target": F.when(path == "", F.col("row_id")).otherwise(path), "bare_texts": bare_texts, "n_refs": F.size(refs)})
-    t = t.withColumn("all_text", F.array_join("bare_texts", ""))
+    t = materialise(t.withColumn("all_text", F.array_join("bare_texts", "")).drop("evidence_refs"), "checked")
     blank = lambda c: F.coalesce(F.col(c) == "", F.lit(True))
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     told = F.coalesce(F.col("support_level"), F.lit("None"))
