@@ -49,21 +49,34 @@ def preview(c: Column, most: int = 180) -> Column:
     return F.when(F.length(c) > most, F.concat(F.left(c, F.lit(most - 3)), F.lit("..."))).otherwise(c)
 
 
+def _begins_han(c: Column) -> Column:
+    return (c >= "\u3400") & (c < "\ua000")
+
+
+def _uncoded(c: Column) -> Column:
+    # what begins with a Han character has neither letter nor code
+    bare = F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z]?[）)、.．]?", ""), r"^[0-9]+(?:[.．][0-9]+)*", "")
+    return F.when(_begins_han(c), c).otherwise(bare)
+
+
 def bare_term(c: Column) -> Column:
     """A text without white space and without the letter and the code it begins with."""
-    return F.regexp_replace(F.regexp_replace(compact(c), r"^[A-Za-z]?[）)、.．]?", ""), r"^[0-9]+(?:[.．][0-9]+)*", "")
+    return let(let(c, lambda t: F.when(t.rlike(WS), compact(t)).otherwise(t)), _uncoded)
 
 
 def terms(c: Column) -> Column:
     """Distinct terms of two characters or more that are no stop terms, and the whole text if it is short."""
-    stop = F.array(*map(F.lit, STOP_TERMS))
-    good = lambda x: (F.length(x) >= 2) & ~F.array_contains(stop, x)
+    good = lambda x: (F.length(x) >= 2) & ~x.isin(*STOP_TERMS)
     none = F.array().cast("array<string>")
 
     def found(text: Column) -> Column:
-        parts = F.filter(F.transform(F.split(text, TERM_BREAKS), bare_term), good)
+        # a pattern is compiled anew for each text that it splits, a single mark isn't; what stands between two breaks is too short
+        pieces = F.split(F.regexp_replace(text, TERM_BREAKS, ","), ",")
+        parts = F.filter(F.transform(pieces, _uncoded), good)
         whole = F.when(F.length(text) <= 12, F.filter(F.array(text), good)).otherwise(none)
-        return F.when((text == "") | (text == INSUFFICIENT), none).otherwise(F.array_distinct(F.concat(parts, whole)))
+        # a text without breaks that is as it stands its only part
+        one = F.when(good(text), F.array(text)).otherwise(none)
+        return F.when((text == "") | (text == INSUFFICIENT), none).when(_begins_han(text) & ~text.rlike(TERM_BREAKS), one).otherwise(F.array_distinct(F.concat(parts, whole)))
 
     return let(bare_term(F.coalesce(c, F.lit(""))), found)
 

@@ -76,38 +76,98 @@ def row_terms(levels: Column, examples: Column, description: Column, source: Col
     return F.array_distinct(F.concat(parts, told))
 
 
+#: Key rows of library sets that are sent to the executors at once; more take more passes over the current sets.
+KEY_BLOCK = 500_000
+#: Terms of both sides that are sent to the executors; more are joined by shuffle.
+TERM_BLOCK = 500_000
+
+
+def _link_score(shared: Column, n: Column, m: Column) -> Column:
+    """The score of two sets of n and m terms by the number of terms they share."""
+    return F.round(0.75 * shared / F.least(n, m) + 0.25 * shared / (n + m - shared), 4)
+
+
+def _fewest(n: Column, least: float) -> Column:
+    """The fewest shared terms with which a set of n terms can reach least, the other being at least as large."""
+    return F.coalesce(F.array_min(F.filter(F.sequence(F.lit(1), n), lambda s: 0.75 * s / n + 0.25 * s / (2 * n - s) >= least - 1e-4)), n + 1)
+
+
+def _term_keys(sets: DataFrame, terms: Column, pairs: Column, singles: Column) -> DataFrame:
+    """sets with t1, t2 and their key for every two of the terms, and with a term as both where singles holds. Rows leave one by one, no set's pairs are held together."""
+    one = sets.select("*", F.posexplode(terms).alias("i", "t1"))
+    seconds = F.slice(terms, F.when(singles, F.col("i") + 1).otherwise(F.col("i") + 2), F.when(pairs, F.size(terms)).otherwise(F.lit(1)))
+    return one.select(*sets.columns, "t1", F.explode(seconds).alias("t2")).withColumn("key", F.xxhash64("t1", "t2"))
+
+
+def _met(x: DataFrame, y: DataFrame, small: str, order: Column, least: float) -> DataFrame:
+    """sa, sb, score and the ids of the shared terms of the pairs that reach least, each pair by its first key alone. small: the side of the smaller set, a or b. y, the library's side, is broadcast."""
+    # a mark that one set has and the other lacks is a term that they don't share, so most pairs are told apart without their terms
+    most = F.size(f"r{small}") - F.bit_count(F.col(f"marks_{small}").bitwiseAND(F.bitwise_not("marks_b" if small == "a" else "marks_a")))
+    able = (most > 0) & (_link_score(most, F.col("na"), F.col("nb")) >= least)
+    both = x.join(F.broadcast(y.select("key", "sb", "nb", "rb", "marks_b", "fewest_b")), "key").where(order & able)
+    t = both.select("sa", "sb", "na", "nb", "t1", "t2", F.col(f"fewest_{small}").alias("fewest"), F.array_intersect("ra", "rb").alias("ids"))
+    first = (F.get("ids", F.lit(0)) == F.col("t1")) & (F.get("ids", F.when(F.col("fewest") > 1, 1).otherwise(0)) == F.col("t2"))
+    return t.withColumn("score", _link_score(F.size("ids"), F.col("na"), F.col("nb"))).where(first & (F.col("score") >= least)).select("sa", "sb", "score", "ids")
+
+
 def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top: int = 3) -> DataFrame:
     """current_id, reference_id, score, shared, rank: the top library sets of terms for each current one, by overlap.
 
-    current: current_id, terms; library: reference_id, terms. Distinct sets are compared, not rows. To reach least, a pair has to
-    share so many terms of the smaller set (more than half of them for least 0.5) that one of its few rarest terms is among
-    them; only those are joined with the other side's terms. A set of one term or two brings its rarest term alone, and as
-    there is one such set of each term, a hot term meets each set that holds it once, not each pair of them.
+    current: current_id, terms; library: reference_id, terms. Distinct sets are compared, not rows, and of a set only the terms
+    that the other side has too. These are ordered by rarity. To reach least, a pair has to share so many terms of the smaller
+    set that the first two of those shared are among its few rarest; so the pairs of its rarest terms are looked up among the
+    other side's pairs of terms (its rarest terms alone, if one shared term is enough). The library's keys are broadcast in
+    blocks of a bounded size, so pairs of sets that don't reach least are neither shuffled nor written.
     """
-    a = materialise(current.select("current_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0"), "links_a")
-    b = materialise(library.select("reference_id", F.array_sort("terms").alias("terms")).where("size(terms) > 0"), "links_b")
-    sa = a.select("terms").distinct().select(F.xxhash64("terms").alias("sa"), "terms")
-    sb = b.select("terms").distinct().select(F.xxhash64("terms").alias("sb"), "terms")
-    ta, tb = sa.select("sa", F.size("terms").alias("na"), F.explode("terms").alias("t")), sb.select("sb", F.size("terms").alias("nb"), F.explode("terms").alias("t"))
-    counts = ta.select("t").union(tb.select("t")).groupBy("t").count()
-
-    def rare(side: DataFrame, key: str, n: str) -> DataFrame:
-        ranked = side.join(counts, "t").groupBy(key, n).agg(F.transform(F.array_sort(F.collect_list(F.struct("count", "t"))), lambda x: x["t"]).alias("ts"))
-        # the fewest shared terms with which a pair can reach least, the other set being as small as this one
-        fewest = F.array_min(F.filter(F.sequence(F.lit(1), F.col(n)), lambda s: 0.75 * s / F.col(n) + 0.25 * s / (2 * F.col(n) - s) >= least - 1e-4))
-        return ranked.select(key, n, F.explode(F.slice("ts", F.lit(1), F.col(n) - F.coalesce(fewest, F.col(n)) + 1)).alias("t"))
-
-    pairs = rare(ta, "sa", "na").join(tb, "t").where("na <= nb").select("sa", "sb").union(rare(tb, "sb", "nb").join(ta, "t").where("nb <= na").select("sa", "sb")).distinct()
-    both = pairs.join(sa.withColumnRenamed("terms", "x"), "sa").join(sb.withColumnRenamed("terms", "y"), "sb")
-    s = F.size(F.array_intersect("x", "y"))
-    score = F.round(0.75 * s / F.least(F.size("x"), F.size("y")) + 0.25 * s / (F.size("x") + F.size("y") - s), 4)
-    shared = F.array_join(F.slice(F.transform(F.array_sort(F.transform(F.array_intersect("x", "y"), lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), lambda e: e["t"]), 1, 8), "|")
-    scored = both.select("sa", "sb", score.alias("score"), shared.alias("shared")).where(F.col("score") >= least)
-    refs = b.select(F.xxhash64("terms").alias("sb"), "reference_id")
+    # all rows are written, as a condition on the terms would be moved before the current rows are sorted out and have them made twice
+    a = materialise(current.select(F.monotonically_increasing_id().alias("row"), "current_id", "terms"), "links_a")
+    b = materialise(library.select(F.monotonically_increasing_id().alias("row"), "reference_id", "terms"), "links_b")
+    ta, tb = (x.select("row", F.size("terms").alias("n"), F.explode("terms").alias("t")) for x in (a, b))
+    in_a, in_b = ta.groupBy("t").agg(F.count(F.lit(1)).alias("x")), tb.groupBy("t").agg(F.count(F.lit(1)).alias("y"))
+    # ids in order of rarity
+    terms = materialise(in_a.join(in_b, "t").orderBy(F.col("x") + F.col("y"), "t").select("t", F.monotonically_increasing_id().alias("id")), "links_terms")
+    known = F.broadcast(terms) if terms.count() <= TERM_BLOCK else terms
+
+    def reduced(side: DataFrame, label: str) -> DataFrame:
+        """row, its set's key, the number of all its terms and the ids of those that both sides have."""
+        sets = side.join(known, "t").groupBy("row", "n").agg(F.array_sort(F.collect_list("id")).alias("r"))
+        return materialise(sets.select("row", F.xxhash64("n", "r").alias("s"), "n", "r"), label)
+
+    ra, rb = reduced(ta, "links_sets_a"), reduced(tb, "links_sets_b")
+
+    def distinct(side: DataFrame, x: str) -> DataFrame:
+        marks = F.aggregate("r", F.lit(0).cast("bigint"), lambda m, t: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+        once = side.groupBy("s").agg(F.any_value("n").alias("n"), F.any_value("r").alias("r"))
+        return materialise(once.select(F.col("s").alias(f"s{x}"), F.col("n").alias(f"n{x}"), F.col("r").alias(f"r{x}"), marks.alias(f"marks_{x}"), _fewest(F.col("n"), least).alias(f"fewest_{x}")), f"links_once_{x}")
+
+    da, db = distinct(ra, "a"), distinct(rb, "b")
+
+    def rarest(sets: DataFrame, x: str) -> DataFrame:
+        few, r = F.col(f"fewest_{x}"), f"r{x}"
+        return _term_keys(sets.where(F.size(r) >= few), F.slice(r, F.lit(1), F.size(r) - few + F.least(few, F.lit(2))), few > 1, few <= 1)
+
+    n = F.size("rb").cast("bigint")
+    # a term alone is a key only if one shared term is enough for a set of the other side
+    keys, lone_b = db.agg(F.coalesce(F.sum(n * (n + 1) / 2), F.lit(0)), F.coalesce(F.bool_or(F.col("fewest_b") <= 1), F.lit(False))).first()
+    lone_a = da.agg(F.coalesce(F.bool_or(F.col("fewest_a") <= 1), F.lit(False))).first()[0]
+    blocks = max(1, -(-int(keys) // KEY_BLOCK))
+    found = None
+    for k in range(blocks):
+        some = db.where(F.pmod(F.xxhash64("sb"), F.lit(blocks)) == k)
+        smaller_b = _met(_term_keys(da, F.col("ra"), F.lit(True), F.lit(lone_b)), rarest(some, "b"), "b", F.col("nb") <= F.col("na"), least)
+        smaller_a = _met(rarest(da, "a"), _term_keys(some, F.col("rb"), F.lit(True), F.lit(lone_a)), "a", F.col("na") < F.col("nb"), least)
+        pairs = materialise(smaller_b.union(smaller_a), "links_pairs")
+        found = pairs if found is None else found.union(pairs)
     # of each set the first ids in order are enough for the top
-    first = refs.withColumn("k", F.row_number().over(Window.partitionBy("sb").orderBy("reference_id"))).where(F.col("k") <= top)
-    best = scored.join(first, "sb").withColumn("rank", F.row_number().over(Window.partitionBy("sa").orderBy(F.desc("score"), "reference_id"))).where(F.col("rank") <= top)
-    return a.select(F.xxhash64("terms").alias("sa"), "current_id").join(best, "sa").select("current_id", "reference_id", "score", "shared", "rank")
+    refs = rb.join(b.select("row", "reference_id"), "row").select(F.col("s").alias("sb"), "reference_id")
+    first = refs.withColumn("k", F.row_number().over(Window.partitionBy("sb").orderBy("reference_id"))).where(F.col("k") <= top).select("sb", "reference_id")
+    order = Window.partitionBy("sa").orderBy(F.desc("score"), "reference_id")
+    best = found.join(first, "sb").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    words = best.select("sa", "reference_id", "score", "rank", F.explode("ids").alias("id")).join(known, "id").groupBy("sa", "reference_id", "score", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.length("t")).alias("n"), "t"))).alias("w"))
+    shared = words.select("sa", "reference_id", "score", F.array_join(F.slice(F.transform("w", lambda e: e["t"]), 1, 8), "|").alias("shared"), "rank")
+    out = ra.select("row", F.col("s").alias("sa")).join(shared, "sa").join(a.select("row", "current_id"), "row")
+    # written, as callers read the links more than once
+    return materialise(out.select("current_id", "reference_id", "score", "shared", "rank"), "links")
 
 
 def tiers(links: DataFrame, strong: float = 0.85, reused: int = 3) -> DataFrame:

@@ -67,6 +67,24 @@ def test_term_links_equal_brute_force(spark):
     assert found.keys() == wanted.keys() and all(abs(found[k] - wanted[k]) < 2e-4 for k in found)
 
 
+def test_term_links_write_only_pairs_that_reach_the_least_score(spark, monkeypatch):
+    written = {}
+
+    def spied(df, label="step", real=R.materialise):
+        out = real(df, label)
+        written.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(R, "materialise", spied)
+    # two hot terms are in every set, which isn't enough; one pair of sets shares four
+    a = spark.createDataFrame([(f"a{i}", ["hot1", "hot2", f"x{i % 3}", *(f"a{i}_{k}" for k in range(3))]) for i in range(50)] + [("a", ["hot1", "hot2", "x1", "x2", "r"])], "current_id string, terms array<string>")
+    b = spark.createDataFrame([(f"b{i}", ["hot1", "hot2", f"x{i % 3}x", *(f"b{i}_{k}" for k in range(3))]) for i in range(50)] + [("b", ["hot1", "hot2", "x1", "x2", "q"])], "reference_id string, terms array<string>")
+    found = [(x.current_id, x.reference_id, x.shared, x["rank"]) for x in R.term_links(a, b).collect() if x.current_id == "a"]
+    assert found == [("a", "b", "hot1|hot2|x1|x2", 1)]
+    # besides that one, the sets a* with x1 and those with x2 share three terms with b's, and each kind is one set by what both sides have
+    assert written["links_pairs"] == [3]
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
