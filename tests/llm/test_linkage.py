@@ -67,3 +67,16 @@ def test_agreement_never_lowers_the_posterior():
     patterns = [((0, 0, 0), 500), ((0, 1, 0), 60), ((2, 0, 0), 300), ((2, 2, 0), 9000), ((0, 2, 0), 400), ((0, 0, 1), 30), ((2, 2, 1), 100)]
     post = L._fitted(patterns, chance, 1e8)
     assert post[0, 0, 0] >= post[0, 1, 0] >= post[0, 2, 0] >= post[2, 2, 0] and post[0, 0, 0] > 0.9 and post[2, 0, 0] < 0.1 and post[0, 2, 0] < 0.1
+
+
+def test_words_are_no_part_of_the_plan(spark):
+    texts = spark.createDataFrame([("甲乙丙1",), ("甲乙",), ("无",), ("甲乙",)], "s string")
+    held = L._holding(texts, ["甲乙", "乙丙", "丁戊", *(f"词{i}" for i in range(5000))])
+    assert {r.a: r.n for r in held.collect()} == {"甲乙": 3, "乙丙": 1}
+    assert len(held._jdf.queryExecution().analyzed().toString()) < 10_000
+
+
+def test_spans_vote_on_the_workers(spark):
+    # 甲药房 holds a better span of its term and has no vote; of what stands for 丙检 the commoner is chosen
+    pairs = spark.createDataFrame([("甲药", "乙药", 9, 10), ("甲药房", "乙药", 8, 10), ("丙检", "丁检", 5, 5), ("丙检", "戊检", 4, 5)], "a string, w string, n bigint, na bigint")
+    assert L._voted(pairs) == {"甲药": "乙药", "丙检": "丁检"}
