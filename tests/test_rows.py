@@ -85,6 +85,22 @@ def test_term_links_write_only_pairs_that_reach_the_least_score(spark, monkeypat
     assert written["links_pairs"] == [3]
 
 
+def joins(df):
+    return df._jdf.queryExecution().analyzed().toString().count("Join ")
+
+
+def small_links(spark):
+    a = spark.createDataFrame([(f"a{i}", ["k", f"x{i % 2}"]) for i in range(5)], "current_id string, terms array<string>")
+    b = spark.createDataFrame([("b0", ["k", "x0"]), ("b1", ["k", "x1", "y"]), ("b2", ["k", "z"]), ("b3", [])], "reference_id string, terms array<string>")
+    return a, b
+
+
+def test_best_links_read_links_that_are_made_once(spark):
+    best = R.best_linked(R.term_links(*small_links(spark)), 4)
+    assert [tuple(r) for r in best.collect()] == [("a0", 1.0), ("a2", 1.0), ("a4", 1.0), ("a1", 0.9167)]
+    assert joins(best) == 0
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
