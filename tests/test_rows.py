@@ -101,6 +101,15 @@ def test_best_links_read_links_that_are_made_once(spark):
     assert joins(best) == 0
 
 
+def test_missing_references_by_blocks_of_the_library(spark, monkeypatch):
+    monkeypatch.setattr(R, "KEY_BLOCK", 2)
+    monkeypatch.setattr(R, "TERM_BLOCK", 1)
+    a, b = small_links(spark)
+    missing = R.unlinked(b, R.term_links(a, b))
+    assert sorted(r.reference_id for r in missing.collect()) == ["b2", "b3"]
+    assert joins(missing) == 1
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
