@@ -110,6 +110,12 @@ def test_missing_references_by_blocks_of_the_library(spark, monkeypatch):
     assert joins(missing) == 1
 
 
+def test_tiers_read_links_that_are_made_once(spark):
+    tiers = R.tiers(R.term_links(*small_links(spark)))
+    assert sorted((r.current_id, r.reference_id, r.uses, r.tier) for r in tiers.collect()) == [("a0", "b0", 3, "broad"), ("a1", "b1", 2, "strong"), ("a2", "b0", 3, "broad"), ("a3", "b1", 2, "strong"), ("a4", "b0", 3, "broad")]
+    assert joins(tiers) == 1
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
