@@ -1,4 +1,5 @@
 from graincraft.operators import quality as Q
+from graincraft.operators import rows as R
 
 ROW = "row_id string, ord int, path_levels array<string>, row_role string, review_reason string, description_source string, recommended_grade string, data_range_examples array<string>, support_level string, needs_review boolean, evidence_quote string, evidence_refs array<struct<text:string,section_title:string>>"
 
@@ -37,3 +38,12 @@ def test_suggestions(spark):
     links = spark.createDataFrame([("c1", "l1", 0.9, "x", 1), ("c2", "l2", 0.6, "x", 1)], "current_id string, reference_id string, score double, shared string, rank int")
     library = spark.createDataFrame([("l1", ["甲"]), ("l2", ["乙"]), ("l3", ["丙", "丁"]), ("l4", ["预案"]), ("l5", [])], "reference_id string, levels array<string>")
     assert sorted((r.reference_id, r.tier) for r in Q.suggestions(links, library).collect()) == [("l1", "strong"), ("l3", "missing"), ("l4", "low_quality"), ("l5", "low_quality")]
+
+
+def test_suggestions_read_links_that_are_made_once(spark):
+    a = spark.createDataFrame([(f"a{i}", ["k", "x"]) for i in range(2)], "current_id string, terms array<string>")
+    b = spark.createDataFrame([("b0", ["k", "x"]), ("b1", ["z"])], "reference_id string, terms array<string>")
+    library = spark.createDataFrame([("b0", ["k", "x"]), ("b1", ["预案"])], "reference_id string, levels array<string>")
+    out = Q.suggestions(R.term_links(a, b), library)
+    assert sorted((r.reference_id, r.current_id or "", r.tier) for r in out.collect()) == [("b0", "a0", "strong"), ("b0", "a1", "strong"), ("b1", "", "low_quality")]
+    assert out._jdf.queryExecution().analyzed().toString().count("Join ") == 2
