@@ -70,12 +70,6 @@ def tree(df: DataFrame) -> DataFrame:
     return out.select(X.stable_id("node", F.col("path")).alias("node_id"), F.when(F.col("level") > 1, X.stable_id("node", parent)).alias("parent_id"), "path", "level", "n_rows", "confidence", "needs_review", F.when(F.col("supported"), "supported").otherwise("proposed").alias("status"), "grade")
 
 
-def row_terms(levels: Column, examples: Column, description: Column, source: Column) -> Column:
-    parts = F.flatten(F.transform(F.concat(F.coalesce(levels, F.array().cast("array<string>")), F.coalesce(examples, F.array().cast("array<string>"))), X.terms))
-    told = F.when(F.coalesce(source, F.lit("")) != "insufficient", X.terms(description)).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(parts, told))
-
-
 #: Key rows of library sets that are sent to the executors at once; more take more passes over the current sets.
 KEY_BLOCK = 500_000
 #: Terms of both sides that are sent to the executors; more are joined by shuffle.
@@ -100,74 +94,98 @@ def _term_keys(sets: DataFrame, terms: Column, pairs: Column, singles: Column) -
 
 
 def _met(x: DataFrame, y: DataFrame, small: str, order: Column, least: float) -> DataFrame:
-    """sa, sb, score and the ids of the shared terms of the pairs that reach least, each pair by its first key alone. small: the side of the smaller set, a or b. y, the library's side, is broadcast."""
+    """sa, sb, the library set's least id, score and the ids of the shared terms of the pairs that reach least, each pair by its first key alone. small: the side of the smaller set, a or b. y, the library's side, is broadcast."""
     # a mark that one set has and the other lacks is a term that they don't share, so most pairs are told apart without their terms
     most = F.size(f"r{small}") - F.bit_count(F.col(f"marks_{small}").bitwiseAND(F.bitwise_not("marks_b" if small == "a" else "marks_a")))
     able = (most > 0) & (_link_score(most, F.col("na"), F.col("nb")) >= least)
-    both = x.join(F.broadcast(y.select("key", "sb", "nb", "rb", "marks_b", "fewest_b")), "key").where(order & able)
-    t = both.select("sa", "sb", "na", "nb", "t1", "t2", F.col(f"fewest_{small}").alias("fewest"), F.array_intersect("ra", "rb").alias("ids"))
+    both = x.join(F.broadcast(y.select("key", "sb", "nb", "rb", "id_b", "marks_b", "fewest_b")), "key").where(order & able)
+    t = both.select("sa", "sb", "id_b", "na", "nb", "t1", "t2", F.col(f"fewest_{small}").alias("fewest"), F.array_intersect("ra", "rb").alias("ids"))
     first = (F.get("ids", F.lit(0)) == F.col("t1")) & (F.get("ids", F.when(F.col("fewest") > 1, 1).otherwise(0)) == F.col("t2"))
-    return t.withColumn("score", _link_score(F.size("ids"), F.col("na"), F.col("nb"))).where(first & (F.col("score") >= least)).select("sa", "sb", "score", "ids")
+    return t.withColumn("score", _link_score(F.size("ids"), F.col("na"), F.col("nb"))).where(first & (F.col("score") >= least)).select("sa", "sb", "id_b", "score", "ids")
 
 
-def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top: int = 3) -> DataFrame:
-    """current_id, reference_id, score, shared, rank: the top library sets of terms for each current one, by overlap.
+def _best_sets(current: DataFrame, library: DataFrame, least: float, top: int, ids: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The current rows' sets (s, id), the terms by id, and the top library rows of each current set (sa, reference_id, score, rank, with ids those of the shared terms).
 
-    current: current_id, terms; library: reference_id, terms. Distinct sets are compared, not rows, and of a set only the terms
-    that the other side has too. These are ordered by rarity. To reach least, a pair has to share so many terms of the smaller
-    set that the first two of those shared are among its few rarest; so the pairs of its rarest terms are looked up among the
-    other side's pairs of terms (its rarest terms alone, if one shared term is enough). The library's keys are broadcast in
-    blocks of a bounded size, so pairs of sets that don't reach least are neither shuffled nor written.
+    Distinct sets are compared, not rows, and of a set only the terms that the other side has too. These are ordered by rarity.
+    To reach least, a pair has to share so many terms of the smaller set that the first two of those shared are among its few
+    rarest; so the pairs of its rarest terms are looked up among the other side's pairs of terms (its rarest terms alone, if one
+    shared term is enough). The library's keys are broadcast in blocks of a bounded size, so pairs of sets that don't reach least
+    are neither shuffled nor written, and of those that do each current set's top ones of each block.
     """
     # all rows are written, as a condition on the terms would be moved before the current rows are sorted out and have them made twice
-    a = materialise(current.select(F.monotonically_increasing_id().alias("row"), "current_id", "terms"), "links_a")
-    b = materialise(library.select(F.monotonically_increasing_id().alias("row"), "reference_id", "terms"), "links_b")
-    ta, tb = (x.select("row", F.size("terms").alias("n"), F.explode("terms").alias("t")) for x in (a, b))
+    a = materialise(current.select(F.monotonically_increasing_id().alias("row"), F.col("current_id").alias("id"), "terms"), "links_a")
+    b = materialise(library.select(F.monotonically_increasing_id().alias("row"), F.col("reference_id").alias("id"), "terms"), "links_b")
+    ta, tb = (x.select("row", "id", F.size("terms").alias("n"), F.explode("terms").alias("t")) for x in (a, b))
     in_a, in_b = ta.groupBy("t").agg(F.count(F.lit(1)).alias("x")), tb.groupBy("t").agg(F.count(F.lit(1)).alias("y"))
     # ids in order of rarity
-    terms = materialise(in_a.join(in_b, "t").orderBy(F.col("x") + F.col("y"), "t").select("t", F.monotonically_increasing_id().alias("id")), "links_terms")
+    terms = materialise(in_a.join(in_b, "t").orderBy(F.col("x") + F.col("y"), "t").select("t", F.monotonically_increasing_id().alias("term")), "links_terms")
     known = F.broadcast(terms) if terms.count() <= TERM_BLOCK else terms
 
     def reduced(side: DataFrame, label: str) -> DataFrame:
-        """row, its set's key, the number of all its terms and the ids of those that both sides have."""
-        sets = side.join(known, "t").groupBy("row", "n").agg(F.array_sort(F.collect_list("id")).alias("r"))
-        return materialise(sets.select("row", F.xxhash64("n", "r").alias("s"), "n", "r"), label)
+        """id, its set's key, the number of all its terms and the ids of those that both sides have."""
+        sets = side.join(known, "t").groupBy("row", "id", "n").agg(F.array_sort(F.collect_list("term")).alias("r"))
+        return materialise(sets.select("id", F.xxhash64("n", "r").alias("s"), "n", "r"), label)
 
     ra, rb = reduced(ta, "links_sets_a"), reduced(tb, "links_sets_b")
 
     def distinct(side: DataFrame, x: str) -> DataFrame:
         marks = F.aggregate("r", F.lit(0).cast("bigint"), lambda m, t: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
-        once = side.groupBy("s").agg(F.any_value("n").alias("n"), F.any_value("r").alias("r"))
-        return materialise(once.select(F.col("s").alias(f"s{x}"), F.col("n").alias(f"n{x}"), F.col("r").alias(f"r{x}"), marks.alias(f"marks_{x}"), _fewest(F.col("n"), least).alias(f"fewest_{x}")), f"links_once_{x}")
+        # the least of structs: null comes first, as in the order of the links
+        least_id = [F.min(F.struct("id"))["id"].alias("id_b")] if x == "b" else []
+        once = side.groupBy("s").agg(F.any_value("n").alias("n"), F.any_value("r").alias("r"), *least_id)
+        return materialise(once.select(F.col("s").alias(f"s{x}"), F.col("n").alias(f"n{x}"), F.col("r").alias(f"r{x}"), *once.columns[3:], marks.alias(f"marks_{x}"), _fewest(F.col("n"), least).alias(f"fewest_{x}")), f"links_once_{x}")
 
     da, db = distinct(ra, "a"), distinct(rb, "b")
+    # of a set's terms in order of rarity, so many are its rarest
+    rare = lambda x: F.size(f"r{x}") - F.col(f"fewest_{x}") + F.least(F.col(f"fewest_{x}"), F.lit(2))
 
     def rarest(sets: DataFrame, x: str) -> DataFrame:
         few, r = F.col(f"fewest_{x}"), f"r{x}"
-        return _term_keys(sets.where(F.size(r) >= few), F.slice(r, F.lit(1), F.size(r) - few + F.least(few, F.lit(2))), few > 1, few <= 1)
+        return _term_keys(sets.where(F.size(r) >= few), F.slice(r, F.lit(1), rare(x)), few > 1, few <= 1)
 
-    n = F.size("rb").cast("bigint")
     # a term alone is a key only if one shared term is enough for a set of the other side
-    keys, lone_b = db.agg(F.coalesce(F.sum(n * (n + 1) / 2), F.lit(0)), F.coalesce(F.bool_or(F.col("fewest_b") <= 1), F.lit(False))).first()
-    lone_a = da.agg(F.coalesce(F.bool_or(F.col("fewest_a") <= 1), F.lit(False))).first()[0]
-    blocks = max(1, -(-int(keys) // KEY_BLOCK))
+    lone = lambda x: F.coalesce(F.bool_or(F.col(f"fewest_{x}") <= 1), F.lit(False))
+    lone_a = da.agg(lone("a")).first()[0]
+    n, k = F.size("rb").cast("bigint"), rare("b").cast("bigint")
+    rare_keys = F.when(F.size("rb") < F.col("fewest_b"), 0).when(F.col("fewest_b") > 1, k * (k - 1) / 2).otherwise(k)
+    all_keys = n * (n - 1) / 2 + (n if lone_a else 0)
+    *keys, lone_b = db.agg(F.coalesce(F.sum(rare_keys), F.lit(0)), F.coalesce(F.sum(all_keys), F.lit(0)), lone("b")).first()
+    # the passes over the current sets are of very different cost, so each has as few blocks as its own keys need
+    rare_blocks, all_blocks = (max(1, -(-int(x) // KEY_BLOCK)) for x in keys)
+    block = lambda i, of: db.where(F.pmod(F.xxhash64("sb"), F.lit(of)) == i)
     found = None
-    for k in range(blocks):
-        some = db.where(F.pmod(F.xxhash64("sb"), F.lit(blocks)) == k)
-        smaller_b = _met(_term_keys(da, F.col("ra"), F.lit(True), F.lit(lone_b)), rarest(some, "b"), "b", F.col("nb") <= F.col("na"), least)
-        smaller_a = _met(rarest(da, "a"), _term_keys(some, F.col("rb"), F.lit(True), F.lit(lone_a)), "a", F.col("na") < F.col("nb"), least)
-        pairs = materialise(smaller_b.union(smaller_a), "links_pairs")
+    for i in range(max(rare_blocks, all_blocks)):
+        met = []
+        if i < rare_blocks:
+            met.append(_met(_term_keys(da, F.col("ra"), F.lit(True), F.lit(lone_b)), rarest(block(i, rare_blocks), "b"), "b", F.col("nb") <= F.col("na"), least))
+        if i < all_blocks:
+            met.append(_met(rarest(da, "a"), _term_keys(block(i, all_blocks), F.col("rb"), F.lit(True), F.lit(lone_a)), "a", F.col("na") < F.col("nb"), least))
+        pairs = met[0] if len(met) == 1 else met[0].union(met[1])
+        # pairs grow with the product of both sides; the first rows in order are of the first sets in order, so no more sets than rows are wanted
+        pairs = pairs if ids else pairs.drop("ids")
+        ahead = F.row_number().over(Window.partitionBy("sa").orderBy(F.desc("score"), "id_b", "sb"))
+        pairs = materialise(pairs.withColumn("k", ahead).where(F.col("k") <= top).drop("k", "id_b"), "links_pairs")
         found = pairs if found is None else found.union(pairs)
     # of each set the first ids in order are enough for the top
-    refs = rb.join(b.select("row", "reference_id"), "row").select(F.col("s").alias("sb"), "reference_id")
+    refs = rb.select(F.col("s").alias("sb"), F.col("id").alias("reference_id"))
     first = refs.withColumn("k", F.row_number().over(Window.partitionBy("sb").orderBy("reference_id"))).where(F.col("k") <= top).select("sb", "reference_id")
     order = Window.partitionBy("sa").orderBy(F.desc("score"), "reference_id")
-    best = found.join(first, "sb").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    words = best.select("sa", "reference_id", "score", "rank", F.explode("ids").alias("id")).join(known, "id").groupBy("sa", "reference_id", "score", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.length("t")).alias("n"), "t"))).alias("w"))
-    shared = words.select("sa", "reference_id", "score", F.array_join(F.slice(F.transform("w", lambda e: e["t"]), 1, 8), "|").alias("shared"), "rank")
-    out = ra.select("row", F.col("s").alias("sa")).join(shared, "sa").join(a.select("row", "current_id"), "row")
+    return ra.select("s", "id"), known, found.join(first, "sb").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("sb")
+
+
+def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top: int = 3, told: bool = True) -> DataFrame:
+    """current_id, reference_id, score, shared, rank: the top library sets of terms for each current one, by overlap.
+
+    current: current_id, terms; library: reference_id, terms. told: with shared, the longest terms of those shared.
+    """
+    rows, terms, best = _best_sets(current, library, least, top, told)
+    if told:
+        words = best.select("sa", "reference_id", "score", "rank", F.explode("ids").alias("term")).join(terms, "term").groupBy("sa", "reference_id", "score", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.length("t")).alias("n"), "t"))).alias("w"))
+        best = words.select("sa", "reference_id", "score", F.array_join(F.slice(F.transform("w", lambda e: e["t"]), 1, 8), "|").alias("shared"), "rank")
+    out = rows.select(F.col("id").alias("current_id"), F.col("s").alias("sa")).join(best, "sa")
     # written, as callers read the links more than once
-    return materialise(out.select("current_id", "reference_id", "score", "shared", "rank"), "links")
+    return materialise(out.select("current_id", "reference_id", "score", *["shared"] * told, "rank"), "links")
 
 
 def tiers(links: DataFrame, strong: float = 0.85, reused: int = 3) -> DataFrame:

@@ -11,7 +11,7 @@ from ..operators import quality as Q
 from ..operators import rows as R
 from ..sources.tables import load, one_per_key
 from .registry import query
-from .row_queries import _LINKS, _VALIDATION, BASE, LEVELS, ROWS, STRIP, _checked, _rows, term_links_topk
+from .row_queries import _LINKS, _VALIDATION, BASE, LEVELS, ROWS, STRIP, _checked, _current, _library, _rows
 from .text_queries import CHUNKS, LINES
 
 
@@ -69,7 +69,7 @@ def eval_quality(spark: SparkSession, d: str) -> DataFrame:
 )
 def reference_suggestions(spark: SparkSession, d: str) -> DataFrame:
     library = one_per_key(load(spark, d, "rule_table_matches"), "match_id").select(F.col("match_id").alias("reference_id"), X.clean_levels(F.col("reference_path")).alias("levels"))
-    return Q.suggestions(term_links_topk(spark, d), library)
+    return Q.suggestions(R.term_links(_current(spark, d), _library(spark, d), told=False), library)
 
 
 @query(f"WITH {CHUNKS}, {LINES}, h AS (SELECT chunk_id, line_no, regexp_replace(regexp_replace(regexp_replace({STRIP('line')}, '^#{{1,6}}\\s+', ''), '^[一二三四五六七八九十]+[、.．]\\s*', ''), '^[0-9]+(?:\\.[0-9]+)*[、.．]\\s*', '') AS title FROM lines WHERE regexp_matches({STRIP('line')}, '^#{{1,6}}\\s+\\S+|^[一二三四五六七八九十]+[、.．]\\s*\\S+|^[0-9]+(?:\\.[0-9]+)*[、.．]\\s*\\S+')) SELECT chunk_id, line_no, {STRIP('title')} AS title FROM h")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.terms import row_terms
 from ..operators import grounding as G
 from ..operators import rows as R
 from ..sources.tables import load, one_per_key
@@ -69,12 +70,12 @@ def tree_depth(spark: SparkSession, d: str) -> DataFrame:
 
 def _current(spark: SparkSession, d: str) -> DataFrame:
     t = _rows(spark, d)
-    return t.select(F.col("row_id").alias("current_id"), R.row_terms(F.col("path_levels"), F.col("data_range_examples"), F.col("description"), F.col("description_source")).alias("terms"))
+    return t.select(F.col("row_id").alias("current_id"), row_terms(F.col("path_levels"), F.col("data_range_examples"), F.col("description"), F.col("description_source")).alias("terms"))
 
 
 def _library(spark: SparkSession, d: str) -> DataFrame:
     t = one_per_key(load(spark, d, "rule_table_matches"), "match_id")
-    return t.select(F.col("match_id").alias("reference_id"), R.row_terms(F.col("reference_path"), F.col("shared_terms"), F.lit(""), F.lit("")).alias("terms"))
+    return t.select(F.col("match_id").alias("reference_id"), row_terms(F.col("reference_path"), F.col("shared_terms"), F.lit(""), F.lit("")).alias("terms"))
 
 
 _BARE = lambda c: f"regexp_replace(regexp_replace({COMPACT(c)}, '^[A-Za-z]?[）)、.．]?', ''), '^[0-9]+(?:[.．][0-9]+)*', '')"

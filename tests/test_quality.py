@@ -47,3 +47,22 @@ def test_suggestions_read_links_that_are_made_once(spark):
     out = Q.suggestions(R.term_links(a, b), library)
     assert sorted((r.reference_id, r.current_id or "", r.tier) for r in out.collect()) == [("b0", "a0", "strong"), ("b0", "a1", "strong"), ("b1", "", "low_quality")]
     assert out._jdf.queryExecution().analyzed().toString().count("Join ") == 2
+
+
+def test_suggestions_need_no_more_pairs_of_sets_than_rows(spark, monkeypatch):
+    written = {}
+
+    def spied(df, label="step", real=R.materialise):
+        written.setdefault(label, []).append(real(df, label))
+        return written[label][-1]
+
+    monkeypatch.setattr(R, "materialise", spied)
+    a = spark.createDataFrame([("a", ["k", "x"])], "current_id string, terms array<string>")
+    b = spark.createDataFrame([(f"b{i:02}", ["k", "x", f"y{i}"]) for i in range(20)] + [("b99", ["k", "x"])] + [(f"c{i:02}", ["k", "x", "z", f"z{i}"]) for i in range(20)], "reference_id string, terms array<string>")
+    # sets are told apart by terms that both sides have
+    more = spark.createDataFrame([(f"m{i}", [f"y{i}", f"z{i}", *(f"m{i}_{k}" for k in range(9))]) for i in range(20)], "current_id string, terms array<string>")
+    out = Q.suggestions(R.term_links(a.union(more), b, told=False), b.withColumnRenamed("terms", "levels"))
+    assert [(r.reference_id, r.current_id, r.tier) for r in out.where("current_id is not null").collect()] == [("b99", "a", "strong")]
+    assert out.where("current_id is null").count() == 38
+    assert [df.count() for df in written["links_pairs"]] == [3]
+    assert written["links"][0].columns == ["current_id", "reference_id", "score", "rank"]
