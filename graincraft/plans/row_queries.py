@@ -122,7 +122,7 @@ def missing_references(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{_LINKS}, b AS (SELECT current_id, max(score) AS best FROM links WHERE rank <= 3 GROUP BY 1) SELECT current_id, best FROM b ORDER BY best DESC, current_id LIMIT 20")
 def best_links(spark: SparkSession, d: str) -> DataFrame:
     """The twenty rows with the best links, a report."""
-    return R.best_linked(term_links_topk(spark, d), 20)
+    return R.best_linked(R.term_links(_current(spark, d), _library(spark, d), top=1, told=False), 20)
 
 
 def _leveled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

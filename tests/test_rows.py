@@ -116,6 +116,27 @@ def test_tiers_read_links_that_are_made_once(spark):
     assert joins(tiers) == 1
 
 
+def spied(monkeypatch, name):
+    """The arguments and results of the calls of an operator's function from now on."""
+    calls = []
+
+    def spy(*args, real=getattr(R, name)):
+        calls.append((args, real(*args)))
+        return calls[-1][1]
+
+    monkeypatch.setattr(R, name, spy)
+    return calls
+
+
+def test_best_links_need_one_link_of_a_row_and_no_words(spark, monkeypatch):
+    made = spied(monkeypatch, "materialise")
+    best = R.best_linked(R.term_links(*small_links(spark), top=1, told=False), 4)
+    assert [tuple(r) for r in best.collect()] == [("a0", 1.0), ("a2", 1.0), ("a4", 1.0), ("a1", 0.9167)]
+    out = {label: df for (_, label), df in made}
+    assert out["links"].columns == ["current_id", "reference_id", "score", "rank"] and out["links_pairs"].columns == ["sa", "sb", "score"]
+    assert out["links_pairs"].count() == 2
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
