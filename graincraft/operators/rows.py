@@ -188,6 +188,11 @@ def term_links(current: DataFrame, library: DataFrame, least: float = 0.5, top:
     return materialise(out.select("current_id", "reference_id", "score", *["shared"] * told, "rank"), "links")
 
 
+def linked(current: DataFrame, library: DataFrame, least: float = 0.5, top: int = 3) -> DataFrame:
+    """reference_id of term_links, which needs the sets' links alone."""
+    return _best_sets(current, library, least, top, False)[2].select("reference_id").distinct()
+
+
 def tiers(links: DataFrame, strong: float = 0.85, reused: int = 3) -> DataFrame:
     """current_id, reference_id, score and tier of each best link: broad if its library entry is the best of several, else strong or other."""
     best = links.where("rank = 1")

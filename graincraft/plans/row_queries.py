@@ -116,7 +116,7 @@ def match_tiers(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{_LINKS} SELECT reference_id FROM lib WHERE reference_id NOT IN (SELECT reference_id FROM links WHERE rank <= 3)")
 def missing_references(spark: SparkSession, d: str) -> DataFrame:
-    return R.unlinked(_library(spark, d), term_links_topk(spark, d)).select("reference_id")
+    return R.unlinked(_library(spark, d), R.linked(_current(spark, d), _library(spark, d))).select("reference_id")
 
 
 @query(f"{_LINKS}, b AS (SELECT current_id, max(score) AS best FROM links WHERE rank <= 3 GROUP BY 1) SELECT current_id, best FROM b ORDER BY best DESC, current_id LIMIT 20")

@@ -137,6 +137,18 @@ def test_best_links_need_one_link_of_a_row_and_no_words(spark, monkeypatch):
     assert out["links_pairs"].count() == 2
 
 
+def test_missing_references_pass_over_rows_as_often_as_each_side_needs(spark, monkeypatch):
+    # two rarest terms of a library set with four make three keys, all its terms six
+    a = spark.createDataFrame([(f"a{i}", [f"x{i}", f"y{i}", f"z{i}", f"u{i}"]) for i in range(4)], "current_id string, terms array<string>")
+    b = spark.createDataFrame([(f"b{i}", [f"x{i}", f"y{i}", f"z{i}", f"u{i}"]) for i in range(4)] + [("b9", ["x1", "x2", "x3", "x0"])], "reference_id string, terms array<string>")
+    monkeypatch.setattr(R, "KEY_BLOCK", 15)
+    met, made = spied(monkeypatch, "_met"), spied(monkeypatch, "materialise")
+    missing = R.unlinked(b, R.linked(a, b))
+    assert [r.reference_id for r in missing.collect()] == ["b9"]
+    assert sorted(args[2] for args, _ in met) == ["a", "a", "b"]
+    assert "links" not in {label for (_, label), _ in made}
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
