@@ -111,7 +111,7 @@ def term_links_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{_LINKS}, b AS (SELECT * FROM links WHERE rank = 1), u AS (SELECT reference_id, count(*) AS uses FROM b GROUP BY 1) SELECT current_id, b.reference_id, score, uses, CASE WHEN uses >= 3 THEN 'broad' WHEN score >= 0.85 THEN 'strong' ELSE 'other' END AS tier FROM b JOIN u ON b.reference_id = u.reference_id")
 def match_tiers(spark: SparkSession, d: str) -> DataFrame:
-    return R.tiers(term_links_topk(spark, d))
+    return R.tiers(R.term_links(_current(spark, d), _library(spark, d), top=1, told=False))
 
 
 @query(f"{_LINKS} SELECT reference_id FROM lib WHERE reference_id NOT IN (SELECT reference_id FROM links WHERE rank <= 3)")

@@ -149,6 +149,17 @@ def test_missing_references_pass_over_rows_as_often_as_each_side_needs(spark, mo
     assert "links" not in {label for (_, label), _ in made}
 
 
+def test_tiers_need_the_best_pair_of_a_set_alone(spark, monkeypatch):
+    made = spied(monkeypatch, "materialise")
+    a, b = small_links(spark)
+    b = b.union(spark.createDataFrame([(f"c{i}", ["k", "x0", f"v{i}"]) for i in range(3)] + [("a9", ["k", "x0"])], b.schema))
+    a = a.union(spark.createDataFrame([(f"m{i}", [f"v{i}", *(f"m{i}_{k}" for k in range(9))]) for i in range(3)], a.schema))
+    tiers = R.tiers(R.term_links(a, b, top=1, told=False))
+    assert sorted((r.current_id, r.reference_id, r.uses, r.tier) for r in tiers.collect() if r.current_id[0] == "a") == [("a0", "a9", 3, "broad"), ("a1", "b1", 2, "strong"), ("a2", "a9", 3, "broad"), ("a3", "b1", 2, "strong"), ("a4", "a9", 3, "broad")]
+    pairs = [df for (_, label), df in made if label == "links_pairs"]
+    assert len(pairs) == 1 and pairs[0].count() == pairs[0].select("sa").distinct().count()
+
+
 def test_cascade_prefers_the_stronger_match(spark):
     a = spark.createDataFrame([("1", ["甲", "乙"]), ("2", ["1.2 丙"]), ("3", ["子", "丑", "寅"]), ("4", ["无"])], "id string, levels array<string>")
     b = spark.createDataFrame([("p", ["甲", "乙"]), ("q", ["别的", "1.2 丙"]), ("r", ["丑", "寅"]), ("s", ["甲", "乙"])], "id string, levels array<string>")
